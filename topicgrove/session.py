@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"
 
@@ -57,3 +57,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/topicgrove/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written_and_measured(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``written`` with aggregates of the rows that are gathered while they are written."""
+    seen = Observation()
+    table = written(df.observe(seen, *[m.alias(key) for key, m in metrics.items()]), name)
+    return table, seen.get
