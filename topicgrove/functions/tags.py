@@ -36,8 +36,7 @@ NO_SEED_TAG = "unnamed"
 
 
 def _without(words: Column, stop: Sequence[str]) -> Column:
-    listed = F.array(*[F.lit(w) for w in stop])
-    return F.filter(words, lambda w: ~F.array_contains(listed, w))
+    return F.filter(words, lambda w: ~w.isin(*stop))
 
 
 def keyword_words(title: Column) -> Column:

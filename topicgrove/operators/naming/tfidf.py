@@ -25,11 +25,13 @@ def term_counts(rows: DataFrame, text: str, stop_words: Sequence[str] = ENGLISH_
     counting terms needs no document. ``texts`` and ``filled`` tell whether the
     document would be blank; a cluster without terms keeps a row with a null term.
     """
-    each = rows.select(
+    read = rows.select(
         "cluster_id",
         (strip_ws(F.translate(text, "_", " ")) != "").alias("filled"),
-        F.posexplode_outer(seed_tokens(F.col(text), stop_words)).alias("pos", "term"),
+        seed_tokens(F.col(text), stop_words).alias("terms"),
     )
+    # Explode the terms alone: next to the text, every term would carry a copy of it.
+    each = read.select("cluster_id", "filled", F.posexplode_outer("terms").alias("pos", "term"))
     starts = F.when(F.coalesce("pos", F.lit(0)) == 0, 1).otherwise(0)
     return each.groupBy("cluster_id", "term").agg(
         F.count("term").alias("tf"), F.sum(starts).alias("texts"), F.max("filled").alias("filled")

@@ -295,7 +295,10 @@ firsts AS (SELECT cluster_id, list(title ORDER BY place) AS items FROM few WHERE
 
 TFIDF_LEAF = ",\n".join([POSTS, LEVEL2, _seeds("titles", "title", 4, "texts > 1", "leaf_seeds"), _names("leaf_seeds", "leaf_tags")])
 
-OTHER_SEED = "coalesce(list_aggregate(list_transform(seeds, lambda w: 1 - levenshtein(lemma, w) / greatest(length(lemma), length(w))), 'avg'), 0)"
+# DuckDB counts edits in bytes: letters beyond ASCII become free upper-case letters first.
+LETTERS = "translate({0}, 'áàâäãéèêëíîïñóôöúûüçß', 'ABCDEFGHIJKLMNOPQRSTU')"
+LIKENESS = f"1 - levenshtein({LETTERS.format('lemma')}, {LETTERS.format('w')}) / greatest(length(lemma), length(w))"
+OTHER_SEED = f"list_aggregate(list_transform(seeds, lambda w: {LIKENESS}), 'avg')"
 
 REPLY_WORDS = _squeeze(r"regexp_replace(topic, '[^\p{L}\p{N}_" + WS_BODY + "-]', '', 'g')")
 CENTRAL_TAG = _tag_format(_first_words("substr(" + _squeeze("replace(title, '_', ' ')") + ", 1, 1000)", 6))
