@@ -31,7 +31,7 @@ def match_concepts(seeds: DataFrame, concepts: DataFrame) -> DataFrame:
     each = seeds.select("cluster_id", F.posexplode_outer("seeds").alias("pos", "word"))
     title = candidate_title(F.col("title"), clean_html)
     matched = each.join(best_titles(each.filter("word IS NOT NULL"), concepts), "word", "left")
-    phrases = matched.select("cluster_id", "pos", F.when(title != "", title).alias("phrase"))
+    phrases = matched.select("cluster_id", "pos", F.when(F.col("title").isNotNull() & (title != ""), title).alias("phrase"))
     order = Window.partitionBy("cluster_id").orderBy(
         F.coalesce(num_words(F.col("phrase")), F.lit(0)).desc(), F.col("pos")
     )

@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicgrove.functions.tags import ENGLISH_STOP_WORDS, NO_SEED_TAG, join_name, seed_tokens
+from topicgrove.functions.tags import (
+    ENGLISH_STOP_WORDS,
+    NO_SEED_TAG,
+    drop_insignificant_words,
+    drop_words_with_digits,
+    join_name,
+    name_tokens,
+    seed_tokens,
+)
 from topicgrove.functions.text import strip_ws
 from topicgrove.operators.naming.base import Namer
 from topicgrove.session import written
@@ -110,8 +118,6 @@ def clean_title_terms(rows: DataFrame, text: str, key: str, lemmas: DataFrame |
     Stop words, words that say little and words with digits are dropped. With a
     ``lemmas`` table (``word, lemma``) each word is replaced by its lemma first.
     """
-    from topicgrove.functions.tags import drop_insignificant_words, drop_words_with_digits, name_tokens
-
     def tidy(words):
         return F.array_join(drop_words_with_digits(drop_insignificant_words(words)), " ")
 

@@ -262,7 +262,7 @@ best AS (
     SELECT word, title, row_number() OVER (PARTITION BY word ORDER BY {_num_words('title')}, title) AS place FROM (
       SELECT title, unnest(list_distinct({_words('lower(title)')})) AS word FROM concepts)) WHERE place = 1),
 phrases AS (
-  SELECT e.cluster_id, e.pos, nullif({title}, '') AS phrase FROM each e LEFT JOIN best b ON b.word = e.word),
+  SELECT e.cluster_id, e.pos, CASE WHEN b.title IS NOT NULL THEN nullif({title}, '') END AS phrase FROM each e LEFT JOIN best b ON b.word = e.word),
 top AS (
   SELECT *, row_number() OVER (PARTITION BY cluster_id
     ORDER BY coalesce({_num_words('phrase')}, 0) DESC, pos) AS place FROM phrases),
@@ -300,6 +300,15 @@ LETTERS = "translate({0}, 'áàâäãéèêëíîïñóôöúûüçß', 'ABCDEFG
 LIKENESS = f"1 - levenshtein({LETTERS.format('lemma')}, {LETTERS.format('w')}) / greatest(length(lemma), length(w))"
 OTHER_SEED = f"list_aggregate(list_transform(seeds, lambda w: {LIKENESS}), 'avg')"
 
+def _reach(name: str, step: float) -> str:
+    return f"""{name}_steps AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+  AND list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) <= {step}),
+{name}_reach AS (SELECT vec_id AS id, vec_id AS to_id FROM embeddings
+  UNION SELECT r.id, s.b FROM {name}_reach r JOIN {name}_steps s ON s.a = r.to_id),
+{name} AS (SELECT id, min(to_id) AS first FROM {name}_reach GROUP BY id)"""
+
+
 REPLY_WORDS = _squeeze(r"regexp_replace(topic, '[^\p{L}\p{N}_" + WS_BODY + "-]', '', 'g')")
 CENTRAL_TAG = _tag_format(_first_words("substr(" + _squeeze("replace(title, '_', ' ')") + ", 1, 1000)", 6))
 
@@ -437,6 +446,9 @@ QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) = 1""",
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id GROUP BY ALL),
 sides AS (SELECT id, max(mean_distance) FILTER (WHERE own = other) AS a, min(mean_distance) FILTER (WHERE own <> other) AS b FROM pairs GROUP BY id)
 SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM sides""",
+    "single_linkage": f"""WITH RECURSIVE {_reach('fine', 1.0)}, {_reach('coarse', 1.15)}
+SELECT id, CAST(dense_rank() OVER (ORDER BY c.first) AS INT) AS topic_level_1_cluster_id,
+  CAST(dense_rank() OVER (ORDER BY f.first) AS INT) AS topic_level_2_cluster_id FROM coarse c JOIN fine f USING (id)""",
     "centroids": f"WITH {CENTROIDS} SELECT label, CAST(dimension AS INT) AS dimension, round(value, 6) AS value FROM means",
     "nearest_centroid": f"""WITH {CENTROIDS}, {CENTROID_LISTS},
 pairs AS (SELECT e.vec_id AS id, e.label, m.label AS nearest, list_distance(CAST(e.embedding AS DOUBLE[]), m.c) AS distance

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from topicgrove.functions import tags as T
 from topicgrove.functions import text as X
 from topicgrove.functions import urls as U
-from topicgrove.operators import classify, cleaning, cut, embedding, nearest, quality, review, silhouette, ward
+from topicgrove.operators import classify, cleaning, cut, embedding, nearest, quality, review, silhouette, single, ward
 from topicgrove.operators.naming import base, extractive, gazetteer, generative, hypernym, keyword, tfidf
 from topicgrove.plans import tables, taxonomy
 from topicgrove.schema import cluster_column
@@ -340,6 +340,10 @@ def sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_tree(spark, sf_dir).sweep(), "distance")
 
 
+def single_linkage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return single.single_linkage(tables.vectors(spark, sf_dir), [1.15, 1.0], "text_embedding")
+
+
 def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = extractive.centroids(tables.vectors(spark, sf_dir), "label")
     return means.select("label", F.posexplode("centroid").alias("dimension", "value")).withColumn(
@@ -445,6 +449,7 @@ QUERIES = {
     "cut_levels": cut_levels,
     "cluster_counts": cluster_counts,
     "sweep": sweep,
+    "single_linkage": single_linkage,
     "centroids": centroids,
     "nearest_centroid": nearest_centroid,
     "embed_posts": embed_posts,

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from topicgrove.functions.text import word_runs
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -65,10 +67,6 @@ def concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A word table: in each benchmark item that holds a word, the item's first word is the broader term."""
-    from pyspark.sql import Window
-
-    from topicgrove.functions.text import word_runs
-
     items = table(spark, sf_dir, "benchmark").select("item_id", word_runs(F.lower("text")).alias("words"))
     each = items.select("item_id", F.explode(F.array_distinct("words")).alias("word"), F.get("words", F.lit(0)).alias("lemma"))
     rank = F.dense_rank().over(Window.partitionBy("word").orderBy("item_id"))

@@ -2,32 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from topicgrove.functions.text import clean_html, first_n_words, is_min_text, let, num_words
+from topicgrove.functions.text import clean_html
 from topicgrove.functions.urls import site_of, year_of
 from topicgrove.operators.classify import TopicModel
-from topicgrove.operators.embedding import embed
+from topicgrove.operators.cleaning import read_articles
+from topicgrove.operators.embedding import WordEncoder, embed
 from topicgrove.operators.review import topic_paths
 
 
 def clean_stream(posts: DataFrame, min_words: int = 20, max_words: int = 1000) -> DataFrame:
     """Clean columns of new posts that are long enough; stateless, so it keeps no rows."""
-    read = let(
-        first_n_words(clean_html(F.col("text")), max_words),
-        lambda text: F.struct(text.alias("text"), num_words(text).alias("text_length")),
-    )
-    kept = [c for c in posts.columns if c not in ("title", "text")]
-    return (
-        posts.select(*kept, clean_html(F.col("title")).alias("title"), read.alias("read"))
-        .select(*kept, "title", "read.text", "read.text_length")
-        .withColumn("site", site_of(F.col("url")))
-        .withColumn("year_published", year_of(F.col("date")))
-        .filter((F.col("text") != "") & is_min_text(F.col("text_length"), min_words))
-    )
+    titled = posts.withColumn("title", clean_html(F.col("title")))
+    placed = titled.withColumn("site", site_of(F.col("url"))).withColumn("year_published", year_of(F.col("date")))
+    return read_articles(placed, min_words, max_words)
 
 
 def drop_republished(posts: DataFrame, delay: str = "7 days") -> DataFrame:
@@ -41,7 +32,7 @@ def drop_republished(posts: DataFrame, delay: str = "7 days") -> DataFrame:
 
 
 def score_stream(
-    posts: DataFrame, encoder: PipelineModel, model: TopicModel, tree: DataFrame, num_levels: int
+    posts: DataFrame, encoder: WordEncoder, model: TopicModel, tree: DataFrame, num_levels: int
 ) -> DataFrame:
     """Clean posts with the predicted topic of every level, for a stream or a batch.
 
