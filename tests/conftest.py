@@ -10,7 +10,7 @@ from topicgrove.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    return local_session("topicgrove-tests", **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
+    return local_session("topicgrove-tests", 4, **{"spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
 
 
 @pytest.fixture(scope="session")

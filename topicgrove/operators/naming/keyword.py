@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from topicgrove.functions.tags import NO_KEYWORD_TAG, NO_PARENT_TAG, keyword_words, tag_words
 from topicgrove.operators.naming.base import Namer
 from topicgrove.operators.naming.unique import unique_tags
-from topicgrove.session import written
 
 # A word's first place is seq * 2^20 + its position in the title, so that it is
 # one long and the aggregation stays a hash aggregation.
@@ -53,11 +52,9 @@ def tag_candidates(counts: DataFrame, sizes: list[int]) -> DataFrame:
 
 
 def _settle(candidates: DataFrame, taken: DataFrame | None, nothing: str) -> DataFrame:
-    """Unique tags, with the tag ``nothing`` (never reserved) where there is no candidate."""
-    stored = written(candidates, "candidates")
-    tags = unique_tags(stored.filter(F.col("candidates").isNotNull()), taken)
-    wordless = stored.filter(F.col("candidates").isNull()).select("cluster_id", F.lit(nothing).alias("tag"))
-    return tags.union(wordless)
+    """Unique tags; a cluster without candidates gets ``nothing``, which any number may share."""
+    only = F.array(F.lit(nothing))
+    return unique_tags(candidates.withColumn("candidates", F.coalesce("candidates", only)), taken)
 
 
 def leaf_candidates(titles: DataFrame) -> DataFrame:
