@@ -309,6 +309,32 @@ def _reach(name: str, step: float) -> str:
 {name} AS (SELECT id, min(to_id) AS first FROM {name}_reach GROUP BY id)"""
 
 
+# One merge per step: the closest pair of the clusters that are left.
+WARD = """w AS (
+  SELECT 0 AS step, min(vec_id) AS id, count(*) AS size, CAST(embedding AS DOUBLE[]) AS c,
+    CAST(NULL AS BIGINT) AS absorbed, CAST(NULL AS DOUBLE) AS height
+  FROM embeddings GROUP BY embedding
+  UNION ALL
+  SELECT w.step + 1, w.id, CASE WHEN w.id = p.l THEN p.sa + p.sb ELSE w.size END,
+    CASE WHEN w.id = p.l THEN list_transform(p.ca, lambda x, i: (x * p.sa + p.cb[i] * p.sb) / (p.sa + p.sb)) ELSE w.c END,
+    CASE WHEN w.id = p.l THEN p.r END, CASE WHEN w.id = p.l THEN p.h END
+  FROM w, (
+    SELECT a.id AS l, b.id AS r, a.c AS ca, b.c AS cb, a.size AS sa, b.size AS sb,
+      sqrt(2.0 * a.size * b.size / (a.size + b.size)) * list_distance(a.c, b.c) AS h
+    FROM w a JOIN w b ON a.id < b.id ORDER BY h, l, r LIMIT 1) p
+  WHERE w.id <> p.r),
+merges AS (SELECT id AS "left", absorbed AS "right", height, size FROM w WHERE absorbed IS NOT NULL)"""
+
+
+def _cut(name: str, at: float) -> str:
+    """``name(id, root)``: every leaf follows its merges up to the height."""
+    return f"""{name}_up AS (
+  SELECT 0 AS step, min(vec_id) AS id, min(vec_id) AS root FROM embeddings GROUP BY embedding
+  UNION ALL
+  SELECT u.step + 1, u.id, m."left" FROM {name}_up u JOIN merges m ON m."right" = u.root AND m.height <= {at}),
+{name} AS (SELECT id, arg_max(root, step) AS root FROM {name}_up GROUP BY id)"""
+
+
 REPLY_WORDS = _squeeze(r"regexp_replace(topic, '[^\p{L}\p{N}_" + WS_BODY + "-]', '', 'g')")
 CENTRAL_TAG = _tag_format(_first_words("substr(" + _squeeze("replace(title, '_', ' ')") + ", 1, 1000)", 6))
 
@@ -446,6 +472,21 @@ QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) = 1""",
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id GROUP BY ALL),
 sides AS (SELECT id, max(mean_distance) FILTER (WHERE own = other) AS a, min(mean_distance) FILTER (WHERE own <> other) AS b FROM pairs GROUP BY id)
 SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM sides""",
+    "ward_merges": f"""WITH RECURSIVE {WARD}
+SELECT "left", "right", round(height, 6) AS height, size FROM merges""",
+    "dendrogram": f"""WITH RECURSIVE {WARD},
+grown AS (SELECT "left" AS id, arg_max(-"right" - 1, size) AS node FROM merges GROUP BY "left")
+SELECT coalesce(lag(-m."right" - 1) OVER (PARTITION BY m."left" ORDER BY m.size), m."left") AS "left",
+  coalesce(g.node, m."right") AS "right", -m."right" - 1 AS parent, round(m.height, 6) AS height, m.size
+FROM merges m LEFT JOIN grown g ON m."right" = g.id""",
+    "cut_levels": f"""WITH RECURSIVE {WARD}, {_cut('coarse', 2.5)}, {_cut('fine', 2.0)},
+leaf_of AS (SELECT vec_id AS seq, min(vec_id) OVER (PARTITION BY embedding) AS id FROM embeddings)
+SELECT seq, CAST(dense_rank() OVER (ORDER BY c.root) AS INT) AS topic_level_1_cluster_id,
+  CAST(dense_rank() OVER (ORDER BY f.root) AS INT) AS topic_level_2_cluster_id
+FROM leaf_of JOIN coarse c USING (id) JOIN fine f USING (id)""",
+    "cluster_counts": f"""WITH RECURSIVE {WARD}, {_cut('coarse', 2.5)}, {_cut('fine', 2.0)}
+SELECT CAST(2.5 AS DOUBLE) AS distance, count(DISTINCT root) AS n_clusters FROM coarse
+UNION ALL SELECT 2.0, count(DISTINCT root) FROM fine""",
     "single_linkage": f"""WITH RECURSIVE {_reach('fine', 1.0)}, {_reach('coarse', 1.15)}
 SELECT id, CAST(dense_rank() OVER (ORDER BY c.first) AS INT) AS topic_level_1_cluster_id,
   CAST(dense_rank() OVER (ORDER BY f.first) AS INT) AS topic_level_2_cluster_id FROM coarse c JOIN fine f USING (id)""",

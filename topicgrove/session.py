@@ -35,14 +35,14 @@ def shared_dir(spark: SparkSession) -> str:
     cluster without one is refused, since a lost executor would take the only
     copy of a machine-local file with it.
     """
-    named = spark.conf.get(SHARED_DIR_KEY, None)
+    context = spark.sparkContext
+    named = spark.conf.get(SHARED_DIR_KEY, None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"Set {SHARED_DIR_KEY} to a folder that all executors share.")
-    created = tempfile.mkdtemp(prefix="topicgrove-")
-    spark.conf.set(SHARED_DIR_KEY, created)
-    return created
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="topicgrove-"))
+    return context.getCheckpointDir()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
