@@ -50,15 +50,15 @@ def recent_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.table(spark, sf_dir, "pages").select("page_id", X.clean_html(F.col("html")).alias("text"))
+    return tables.texts(spark, sf_dir, "pages", "page_id").select("page_id", X.clean_html(F.col("html")).alias("text"))
 
 
 def first_n_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.table(spark, sf_dir, "documents").select("doc_id", X.first_n_words(F.col("text")).alias("text"))
+    return tables.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", X.first_n_words(F.col("text")).alias("text"))
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.table(spark, sf_dir, "documents").select("doc_id", X.num_words(F.col("text")).alias("text_length"))
+    return tables.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", X.num_words(F.col("text")).alias("text_length"))
 
 
 def article_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +132,7 @@ def tag_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parse_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = T.reply_topic(F.col("text"))
-    return tables.table(spark, sf_dir, "documents").select(
+    return tables.texts(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", topic.alias("topic"), T.reply_tag(topic).alias("tag")
     )
 

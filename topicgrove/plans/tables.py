@@ -6,16 +6,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicgrove.functions.text import word_runs
+from topicgrove.sources.posts import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table of long texts, spread over all cores when its file has few splits."""
+    return spread(table(spark, sf_dir, name), key)
+
+
 def document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a post: its first line is the title, its source the site and leaf cluster."""
     number = F.regexp_extract("source", "[0-9]+", 0).try_cast("int")
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents", "doc_id").select(
         F.col("doc_id").alias("seq"),
         F.col("doc_id").alias("id"),
         F.substring_index("text", "\n", 1).alias("title"),
@@ -30,7 +36,7 @@ def document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every web page as a raw post."""
-    return table(spark, sf_dir, "pages").select(
+    return texts(spark, sf_dir, "pages", "page_id").select(
         F.col("page_id").alias("seq"),
         F.col("page_id").alias("id"),
         "url",

@@ -32,14 +32,26 @@ def normalise_posts(raw: DataFrame) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all cores when they arrive in fewer input splits, as from one large file.
+
+    Reading texts is much cheaper than cleaning them. A table with enough splits
+    for all cores is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def read_posts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Landed JSON pages (one array of posts per file) as one table of posts.
 
-    A file without posts adds no rows, so empty sites need no special case.
-    Pages are small files, so one task reads many of them; land the result once
-    with ``write_table`` and go on from there.
+    A file without posts adds no rows, so empty sites need no special case. A
+    page cannot be split and one task reads many small ones; land the result
+    once with ``write_table`` and go on from there.
     """
-    return normalise_posts(spark.read.schema(RAW_POST).json(path, multiLine=True))
+    return spread(normalise_posts(spark.read.schema(RAW_POST).json(path, multiLine=True)), "url")
 
 
 def read_post_stream(spark: SparkSession, path: str) -> DataFrame:
