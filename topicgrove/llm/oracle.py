@@ -39,3 +39,47 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_sy
        n_repeat_words::BIGINT AS n_repeat_words, base_failed, broken, NOT base_failed AND broken = '' AS kept
 FROM b
 """
+
+MIXING = rf"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size FROM documents
+), s AS (
+  SELECT *, [5, 2, 1][class + 1] AS weight FROM (
+    SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS class FROM d GROUP BY source)
+), f AS (
+  SELECT s.*, (SELECT coalesce(sum(least(2.0 * o.source_size, o.weight * (2 * s.source_size / s.weight))), 0) FROM s o)
+              <= 1.5 * (SELECT sum(source_size) FROM s) AS is_full FROM s
+), t AS (
+  SELECT source, source_size, class, CASE WHEN is_full THEN 2.0::DOUBLE * source_size ELSE
+    ((SELECT 1.5::DOUBLE * sum(source_size) FROM s) - 2 * (SELECT coalesce(sum(source_size), 0) FROM f WHERE is_full))
+    / (SELECT sum(weight) FROM f WHERE NOT is_full) * weight END AS target FROM f
+), p AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY ('0x' || substr(md5(doc_id::VARCHAR), 1, 7))::BIGINT % (SELECT pow(2, ceil(log2(count(*) // 512 + 1)))::BIGINT FROM d),
+    md5(doc_id::VARCHAR), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d
+), m AS (
+  SELECT doc_id, size, source_size, target, class, (before + size / 2.0::DOUBLE) AS m1, (before + source_size + size / 2.0::DOUBLE) AS m2
+  FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target::DOUBLE AS target,
+       size * (CASE WHEN size > 0 AND m1 < target THEN 1 ELSE 0 END + CASE WHEN size > 0 AND m2 < target THEN 1 ELSE 0 END) AS taken,
+       CASE WHEN size > 0 AND m1 < target THEN round(CASE class
+         WHEN 0 THEN (sqrt(2.25 - 2 * m1 / target) - 1.5) / -1.0
+         WHEN 1 THEN m1 / target
+         ELSE CASE WHEN 0.75 * m1 / target < 0.25 THEN 0.75 * m1 / target / 0.5
+              ELSE 0.5 + (sqrt(0.25 + 4 * (0.75 * m1 / target - 0.25)) - 0.5) / 2 END END, 9) END AS position
+FROM m
+"""
+
+URL_FILTERS = r"""
+WITH u AS (
+  SELECT row_number() OVER () AS r, page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), h AS (
+  SELECT r, page_id, lower(regexp_extract(rest, '^[^/?#]*')) AS host, regexp_replace(regexp_extract(rest, '^[^/?#]*[^?#]*'), '^[^/?#]*', '') AS path FROM u
+), rules(verdict, host, path) AS (
+  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM (
+  SELECT h.page_id, h.host, h.path, rules.host || rules.path AS rule, rules.verdict,
+         row_number() OVER (PARTITION BY h.r ORDER BY length(rules.host || rules.path) DESC) AS n
+  FROM h LEFT JOIN rules ON (h.host = rules.host OR ends_with(h.host, '.' || rules.host)) AND starts_with(h.path, rules.path)) WHERE n = 1
+"""

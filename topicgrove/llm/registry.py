@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicgrove.llm import oracle
-from topicgrove.llm.common import table
+from topicgrove.llm.common import shuffle_partitions, table
+from topicgrove.llm.mixing import plan
 from topicgrove.llm.quality_rules import judge
+from topicgrove.llm.url_filters import judge as judge_urls
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,10 +17,33 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("broken", F.array_join("broken", ","))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = plan(table(spark, sf_dir, "documents"))
+    each = rows.withColumn("position", F.get("positions", F.lit(0))).withColumn("row", F.explode(F.sequence(F.lit(1), F.col("n_rows"))))
+    ordered = each.repartitionByRange(shuffle_partitions(spark), "position", "doc_id").sortWithinPartitions("position", "doc_id")
+    return ordered.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "verdict string, host string, path string"))
+
+
+#: The rules of the registered query.
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_mixing": op3_mixing,
+    "op7_url_filters": op7_url_filters,
 }
 
 ORACLE_SQL = {
     "op2_quality_rules": oracle.QUALITY_RULES,
+    "op3_mixing": oracle.MIXING,
+    "op7_url_filters": oracle.URL_FILTERS,
 }
