@@ -83,3 +83,27 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM (
          row_number() OVER (PARTITION BY h.r ORDER BY length(rules.host || rules.path) DESC) AS n
   FROM h LEFT JOIN rules ON (h.host = rules.host OR ends_with(h.host, '.' || rules.host)) AND starts_with(h.path, rules.path)) WHERE n = 1
 """
+
+_PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DECONTAMINATION = rf"""
+WITH i AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '{_PLAIN}') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, list_slice(w, s, s + 9) AS g FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS s FROM i WHERE len(w) > 0)
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_PLAIN}') AS w FROM documents
+), p AS (
+  SELECT r, w, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS s FROM d
+), f AS (
+  SELECT p.r, p.s, len(g) AS n, item_id FROM p JOIN win ON p.t = g[1] AND list_slice(p.w, p.s, p.s + len(g) - 1) = g
+), h AS (
+  SELECT r, count(DISTINCT s + o) AS n_hit FROM f, range(0, 10) t(o) WHERE o < n GROUP BY r
+), x AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM f) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN x USING (r)
+"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from topicgrove.llm import oracle
 from topicgrove.llm.common import shuffle_partitions, table
+from topicgrove.llm.decontamination import contamination
 from topicgrove.llm.mixing import plan
 from topicgrove.llm.quality_rules import judge
 from topicgrove.llm.url_filters import judge as judge_urls
@@ -24,6 +25,18 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "verdict string, host string, path string"))
 
@@ -39,11 +52,13 @@ URL_RULES = [
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_mixing": op3_mixing,
+    "op5_decontamination": op5_decontamination,
     "op7_url_filters": op7_url_filters,
 }
 
 ORACLE_SQL = {
     "op2_quality_rules": oracle.QUALITY_RULES,
     "op3_mixing": oracle.MIXING,
+    "op5_decontamination": oracle.DECONTAMINATION,
     "op7_url_filters": oracle.URL_FILTERS,
 }
