@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,8 @@ from topicgrove.llm.common import shuffle_partitions, table
 from topicgrove.llm.decontamination import contamination
 from topicgrove.llm.mixing import plan
 from topicgrove.llm.quality_rules import judge
+from topicgrove.llm.packing import pack
+from topicgrove.llm.token_counts import count_tokens
 from topicgrove.llm.url_filters import judge as judge_urls
 
 
@@ -37,6 +40,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "verdict string, host string, path string"))
 
@@ -53,6 +64,8 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_mixing": op3_mixing,
     "op5_decontamination": op5_decontamination,
+    "op1_token_packing": op1_token_packing,
+    "op6_token_counts": op6_token_counts,
     "op7_url_filters": op7_url_filters,
 }
 
