@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: ASCII white space: the separators of words.
@@ -97,3 +97,15 @@ def mixed(values: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, per_class: int, most_bytes: int) -> tuple[list[bytes], np.ndarray]:
+    """At most ``per_class`` labelled texts of each class, by a hash of the id; texts above ``most_bytes`` are not drawn."""
+    known = labels.where(usable & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("drawn_label"))
+    order = F.xxhash64("doc_id")
+    ranked = known.withColumn("nth", F.row_number().over(Window.partitionBy("drawn_label").orderBy(order)))
+    drawn = F.broadcast(ranked.where(F.col("nth") <= per_class).drop("nth"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("text")).where(F.octet_length(text) <= most_bytes).join(drawn, "doc_id")
+    rows = sorted((r.doc_id, r.text.encode(), r.drawn_label) for r in rows.dropDuplicates(["doc_id"]).collect())
+    return [t for _, t, _ in rows], np.array([y for *_, y in rows], np.float32)

@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicgrove.llm import oracle
-from topicgrove.llm.common import shuffle_partitions, table
+from topicgrove.llm.common import bucket_of, shuffle_partitions, table
 from topicgrove.llm.decontamination import contamination
 from topicgrove.llm.mixing import plan
+from topicgrove.llm.quality_classifier import fit as fit_quality
+from topicgrove.llm.quality_classifier import score as score_quality
 from topicgrove.llm.quality_rules import judge
 from topicgrove.llm.packing import pack
 from topicgrove.llm.token_counts import count_tokens
@@ -28,6 +30,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (bucket_of(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -63,6 +71,7 @@ URL_RULES = [
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_mixing": op3_mixing,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_decontamination": op5_decontamination,
     "op1_token_packing": op1_token_packing,
     "op6_token_counts": op6_token_counts,
