@@ -15,6 +15,8 @@ from topicgrove.llm.quality_classifier import score as score_quality
 from topicgrove.llm.quality_rules import judge
 from topicgrove.llm.packing import pack
 from topicgrove.llm.token_counts import count_tokens
+from topicgrove.llm.toxicity import fit as fit_toxicity
+from topicgrove.llm.toxicity import score as score_toxicity
 from topicgrove.llm.url_filters import judge as judge_urls
 
 
@@ -60,6 +62,12 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "verdict string, host string, path string"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (bucket_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 #: The rules of the registered query.
 URL_RULES = [
     ("block", "net", "/"),
@@ -76,6 +84,7 @@ QUERIES = {
     "op1_token_packing": op1_token_packing,
     "op6_token_counts": op6_token_counts,
     "op7_url_filters": op7_url_filters,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL = {
