@@ -107,3 +107,29 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
        sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN h USING (r) LEFT JOIN x USING (r)
 """
+
+def near_dedup_ctes(docs: str, n: int) -> str:
+    """CTEs that end in ``comp (doc_id, n_shingles, component_id)`` for the rows of ``docs (doc_id, text)``."""
+    return rf"""nd_w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{WORD}') AS w FROM {docs}
+), nd_s AS (
+  SELECT DISTINCT doc_id, list_slice(w, i, i + {n - 1}) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {n - 2}, 2))) AS i FROM nd_w WHERE len(w) > 0)
+), nd_n AS (
+  SELECT doc_id, count(*) AS n FROM nd_s GROUP BY doc_id
+), nd_p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM nd_s a JOIN nd_s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), nd_l AS (
+  SELECT a, b FROM nd_p JOIN nd_n x ON x.doc_id = a JOIN nd_n y ON y.doc_id = b WHERE 100 * nd_p.n >= 80 * (x.n + y.n - nd_p.n)
+), nd_e AS (
+  SELECT a, b FROM nd_l UNION SELECT b, a FROM nd_l
+), nd_r(doc_id, c) AS (
+  SELECT DISTINCT doc_id, doc_id FROM nd_w UNION SELECT r.doc_id, e.b FROM nd_r r JOIN nd_e e ON e.a = r.c
+), comp AS (
+  SELECT doc_id, coalesce(any_value(nd_n.n), 0)::BIGINT AS n_shingles, min(c) AS component_id FROM nd_r LEFT JOIN nd_n USING (doc_id) GROUP BY doc_id
+)"""
+
+
+NEAR_DEDUP = f"""WITH RECURSIVE {near_dedup_ctes("documents", 4)}
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM comp
+"""

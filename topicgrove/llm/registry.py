@@ -13,6 +13,7 @@ from topicgrove.llm.mixing import plan
 from topicgrove.llm.quality_classifier import fit as fit_quality
 from topicgrove.llm.quality_classifier import score as score_quality
 from topicgrove.llm.quality_rules import judge
+from topicgrove.llm.near_dedup import near_duplicates
 from topicgrove.llm.packing import pack
 from topicgrove.llm.token_counts import count_tokens
 from topicgrove.llm.toxicity import fit as fit_toxicity
@@ -62,6 +63,11 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "verdict string, host string, path string"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), n=4)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
@@ -84,6 +90,7 @@ QUERIES = {
     "op1_token_packing": op1_token_packing,
     "op6_token_counts": op6_token_counts,
     "op7_url_filters": op7_url_filters,
+    "op8_near_dedup": op8_near_dedup,
     "op9_toxicity": op9_toxicity,
 }
 
@@ -92,4 +99,5 @@ ORACLE_SQL = {
     "op3_mixing": oracle.MIXING,
     "op5_decontamination": oracle.DECONTAMINATION,
     "op7_url_filters": oracle.URL_FILTERS,
+    "op8_near_dedup": oracle.NEAR_DEDUP,
 }
