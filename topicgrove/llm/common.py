@@ -59,8 +59,14 @@ def slabs(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 16
 
 
 def texts_of(batch: pa.RecordBatch, text: str = "text") -> pa.Array:
-    """The texts of a batch as strings with 64-bit offsets; empty ones for nulls."""
-    return pc.fill_null(batch.column(text).cast(pa.large_string()), "")
+    """The texts of a batch as strings with 64-bit offsets; empty ones for nulls.
+
+    Slices are copied: pc.ascii_lower reads those of a larger array wrongly where there is no null.
+    """
+    column = batch.column(text)
+    if column.offset:
+        column = column.take(pa.array(np.arange(len(column))))
+    return pc.fill_null(column.cast(pa.large_string()), "")
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
