@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from topicgrove.llm import oracle
 from topicgrove.llm.common import bucket_of, shuffle_partitions, table
 from topicgrove.llm.decontamination import contamination
+from topicgrove.llm.katz import score as score_katz
 from topicgrove.llm.mixing import plan
 from topicgrove.llm.quality_classifier import fit as fit_quality
 from topicgrove.llm.quality_classifier import score as score_quality
@@ -74,6 +75,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (bucket_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_katz(table(spark, sf_dir, "documents"), bucket_of(F.col("doc_id"), 7) == 2)
+
+
 #: The rules of the registered query.
 URL_RULES = [
     ("block", "net", "/"),
@@ -92,6 +97,7 @@ QUERIES = {
     "op7_url_filters": op7_url_filters,
     "op8_near_dedup": op8_near_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_katz": op10_katz,
 }
 
 ORACLE_SQL = {
