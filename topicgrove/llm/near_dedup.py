@@ -96,7 +96,7 @@ def band_hashes(minima: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, n: int) -> DataFrame:
-    """``(doc_id, n_shingles, hi, lo, odd, bands)`` per row; the last four are null where there are no words."""
+    """``(doc_id, text_hash, n_shingles, hi, lo, odd, bands)`` per row; the last four are null where there are no words."""
 
     def rows(values: np.ndarray, present: np.ndarray) -> pa.Array:
         offsets = np.concatenate([[0], np.cumsum(np.where(present, values.shape[1], 0))]).astype(np.int32)
@@ -111,11 +111,12 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
             minima = minhash(hashes, starts)
             hi, lo = (pa.array(digest[:, k], mask=~present) for k in (0, 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(count.astype(np.int64)), hi, lo, rows(odd_sketches(minima), present), rows(band_hashes(minima), present)],
-                ["doc_id", "n_shingles", "hi", "lo", "odd", "bands"],
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(count.astype(np.int64)), hi, lo, rows(odd_sketches(minima), present), rows(band_hashes(minima), present)],
+                ["doc_id", "text_hash", "n_shingles", "hi", "lo", "odd", "bands"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, hi long, lo long, odd array<long>, bands array<long>")
+    rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows_in.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, hi long, lo long, odd array<long>, bands array<long>")
 
 
 def full_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -160,7 +161,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, perc
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: ``(doc_id, n_shingles, hi, lo, component_id, kept)``.
+    """One row per document: ``(doc_id, text_hash, n_shingles, component_id, kept)``.
 
     Documents are linked where ``100 * intersection >= percent * union`` of their sets of ``n``-word shingles; words are lower-cased (A-Z)
     runs of other than ASCII white space. ``component_id`` is the smallest id reachable and ``kept`` whether it is the row's own.
@@ -209,6 +210,24 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         labels = components(links)
 
     named = nodes.select("hi", "lo", "node").join(labels, "node", "left").select("hi", "lo", F.coalesce("label", "node").alias("component_id"))
-    joined = rows.select("doc_id", "n_shingles", "hi", "lo").join(named, ["hi", "lo"], "left")
+    joined = rows.select("doc_id", "text_hash", "n_shingles", "hi", "lo").join(named, ["hi", "lo"], "left")
     found = F.coalesce("component_id", "doc_id")
-    return joined.select("doc_id", "n_shingles", "hi", "lo", found.alias("component_id"), F.coalesce(F.col("doc_id") == found, found.isNull()).alias("kept"))
+    return joined.select("doc_id", "text_hash", "n_shingles", found.alias("component_id"), F.coalesce(F.col("doc_id") == found, found.isNull()).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay when each group of near-duplicates keeps the document with the smallest id.
+
+    Of several rows with that id the one with the smallest text hash stays. Documents without words stay, and so do rows with a null id unless a
+    document with an id has an equal set.
+    """
+    found = near_duplicates(docs, n, percent).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    named = found.where("kept_id is not null").groupBy("kept_id").agg(F.min("kept_hash").alias("kept_hash"), F.count("*").alias("n_rows"))
+    nameless = found.where("kept_id is null").distinct().withColumn("n_rows", F.lit(1).cast("long"))
+    stays, seen = written_and_measured(named.union(nameless), "kept", most=F.max("n_rows"))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("kept_id")) & (F.xxhash64(docs["text"]) == F.col("kept_hash"))
+    kept = docs.join(stays, same, "left_semi")
+    if (seen["most"] or 0) <= 1:
+        return kept
+    # rows equal in id and text are told apart by nothing; any one of them stays
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
