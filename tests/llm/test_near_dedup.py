@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 
 from topicgrove.llm import near_dedup as N
+from topicgrove.llm import graph as G
 from topicgrove.llm.graph import components
 
 
@@ -46,9 +47,8 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("n, growth", [(4, 16), (5, 2)])
-def test_equals_brute_force(documents, monkeypatch, n, growth):
-    monkeypatch.setattr(N, "PIVOT_GROWTH", growth)
+@pytest.mark.parametrize("n", [4, 5])
+def test_equals_brute_force(documents, n):
     rows = corpus()
     expected = brute(rows, n, 80)
     found = N.near_duplicates(documents(rows), n=n).collect()
@@ -85,8 +85,30 @@ def test_shingles_of_a_batch():
     assert np.diff(starts).tolist() == [len(shingles(t, 4)) for t in texts]
 
 
-def test_components_of_a_long_path(spark):
+@pytest.mark.parametrize("chunk", [1_000_000, 20])
+def test_components_of_a_long_path(spark, monkeypatch, chunk):
+    monkeypatch.setattr(G, "CHUNK_LINKS", chunk)
     path = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     labels = {r.node: r.label for r in components(path).collect()}
     assert labels == {i: 0 for i in range(61)} | {100: 100, 101: 100}
     assert components(path.where("false")).count() == 0
+
+
+def test_contracted_links():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        n = rng.integers(1, 30)
+        a, b = rng.integers(0, n, (2, rng.integers(0, 2 * n)))
+        parent = list(range(n))
+
+        def root(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for x, y in zip(a, b):
+            lo, hi = sorted((root(x), root(y)))
+            parent[hi] = lo
+        node, top = G.contracted(a, b)
+        expected = {i: root(i) for i in set(a.tolist()) | set(b.tolist())}
+        assert dict(zip(node.tolist(), top.tolist())) == {i: r for i, r in expected.items() if i != r}

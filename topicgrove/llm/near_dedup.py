@@ -5,9 +5,9 @@ pairs, and folded into a parity bitmap, the odd sketch: each sample flips one bi
 count the samples in which the documents differ, and the similarity follows with small error where it is high. Proposed pairs that the
 sketches put far below the threshold fall; the rest is confirmed on the full sets.
 
-Documents with equal sets are one node from the start. Inside a bucket a node is compared with pivots, not with all others:
-first with the smallest node, then, only in buckets that still hold several components, with ever more pivots, until each
-pair that shares a bucket lies in one component or has been compared. So a group of copies costs pairs in proportion to its size.
+Documents with equal sets are one node from the start. A bucket's members are compared with its smallest node, not with each
+other, so a group of copies costs pairs in proportion to its size. Buckets that then still hold several components hide pairs that
+were not compared; these are found by a condition that every such pair meets, a shared rare shingle.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ BANDS, ROWS = 32, 5
 SAMPLES, SKETCH_BITS = BANDS * ROWS, 512
 #: Sketches may put a pair this far below the threshold before it falls: over five standard errors.
 MARGIN = 0.2
-PIVOT_GROWTH = 16
 _SEEDS = np.random.default_rng(20).integers(1, 1 << 63, (4, SAMPLES), np.uint64) | np.uint64(1)
 
 
@@ -160,6 +159,28 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, perc
     return both.select("a", "b", "of_a", "of_b", shared.alias("shared")).where(100 * F.col("shared") >= percent * union).select("a", "b").distinct()
 
 
+def _necessary_pairs(left: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes with different labels that the prefix condition leaves.
+
+    With shingles in order of rarity, sets of the wanted similarity share one of the first ``|A| - ceil(t * |A|) + 1`` of each
+    side. Shingles of one set alone come first and meet nothing, so texts that share a passage, however many, but not
+    enough of the rest, do not meet.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(left.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    sets = written(full_sets(texts, n).dropDuplicates(["node", "hi", "lo"]), "sets")
+    size = F.size("shingles")
+    tokens = sets.select("node", "hi", size.alias("size"), F.explode("shingles").alias("shingle"))
+    known = tokens.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    shared = tokens.join(known, "shingle")
+    prefix = F.col("size") - F.ceil(F.lit(percent) * F.col("size") / 100) + 1
+    alone = F.col("size") - F.count("*").over(Window.partitionBy("node", "hi"))
+    rank = F.row_number().over(Window.partitionBy("node", "hi").orderBy("df", "shingle"))
+    ranked = shared.withColumns({"rank": rank + alone, "prefix": prefix}).where("rank <= prefix").select("shingle", "node")
+    placed = written(ranked.join(left, "node").select("shingle", "node", "label").distinct(), "prefixes")
+    a, b = placed.withColumnsRenamed({"node": "a", "label": "label_a"}), placed.withColumnsRenamed({"node": "b", "label": "label_b"})
+    return a.join(b, "shingle").where("a < b and label_a <> label_b").select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: ``(doc_id, text_hash, n_shingles, component_id, kept)``.
 
@@ -182,32 +203,18 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     same_id = rows.where("hi is not null and doc_id is not null").select("doc_id", "hi", "lo").distinct()
     links = same_id.join(nodes.select("hi", "lo", "node"), ["hi", "lo"]).groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
     links = written(links.where("a <> b").select("a", "b"), "links")
-    compared, labels, pivots = None, None, 1
-    while True:
-        if labels is None:
-            labelled = members.withColumn("label", F.col("node"))
-        else:
-            labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        split = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
-        open_buckets, left = written_and_measured(split.where("low <> high").select("bucket", "size"), "open", size=F.max("size"))
-        if left["size"] is None:
-            break
-        active = labelled.join(open_buckets.select("bucket"), "bucket")
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        chosen = active.withColumn("rank", rank).where(F.col("rank") <= pivots).select("bucket", F.col("node").alias("a"), F.col("label").alias("label_a"))
-        pairs = active.join(chosen, "bucket").where((F.col("a") < F.col("node")) & (F.col("label") != F.col("label_a"))).select("a", F.col("node").alias("b")).distinct()
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        found = written(_confirmed(pairs, nodes, docs, n, percent), "links")
-        links = links.union(found)
-        labels = components(links)
-        if left["size"] <= pivots + 1:
-            break
-        compared = pairs if compared is None else compared.union(pairs)
-        pivots *= PIVOT_GROWTH
-    if labels is None:
-        labels = components(links)
+    # first each bucket's members against its smallest node
+    first = members.join(members.groupBy("bucket").agg(F.min("node").alias("a")), "bucket").where("a <> node").select("a", F.col("node").alias("b"))
+    links = written(links.union(_confirmed(written(first.distinct(), "pairs"), nodes, docs, n, percent)), "links")
+    labels = components(links)
+    # then what still shares a bucket across components, by the shingles that such pairs must share
+    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
+    left, seen = written_and_measured(labelled.join(several, "bucket").select("node", "label").distinct(), "open", n=F.count("*"))
+    if seen["n"]:
+        pairs = written(_necessary_pairs(left, docs, n, percent), "pairs")
+        more = written(_confirmed(pairs, nodes, docs, n, percent), "links")
+        labels = components(links.union(more))
 
     named = nodes.select("hi", "lo", "node").join(labels, "node", "left").select("hi", "lo", F.coalesce("label", "node").alias("component_id"))
     joined = rows.select("doc_id", "text_hash", "n_shingles", "hi", "lo").join(named, ["hi", "lo"], "left")
