@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicgrove.llm.common import hash_strings, mixed, shuffle_partitions, slabs, split_words, texts_of, words_of
+from topicgrove.llm.common import hash_strings, mixed, shuffle_partitions, shuffles_dropped, slabs, split_words, texts_of, words_of
 from topicgrove.session import written_and_measured
 
 CUTOFF, TAIL = 5, 0.1
@@ -32,7 +32,7 @@ CUTOFF, TAIL = 5, 0.1
 END, BEGIN = np.uint64(0x0E4D0E4D0E4D0E4D), np.uint64(0xBE619BE619BE6191)
 SLAB_BYTES = 12 << 20
 #: Tokens that one part of the model takes.
-PART_TOKENS = 6_000_000
+PART_TOKENS = 2_000_000
 HOT_SHARE = 8
 _SALT = np.uint64(0x2545F4914F6CDD1D)
 
@@ -133,7 +133,8 @@ def _unigrams(docs: DataFrame) -> Unigrams:
     spark = docs.sparkSession
     measures = {f"n{r}": F.count_if(F.col("n") == r) for r in range(1, CUTOFF + 2)}
     end = F.sum(F.when(F.col("word") == int(END.view(np.int64)), F.col("n")))
-    counts, seen = written_and_measured(_count_words(docs), "words", tokens=F.sum("n"), types=F.count("*"), documents=end, **measures)
+    with shuffles_dropped(spark):
+        counts, seen = written_and_measured(_count_words(docs), "words", tokens=F.sum("n"), types=F.count("*"), documents=end, **measures)
     total, types, documents = (int(seen[k] or 0) for k in ("tokens", "types", "documents"))
     parts = max(1, -(-total // PART_TOKENS), min(shuffle_partitions(spark), 16))
     # at most HOT_SHARE * parts words can have so large a share
@@ -207,14 +208,14 @@ def _joined(payloads: list[bytes]) -> list[np.ndarray]:
     """Payloads of ``_pairs_by_part`` put together: word and context of each pair, pair, document and count of each entry, keys."""
     words, contexts, pair, document, times, ids, texts, trains = ([] for _ in range(8))
     n_pairs = n_documents = 0
-    for payload in payloads:
-        w, per_word, v, per_pair, local, n, i, t, y = unpacked(payload)
+    while payloads:
+        w, per_word, v, per_pair, local, n, i, t, y = unpacked(payloads.pop())
         words.append(np.repeat(w, per_word))
         contexts.append(v)
-        pair.append(np.repeat(np.arange(len(v)) + n_pairs, per_pair))
-        document.append(local.astype(np.int64) + n_documents)
+        pair.append(np.repeat(np.arange(n_pairs, n_pairs + len(v), dtype=np.int32), per_pair))
+        document.append(local.astype(np.int32) + np.int32(n_documents))
         for target, values in ((times, n), (ids, i), (texts, t), (trains, y)):
-            target.append(values.astype(np.int64) if target is times else values)
+            target.append(values.astype(np.int32) if target is times else values)
         n_pairs += len(v)
         n_documents += len(i)
     return [np.concatenate(x) for x in (words, contexts, pair, document, times, ids, texts, trains)]
@@ -232,10 +233,11 @@ def _settle(known: Unigrams):
         order = np.lexsort((contexts, words))
         w, v = words[order], contexts[order]
         new = np.concatenate([[True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])])
-        type_of = np.empty(len(order), np.int64)
+        type_of = np.empty(len(order), np.int32)
         type_of[order] = np.cumsum(new) - 1
         w, v = w[new], v[new]
         kind = type_of[pair]
+        del words, contexts, order, type_of, pair
         seen = np.bincount(kind, times * trains[document], minlength=len(w)).astype(np.int64)
         new_word = np.concatenate([[True], w[1:] != w[:-1]])
         word_of = np.cumsum(new_word) - 1
@@ -249,6 +251,7 @@ def _settle(known: Unigrams):
         base = np.log10((c + 1) / (known.tokens + known.types + 1))
         total = lambda values: np.bincount(document, times * values, minlength=n)
         sums = [total(certain - follows), total(base)]
+        del certain, follows, base
         small = [total(r == k).astype(np.int64) for k in range(1, CUTOFF + 1)]
         knew = total(c > 0).astype(np.int64)
         target = (mixed(ids) % np.uint64(known.parts)).astype(np.int64)
@@ -373,7 +376,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     dealt = _pairs_by_part(rows, known).repartition(known.parts, "part")
     schema = "part int, kind int, payload binary, histogram array<long>"
     columns = {f"h{r}": F.sum(F.get("histogram", F.lit(r))) for r in range(CUTOFF + 1)}
-    settled, seen = written_and_measured(dealt.groupBy("part").applyInArrow(_settle(known), schema), "settled", **columns)
+    with shuffles_dropped(docs.sparkSession):
+        settled, seen = written_and_measured(dealt.groupBy("part").applyInArrow(_settle(known), schema), "settled", **columns)
     discounts = good_turing(np.array([seen[f"h{r}"] or 0 for r in range(CUTOFF + 1)]))
     fields = "id_key long, text_key int, " + ", ".join(f"{c} double" for c in SUMS)
     partial = settled.select("part", "kind", "payload").repartition(known.parts, "part").groupBy("part").applyInArrow(_backoff(known, discounts), fields)
