@@ -97,10 +97,25 @@ def test_short_text_is_dropped_after_the_title_pass(spark):
 
 
 def test_text_is_cleaned_once(spark):
-    """The title is cleaned for each of the two scans, the text in one of them only."""
+    """One plan gives the rows: the title and the text are cleaned once in it."""
     cleaned = clean_posts(page_posts(spark, "/root/testdata/sf0.001"), cleaner=lambda t: F.concat(t, F.lit("#mark")))
     plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("#mark") == 3
+    assert plan.count("#mark") == 2
+
+
+def test_long_texts_that_differ_late_both_stay(spark):
+    same = "word " * 1500
+    cleaned = _clean(spark, [_raw(0, "A", text=same + "one"), _raw(1, "B", text=same + "two"), _raw(2, "C", text=same + "two")])
+    assert sorted(r.title for r in cleaned.collect()) == ["A", "B"]
+    assert cleaned.agg(F.min("text_length")).first()[0] == 1501
+
+
+def test_an_unreadable_page_ends_the_job(spark, tmp_path):
+    (tmp_path / "good.json").write_text('[{"id": 1, "date": "2022", "link": "u", "title": {"rendered": "t"}, "content": {"rendered": "x"}}]')
+    assert S.read_posts(spark, str(tmp_path)).count() == 1
+    (tmp_path / "bad.json").write_text('[{"id": 2, "date": "2022", "li')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        S.read_posts(spark, str(tmp_path)).collect()
 
 
 def test_dev_filter_needs_a_site(spark):
@@ -108,14 +123,14 @@ def test_dev_filter_needs_a_site(spark):
 
 
 def test_guards(spark):
-    with pytest.raises(ValueError, match="'title'"):
+    with pytest.raises(ValueError, match="lacks title"):
         require_columns(spark.range(1), ["id", "title"])
     with pytest.raises(ValueError, match="topic_level_1_cluster_id"):
         require_levels(spark.range(1).select(F.lit("").alias("text"), F.lit("").alias("title"), F.lit("").alias("url")), 1)
-    for bad in ([], (3.0,), [3], [0.0], [10.5], [1.26, 3.0], [2.0, 2.0]):
+    for bad in ([], [0.0], [-1], [1.26, 3.0], [2.0, 2.0], [float("nan")], [float("inf"), 1.0]):
         with pytest.raises(ValueError):
             validate_distances(bad)
-    assert validate_distances([3.0, 1.26]) == [3.0, 1.26]
+    assert validate_distances((40, 1.26)) == [40.0, 1.26]
 
 
 def test_written_tables_lie_in_the_shared_folder(spark):

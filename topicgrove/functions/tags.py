@@ -83,8 +83,8 @@ def tag_format(text: Column) -> Column:
 
 
 def summary_input(text: Column) -> Column:
-    """Underscores as spaces, white space squeezed, the first 1,000 characters."""
-    return F.substring(squeeze(F.translate(text, "_", " ")), 1, 1000)
+    """Underscores as spaces, white space squeezed."""
+    return squeeze(F.translate(text, "_", " "))
 
 
 def first_n_title_words(title: Column, n: int) -> Column:

@@ -62,29 +62,31 @@ def squeeze(text: Column) -> Column:
 
 def _decode_reference(piece: Column) -> Column:
     """Decode the character reference that starts ``piece`` (its '&' already cut off)."""
-    name = F.substring_index(piece, ";", 1)
-    rest = F.substr(piece, F.length(name) + F.lit(2))
     table = F.create_map(*[F.lit(v) for pair in ENTITIES.items() for v in pair])
-    number = F.when(name.rlike("^#[0-9]{1,7}$"), F.substr(name, F.lit(2)).try_cast("int")).when(
-        name.rlike("^#[xX][0-9a-fA-F]{1,6}$"),
-        F.conv(F.substr(name, F.lit(3)), 16, 10).try_cast("int"),
-    )
-    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-    character = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    return (
-        F.when(~piece.contains(";"), F.concat(F.lit("&"), piece))
-        .when(F.map_contains_key(table, name), F.concat(F.try_element_at(table, name), rest))
-        .when(valid, F.concat(character, rest))
-        .otherwise(F.concat(F.lit("&"), piece))
-    )
+
+    def of_name(name: Column) -> Column:
+        number = F.when(name.rlike("^#[0-9]{1,7}$"), F.substr(name, F.lit(2)).try_cast("int")).when(
+            name.rlike("^#[xX][0-9a-fA-F]{1,6}$"),
+            F.conv(F.substr(name, F.lit(3)), 16, 10).try_cast("int"),
+        )
+        shown = lambda n: F.when(
+            n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        )
+        found = F.when(name.startswith("#"), let(number, shown)).otherwise(F.try_element_at(table, name))
+        rest = F.substr(piece, F.length(name) + F.lit(2))
+        return let(found, lambda x: F.when(x.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(x, rest)))
+
+    return F.when(piece.contains(";"), let(F.substring_index(piece, ";", 1), of_name)).otherwise(F.concat(F.lit("&"), piece))
 
 
 def decode_entities(text: Column) -> Column:
-    """Decode each named or numeric character reference once."""
-    decoded = F.transform(
-        F.split(text, "&"), lambda piece, i: F.when(i == 0, piece).otherwise(_decode_reference(piece))
-    )
-    return F.array_join(decoded, "")
+    """Decode each named or numeric character reference once; most texts have none and pass as they are."""
+
+    def decoded(whole: Column) -> Column:
+        pieces = F.transform(F.split(whole, "&"), lambda piece, i: F.when(i == 0, piece).otherwise(_decode_reference(piece)))
+        return F.when(whole.contains("&"), F.array_join(pieces, "")).otherwise(whole)
+
+    return let(text, decoded)
 
 
 def _pad_brackets(text: Column) -> Column:
@@ -139,7 +141,7 @@ def clean_html_bytes(raw: Column, glue_newlines: bool = True) -> Column:
     return clean_html(text, glue_newlines)
 
 
-def first_n_words(text: Column, n: int = 1000) -> Column:
+def first_n_words(text: Column, n: int) -> Column:
     return F.substring_index(squeeze(text), " ", n)
 
 
@@ -151,8 +153,10 @@ def num_words(text: Column) -> Column:
     return let(squeeze(text), count).cast("int")
 
 
-def clean_article_text(text: Column, n: int = 1000, cleaner: Callable[[Column], Column] = clean_html) -> Column:
-    return first_n_words(cleaner(text), n)
+def clean_article_text(text: Column, n: int | None = None, cleaner: Callable[[Column], Column] = clean_html) -> Column:
+    """Clean text with single spaces, whole or its first ``n`` words."""
+    read = cleaner(text)
+    return squeeze(read) if n is None else first_n_words(read, n)
 
 
 def is_min_text(word_count: Column, min_len: int = 20) -> Column:

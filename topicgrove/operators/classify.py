@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
@@ -47,10 +46,10 @@ def split_stratified(
 
 
 def require_class_sizes(train: DataFrame, label: str) -> DataFrame:
-    """Raise ValueError when a class has fewer than two training posts."""
-    small = train.groupBy(label).count().filter(F.col("count") < LEAST_PER_CLASS)
-    if not small.isEmpty():
-        raise ValueError("Not enough samples in the training set for each class. Change test_size or the data.")
+    """Raise ValueError with some of the classes that have fewer than two training posts."""
+    small = train.groupBy(label).count().filter(F.col("count") < LEAST_PER_CLASS).orderBy(label).limit(5).collect()
+    if small:
+        raise ValueError(f"Classes with a single training post cannot be learned: {', '.join(str(r[0]) for r in small)}.")
     return train
 
 
@@ -69,12 +68,10 @@ class TopicModel:
         return scored.select(*kept, F.col("_predicted").cast("int").alias(self.label))
 
     def score(self, posts: DataFrame) -> float:
-        """Share of posts whose label is predicted."""
-        scored = self.model.transform(_labelled(posts, self.label, self.vector))
-        evaluator = MulticlassClassificationEvaluator(
-            labelCol="_label", predictionCol="prediction", metricName="accuracy"
-        )
-        return evaluator.evaluate(scored)
+        """Share of labelled posts whose label is predicted; a label that was never learned counts as missed."""
+        truth = posts.filter(F.col(self.label).isNotNull()).withColumn("_truth", F.col(self.label).cast("int"))
+        right = F.col("_truth") == F.col(self.label)
+        return self.predict(truth).agg(F.avg(right.cast("double"))).first()[0]
 
 
 def _features(posts: DataFrame, vector: str) -> DataFrame:
@@ -87,14 +84,14 @@ def _labelled(posts: DataFrame, label: str, vector: str) -> DataFrame:
 
 def fit_model(train: DataFrame, label: str, vector: str = "text_embedding", model: Estimator | None = None) -> TopicModel:
     """Fit any Spark ML classifier on embedded posts; multinomial logistic regression by default."""
-    require_class_sizes(train, label)
-    rows = _labelled(train.select(label, vector), label, vector)
-    indexer = StringIndexer(inputCol="_class", outputCol="_label", handleInvalid="keep").fit(rows)
+    require_class_sizes(train.filter(F.col(label).isNotNull()), label)
+    rows = _labelled(train.select(label, vector).filter(F.col(label).isNotNull()), label, vector)
+    indexer = StringIndexer(inputCol="_class", outputCol="_label", handleInvalid="error").fit(rows)
     classifier = model or LogisticRegression(maxIter=50, regParam=0.001)
     classifier = classifier.copy().setFeaturesCol("_features").setLabelCol("_label")
     names = IndexToString(inputCol="prediction", outputCol="_predicted", labels=indexer.labels)
     fitted = Pipeline(stages=[indexer, classifier]).fit(rows)
-    return TopicModel(PipelineModel(stages=[*fitted.stages, names]), label, vector)
+    return TopicModel(PipelineModel(stages=[fitted.stages[-1], names]), label, vector)
 
 
 def classify(

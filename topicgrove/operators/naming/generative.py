@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicgrove.functions.tags import leaf_prompt, parent_prompt, reply_tag, reply_topic
@@ -15,24 +15,61 @@ from topicgrove.session import written
 
 Generator = Callable[[pd.Series, pd.Series], pd.Series]
 
-TITLES_PER_PROMPT = 10
+# Titles or tags in one prompt, on average: how much is put together, not how much is read.
+ITEMS_PER_PROMPT = 10
 NO_REPLY_TAG = "error_tag"
 
 
-def first_titles(titles: DataFrame, k: int = TITLES_PER_PROMPT) -> DataFrame:
-    """``cluster_id, items``: the first titles of each cluster in ``seq`` order."""
-    place = F.row_number().over(Window.partitionBy("cluster_id").orderBy("seq"))
-    few = titles.select("cluster_id", "title", place.alias("place")).filter(F.col("place") <= k)
-    ranked = F.sort_array(F.collect_list(F.struct("place", "title")))
-    return few.groupBy("cluster_id").agg(F.transform(ranked, lambda r: r.title).alias("items"))
+def sliced(rows: DataFrame, item: str, order: str, size: int = ITEMS_PER_PROMPT) -> DataFrame:
+    """``cluster_id, slice, slices, items``: every item of each cluster, dealt to slices of about ``size`` by a hash of ``order``.
 
+    A cluster of any size so makes prompts of a bounded length, and no task sees more of it than a slice. Items stand in
+    ``order`` inside their slice.
+    """
+    counts = rows.groupBy("cluster_id").agg(F.ceil(F.count("*") / size).alias("slices"))
+    digits = F.substring(F.md5(F.col("at").cast("string")), 1, 8)
+    dealt = rows.select("cluster_id", F.col(item).alias("item"), F.col(order).alias("at")).join(counts, "cluster_id").select(
+        "cluster_id", "slices", (F.conv(digits, 16, 10).cast("long") % F.col("slices")).alias("slice"), "item", "at"
+    )
+    ranked = F.sort_array(F.collect_list(F.struct("at", "item")))
+    return dealt.groupBy("cluster_id", "slice", "slices").agg(F.transform(ranked, lambda r: r.item).alias("items"))
 
-def all_child_tags(children: DataFrame) -> DataFrame:
-    """``cluster_id, items``: the distinct child tags in alphabetical order.
 
-    A prompt holds all of them; their number is that of the child clusters.
-    """
-    return children.groupBy("cluster_id").agg(F.array_sort(F.collect_set("tag")).alias("items"))
+def title_slices(titles: DataFrame) -> DataFrame:
+    return sliced(titles, "title", "seq")
+
+
+def tag_slices(children: DataFrame) -> DataFrame:
+    """The different child tags of each cluster."""
+    return sliced(children.select("cluster_id", "tag").distinct(), "tag", "tag")
+
+
+def ask_once(slices: DataFrame, prompt: Callable, generator: Generator, temperature: float) -> DataFrame:
+    """``cluster_id, tag``: one answer to each slice, written, since asking twice may answer twice."""
+    ask = F.pandas_udf(generator, "string").asNondeterministic()
+    reply = ask(prompt(F.col("items"), F.lit(None).cast("string")), F.lit(temperature))
+    answered = slices.select("cluster_id", reply.alias("reply"))
+    tag = F.when(F.col("reply").isNull(), F.lit(NO_REPLY_TAG)).otherwise(reply_tag(reply_topic(F.col("reply"))))
+    return written(answered.select("cluster_id", tag.alias("tag")), "answers")
+
+
+def tags_over_slices(
+    slices: DataFrame, prompt: Callable, generator: Generator, taken: DataFrame | None, temperature: float, max_rounds: int
+) -> DataFrame:
+    """``cluster_id, tag``: clusters of one slice are asked for a tag; of the others each slice is, and their tags become the
+    next level's items, until one slice is left."""
+    settled: DataFrame | None = None
+    while True:
+        slices = written(slices, "slices")
+        whole = slices.filter("slices = 1").select("cluster_id", "items")
+        tags = generate_tags(whole, prompt, generator, taken, temperature, max_rounds)
+        settled = tags if settled is None else settled.union(tags)
+        several = slices.filter("slices > 1")
+        if several.isEmpty():
+            return settled
+        taken = settled.select("tag") if taken is None else taken.select("tag").union(tags.select("tag"))
+        slices = tag_slices(ask_once(several, prompt, generator, temperature))
+        prompt = parent_prompt
 
 
 def generate_tags(
@@ -89,9 +126,9 @@ def generative_namer(generator: Generator | None = None, temperature: float = 0.
         return KEYWORD_NAMER
 
     def leaf(titles: DataFrame) -> DataFrame:
-        return generate_tags(first_titles(titles), leaf_prompt, generator, None, temperature, max_rounds)
+        return tags_over_slices(title_slices(titles), leaf_prompt, generator, None, temperature, max_rounds)
 
     def parent(titles: DataFrame, children: DataFrame, taken: DataFrame) -> DataFrame:
-        return generate_tags(all_child_tags(children), parent_prompt, generator, taken, temperature, max_rounds)
+        return tags_over_slices(tag_slices(children), parent_prompt, generator, taken, temperature, max_rounds)
 
     return Namer(leaf, parent)

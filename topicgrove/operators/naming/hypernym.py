@@ -10,18 +10,16 @@ from topicgrove.functions.vectors import cosine
 from topicgrove.operators.naming.base import Namer
 from topicgrove.operators.naming.tfidf import seed_words
 
-LEMMAS_PER_WORD = 5
 REPORTED = 10
 
 
 def broader_terms(words: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """``word, lemma``: the first five lemmas, in order, of each word's first sense.
+    """``word, lemma``: all lemmas of each word's first sense.
 
     ``lexicon`` has ``word, sense_rank, lemma``.
     """
-    first = lexicon.filter(F.col("sense_rank") == 1).join(words.select("word").distinct(), "word", "left_semi")
-    place = F.row_number().over(Window.partitionBy("word").orderBy("lemma"))
-    return first.withColumn("place", place).filter(F.col("place") <= LEMMAS_PER_WORD).select("word", "lemma")
+    first = lexicon.filter(F.col("sense_rank") == 1).select("word", "lemma").distinct()
+    return first.join(words.select("word").distinct(), "word", "left_semi")
 
 
 def rank_hypernyms(
@@ -31,7 +29,7 @@ def rank_hypernyms(
 
     A candidate's score is its mean likeness to the cluster's seeds: the
     edit-distance ratio, or with ``vectors`` (``word, vector``) its weighted mean
-    with the cosine. A cluster has at most five seeds and five lemmas for each.
+    with the cosine. All broader terms are scored before the best are kept.
     """
     each = seeds.select("cluster_id", F.explode("seeds").alias("word"))
     candidates = each.join(broader_terms(each, lexicon), "word").select("cluster_id", "lemma").distinct()

@@ -9,10 +9,6 @@ from topicgrove.functions.tags import NO_KEYWORD_TAG, NO_PARENT_TAG, keyword_wor
 from topicgrove.operators.naming.base import Namer
 from topicgrove.operators.naming.unique import unique_tags
 
-# A word's first place is seq * 2^20 + its position in the title, so that it is
-# one long and the aggregation stays a hash aggregation.
-POSITIONS = 1 << 20
-
 LEAF_SIZES = [2, 3, 4, 5, 6]
 PARENT_SIZES = [1, 3, 4, 5, 6]
 MOST_WORDS = 6
@@ -20,13 +16,13 @@ LAST_RESORT = "_7"
 
 
 def word_counts(rows: DataFrame, words: Column) -> DataFrame:
-    """``cluster_id, word, count, first_place`` over rows with ``cluster_id, seq``.
+    """``cluster_id, word, count, first_place`` over rows with ``cluster_id, seq``; a place is ``(seq, pos)``.
 
     A cluster without words keeps one row with a null word. Counts are combined
     in each map task, so a dominant cluster sends one row per word and task.
     """
     each = rows.select("cluster_id", "seq", F.posexplode_outer(words).alias("pos", "word"))
-    place = F.col("seq") * POSITIONS + F.least(F.coalesce("pos", F.lit(0)), F.lit(POSITIONS - 1))
+    place = F.struct("seq", F.coalesce("pos", F.lit(0)).alias("pos"))
     return each.groupBy("cluster_id", "word").agg(
         F.count("word").alias("count"), F.min(place).alias("first_place")
     )

@@ -20,9 +20,7 @@ from topicgrove.functions.text import strip_ws
 from topicgrove.operators.naming.base import Namer
 from topicgrove.session import written
 
-# Terms of the shared vocabulary, and words per name.
-LEAST_VOCABULARY = 100
-VOCABULARY_PER_SEED = 10
+# Fixed value: words per name.
 NAME_WORDS = 4
 
 
@@ -56,34 +54,30 @@ def count_documents(counts: DataFrame, joined_by_mark: bool) -> DataFrame:
     return each.filter(several | F.col("filled")).agg(F.count("*").alias("n"))
 
 
-def vocabulary(counts: DataFrame, n_seeds: int) -> DataFrame:
-    """The most frequent terms over all clusters, ties in term order, with their document counts."""
-    size = max(LEAST_VOCABULARY, VOCABULARY_PER_SEED * n_seeds)
+def vocabulary(counts: DataFrame, size: int | None = None) -> DataFrame:
+    """All terms over all clusters with their document counts, or the ``size`` most frequent ones, ties in term order."""
     totals = counts.filter(F.col("term").isNotNull()).groupBy("term").agg(
         F.sum("tf").alias("total"), F.count("*").alias("df")
     )
-    return totals.orderBy(F.col("total").desc(), "term").limit(size)
+    return totals if size is None else totals.orderBy(F.col("total").desc(), "term").limit(size)
 
 
-def seeds_from_counts(counts: DataFrame, n_seeds: int, joined_by_mark: bool = True) -> DataFrame:
+def seeds_from_counts(
+    counts: DataFrame, n_seeds: int, joined_by_mark: bool = True, vocabulary_size: int | None = None
+) -> DataFrame:
     """``cluster_id, place, term, score``: the best terms of each cluster.
 
-    The vocabulary is limited to a fixed number of rows, which bounds both its
-    broadcast and the rows of one cluster that its norm and ranking touch.
+    Norms are map-side sums, and the ranking keeps ``n_seeds`` rows per cluster in each map task.
     """
     n = count_documents(counts, joined_by_mark).scalar()
     idf = F.log((1 + n) / (1 + F.col("df"))) + 1
-    words = vocabulary(counts, n_seeds).select("term", idf.alias("idf"))
+    words = vocabulary(counts, vocabulary_size).select("term", idf.alias("idf"))
     weight = F.col("tf") * F.col("idf")
-    scored = counts.join(F.broadcast(words), "term").select("cluster_id", "term", weight.alias("weight"))
-    cluster = Window.partitionBy("cluster_id")
-    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(cluster))
-    place = F.row_number().over(cluster.orderBy(F.col("weight").desc(), F.col("term").desc()))
-    return (
-        scored.select("cluster_id", "term", (F.col("weight") / norm).alias("score"), place.alias("place"))
-        .filter(F.col("place") <= n_seeds)
-        .select("cluster_id", "place", "term", "score")
-    )
+    scored = counts.join(words, "term").select("cluster_id", "term", weight.alias("weight"))
+    norms = scored.groupBy("cluster_id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    place = F.row_number().over(Window.partitionBy("cluster_id").orderBy(F.col("weight").desc(), F.col("term").desc()))
+    best = scored.withColumn("place", place).filter(F.col("place") <= n_seeds)
+    return best.join(norms, "cluster_id").select("cluster_id", "place", "term", (F.col("weight") / F.col("norm")).alias("score"))
 
 
 def seed_words(rows: DataFrame, text: str, n_seeds: int = 5, joined_by_mark: bool = True) -> DataFrame:

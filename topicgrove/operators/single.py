@@ -110,7 +110,7 @@ def single_linkage(
     Finer levels are found first and the coarser ones go on from them. Ids count
     from 1 in the order of the smallest point of each cluster.
     """
-    validate_distances(distances)
+    distances = validate_distances(distances)
     value = F.col(vector).cast("array<double>").alias("centroid")
     state, seen = written_and_measured(
         points.select("id", F.col("id").alias("cluster"), value), "points", n=F.count(F.lit(1))

@@ -37,7 +37,7 @@ def _strip(x: str) -> str:
     return f"regexp_replace({x}, '^{WS}|{WS}$', '', 'g')"
 
 
-def _first_words(x: str, n: int = 1000) -> str:
+def _first_words(x: str, n: int) -> str:
     return f"array_to_string(string_split({_squeeze(x)}, ' ')[1:{n}], ' ')"
 
 
@@ -145,7 +145,7 @@ EMBEDDED = """embedded AS (
 LEVEL2 = "titles AS (SELECT topic_level_2_cluster_id AS cluster_id, seq, title FROM posts WHERE topic_level_2_cluster_id IS NOT NULL)"
 LEVEL1 = "titles AS (SELECT topic_level_1_cluster_id AS cluster_id, seq, title FROM posts WHERE topic_level_1_cluster_id IS NOT NULL)"
 
-CONCEPTS = "concepts AS (SELECT split_part(text, chr(10), 1) AS title FROM benchmark)"
+CONCEPTS = "concepts AS (SELECT unnest(string_split(text, chr(10))) AS title FROM benchmark)"
 LEXICON = f"""items AS (SELECT item_id, {_words('lower(text)')} AS words FROM benchmark),
 lexicon AS (SELECT word, dense_rank() OVER (PARTITION BY word ORDER BY item_id) AS sense_rank, lemma
   FROM (SELECT item_id, unnest(list_distinct(words)) AS word, words[1] AS lemma FROM items))"""
@@ -157,7 +157,7 @@ def _word_counts(rows: str, words: str, name: str) -> str:
   SELECT cluster_id, seq, unnest(CASE WHEN len(ws) = 0 THEN [NULL] ELSE ws END) AS word,
     unnest(range(greatest(len(ws), 1))) AS pos
   FROM (SELECT cluster_id, seq, {words} AS ws FROM {rows})),
-{name} AS (SELECT cluster_id, word, count(word) AS count, min(seq * 1048576 + pos) AS first_place
+{name} AS (SELECT cluster_id, word, count(word) AS count, min({{'seq': seq, 'pos': pos}}) AS first_place
   FROM {name}_each GROUP BY ALL)"""
 
 
@@ -220,7 +220,6 @@ WHOLE = "coalesce(topic_level_1_cluster_id, topic_level_2_cluster_id) IS NOT NUL
 
 
 def _seeds(rows: str, text: str, n: int, several: str, name: str = "seeds") -> str:
-    vocabulary = max(100, 10 * n)
     return f"""{name}_docs AS (
   SELECT cluster_id, count(*) AS texts, bool_or({_strip(f"replace({text}, '_', ' ')")} <> '') AS filled FROM {rows} GROUP BY ALL),
 {name}_tf AS (
@@ -228,7 +227,7 @@ def _seeds(rows: str, text: str, n: int, several: str, name: str = "seeds") -> s
     SELECT cluster_id, unnest({_seed_tokens(text)}) AS term FROM {rows}) GROUP BY ALL),
 {name}_vocab AS (
   SELECT term, ln((1 + (SELECT count(*) FROM {name}_docs WHERE {several} OR filled)) / (1 + count(*))) + 1 AS idf
-  FROM {name}_tf GROUP BY term ORDER BY sum(tf) DESC, term LIMIT {vocabulary}),
+  FROM {name}_tf GROUP BY term),
 {name}_weights AS (SELECT cluster_id, term, tf * idf AS weight FROM {name}_tf JOIN {name}_vocab USING (term)),
 {name}_ranked AS (
   SELECT cluster_id, CAST(row_number() OVER (PARTITION BY cluster_id ORDER BY weight DESC, term DESC) AS INT) AS place, term,
@@ -289,9 +288,15 @@ CENTROIDS = """means AS (
   GROUP BY ALL)"""
 CENTROID_LISTS = "middles AS (SELECT label, list(value ORDER BY dimension) AS c FROM means GROUP BY label)"
 
-FIRST_TITLES = """few AS (
-  SELECT cluster_id, title, row_number() OVER (PARTITION BY cluster_id ORDER BY seq) AS place FROM titles),
-firsts AS (SELECT cluster_id, list(title ORDER BY place) AS items FROM few WHERE place <= 10 GROUP BY cluster_id)"""
+
+
+def _slices(rows: str, item: str, order: str) -> str:
+    """``dealt(cluster_id, slice, items)``: all items of each cluster in slices of about ten."""
+    return f"""spread AS (
+  SELECT cluster_id, {item} AS item, {order} AS place, ('0x' || md5(CAST({order} AS VARCHAR))[1:8])::BIGINT
+    % CAST(ceil(count(*) OVER (PARTITION BY cluster_id) / 10) AS BIGINT) AS slice FROM {rows}),
+dealt AS (SELECT cluster_id, slice, list(item ORDER BY place) AS items FROM spread GROUP BY ALL)"""
+
 
 TFIDF_LEAF = ",\n".join([POSTS, LEVEL2, _seeds("titles", "title", 4, "texts > 1", "leaf_seeds"), _names("leaf_seeds", "leaf_tags")])
 
@@ -336,7 +341,7 @@ def _cut(name: str, at: float) -> str:
 
 
 REPLY_WORDS = _squeeze(r"regexp_replace(topic, '[^\p{L}\p{N}_" + WS_BODY + "-]', '', 'g')")
-CENTRAL_TAG = _tag_format(_first_words("substr(" + _squeeze("replace(title, '_', ' ')") + ", 1, 1000)", 6))
+CENTRAL_TAG = _tag_format(_first_words("replace(title, '_', ' ')", 6))
 
 ORACLE_SQL = {
     "site_of_url": f"SELECT page_id, regexp_extract(url, '{SITE}', 1) AS site FROM pages",
@@ -346,9 +351,9 @@ WHERE NOT regexp_matches(site, '{"|".join(DEV_SITE_PATTERNS)}')""",
 {_has_1900s('title')} AS is_1900s, {_recent('CAST(date[1:4] AS INT)', 'title')} AS is_recent FROM posts""",
     "recent_posts": f"WITH {PAGES}, {RECENT} SELECT seq, url, site, title, year_published FROM recent",
     "clean_pages": f"SELECT page_id, {_clean_html('html')} AS text FROM pages",
-    "first_n_words": f"SELECT doc_id, {_first_words('text')} AS text FROM documents",
+    "first_n_words": f"SELECT doc_id, {_first_words('text', 1000)} AS text FROM documents",
     "word_count": f"SELECT doc_id, {_num_words('text')} AS text_length FROM documents",
-    "article_text": f"""WITH {POSTS} SELECT seq, {_first_words(_clean_html("title || ' ' || text"))} AS embedding_text FROM posts""",
+    "article_text": f"""WITH {POSTS} SELECT seq, {_squeeze(_clean_html("title || ' ' || text"))} AS embedding_text FROM posts""",
     "dedupe_keep_first": f"""WITH {POSTS},
 a AS (SELECT * FROM posts QUALIFY row_number() OVER (PARTITION BY title ORDER BY seq) = 1),
 b AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq) = 1),
@@ -357,7 +362,7 @@ SELECT seq, title, url FROM c QUALIFY row_number() OVER (PARTITION BY text ORDER
     "clean_posts": f"""WITH {PAGES}, {RECENT},
 a AS (SELECT * FROM recent QUALIFY row_number() OVER (PARTITION BY title ORDER BY seq) = 1),
 b AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq) = 1),
-c AS (SELECT seq, url, site, title, year_published, {_first_words(_clean_html('text'))} AS text FROM b),
+c AS (SELECT seq, url, site, title, year_published, {_squeeze(_clean_html('text'))} AS text FROM b),
 d AS (SELECT *, {_num_words('text')} AS text_length FROM c)
 SELECT seq, url, site, title, text, year_published, text_length FROM d WHERE text <> '' AND text_length > 20
 QUALIFY row_number() OVER (PARTITION BY text ORDER BY seq) = 1""",
@@ -365,7 +370,7 @@ QUALIFY row_number() OVER (PARTITION BY text ORDER BY seq) = 1""",
 SELECT id, url, date, regexp_extract(url, '{SITE}', 1) AS site, NULL AS title FROM page_posts
 UNION ALL SELECT id, url, date, NULL, title FROM posts""",
     "cap_per_site": f"""WITH {POSTS} SELECT seq, site, url FROM posts
-QUALIFY row_number() OVER (PARTITION BY site ORDER BY seq) <= 900""",
+QUALIFY row_number() OVER (PARTITION BY site ORDER BY seq) <= 7""",
     "numbered_rows": "SELECT url, page_id, row_number() OVER (ORDER BY url COLLATE \"C\", page_id) - 1 AS seq FROM pages",
     "title_words": f"""WITH {POSTS} SELECT seq, array_to_string({_keyword_words('title')}, ' ') AS keywords,
 array_to_string({_tokens('title')}, ' ') AS tokens,
@@ -380,19 +385,19 @@ SELECT p.seq, coalesce(string_agg(c.word, ' ' ORDER BY c.pos) FILTER (WHERE c.wo
 FROM posts p LEFT JOIN changed c ON c.seq = p.seq GROUP BY p.seq""",
     "tag_formats": f"""WITH {POSTS} SELECT seq, {_tag_format('title')} AS tag,
 array_to_string({_tag_words(_tag_format('title'))}, ' ') AS parts,
-substr({_squeeze("replace(text, '_', ' ')")}, 1, 1000) AS summary_input,
+{_squeeze("replace(text, '_', ' ')")} AS summary_input,
 {_strip(f"replace({_clean_html('lower(title)')}, 'disambiguation', '')")} AS candidate FROM posts""",
     "parse_reply": f"""WITH a AS (SELECT doc_id,
   {_strip(f"split_part(split_part(split_part({_strip('text')}, chr(10), 1), '.', 1), ',', 1)")} AS topic FROM documents),
 b AS (SELECT *, lower({REPLY_WORDS}) AS plain FROM a)
 SELECT doc_id, topic, CASE WHEN topic = '' THEN 'unknown_topic' WHEN plain = '' THEN 'general_topic'
   ELSE array_to_string(string_split(plain, ' ')[1:3], '_') END AS tag FROM b""",
-    "leaf_prompts": f"""WITH {POSTS}, {LEVEL2}, {FIRST_TITLES}
-SELECT cluster_id, {_prompt('Name the common topic of these article titles in two to four words.', 'Titles:', "array_to_string(items, '. ' || chr(10))")} AS prompt FROM firsts""",
+    "leaf_prompts": f"""WITH {POSTS}, {LEVEL2}, {_slices('titles', 'title', 'seq')}
+SELECT cluster_id, slice, {_prompt('Name the common topic of these article titles in two to four words.', 'Titles:', "array_to_string(items, '. ' || chr(10))")} AS prompt FROM dealt""",
     "parent_prompts": f"""WITH {TFIDF_LEAF}, {_children('leaf_tags')},
-listed AS (SELECT cluster_id, list(DISTINCT tag ORDER BY tag) AS items FROM children GROUP BY cluster_id)
-SELECT cluster_id, {_prompt('Name the broader topic that covers all of these tags in two to four words.', 'Tags:', "array_to_string(items, ', ' || chr(10))")} AS prompt FROM listed""",
-    "keyword_counts": f"WITH {POSTS}, {LEVEL2}, {_word_counts('titles', _keyword_words('title'), 'counts')} SELECT * FROM counts",
+named AS (SELECT DISTINCT cluster_id, tag FROM children), {_slices('named', 'tag', 'tag')}
+SELECT cluster_id, slice, {_prompt('Name the broader topic that covers all of these tags in two to four words.', 'Tags:', "array_to_string(items, ', ' || chr(10))")} AS prompt FROM dealt""",
+    "keyword_counts": f"WITH {POSTS}, {LEVEL2}, {_word_counts('titles', _keyword_words('title'), 'counts')} SELECT cluster_id, word, count, first_place.seq AS first_seq, CAST(first_place.pos AS INT) AS first_pos FROM counts",
     "keyword_tags_leaf": f"WITH {LEAF_CANDIDATES} SELECT cluster_id, array_to_string(candidates, ' ') AS candidates FROM leaf_cand",
     "parent_keyword_tags": f"""WITH {LEAF_CANDIDATES},
 first_tags AS (SELECT cluster_id, candidates[1] AS tag FROM leaf_cand WHERE candidates IS NOT NULL), {_children('first_tags')},
@@ -410,8 +415,7 @@ SELECT cluster_id, tag FROM parent_tags""",
     "gazetteer_tags_parent": f"""WITH {POSTS}, {LEVEL1}, {CONCEPTS},
 different AS (SELECT DISTINCT cluster_id, title FROM titles), {_seeds('different', 'title', 5, 'false')}, {_gazetteer('seeds')}""",
     "hypernym_tags": f"""WITH {POSTS}, {LEVEL2}, {LEXICON}, {_seeds('titles', 'title', 5, 'texts > 1')},
-broader AS (SELECT word, lemma FROM lexicon WHERE sense_rank = 1
-  QUALIFY row_number() OVER (PARTITION BY word ORDER BY lemma) <= 5),
+broader AS (SELECT DISTINCT word, lemma FROM lexicon WHERE sense_rank = 1),
 cand AS (SELECT DISTINCT s.cluster_id, s.seeds, b.lemma FROM (SELECT cluster_id, seeds, unnest(seeds) AS word FROM seeds) s
   JOIN broader b USING (word)),
 scored AS (SELECT cluster_id, lemma, round({OTHER_SEED}, 9) AS score FROM cand),
@@ -501,9 +505,13 @@ ranked AS (SELECT seq, url, topic_level_2_cluster_id,
   row_number() OVER (PARTITION BY topic_level_2_cluster_id ORDER BY md5('0' || url), url) AS place,
   round(0.2 * count(*) OVER (PARTITION BY topic_level_2_cluster_id)) AS quota FROM posts WHERE topic_level_2_cluster_id IS NOT NULL)
 SELECT seq, url, topic_level_2_cluster_id, place <= quota AS is_test FROM ranked""",
+    "json_round_trip": f"WITH {POSTS} SELECT text, title, url, date, id FROM posts",
+    "csv_round_trip": f"WITH {POSTS} SELECT text, title, url, date, id FROM posts",
+    "first_rows": f"WITH {POSTS} SELECT seq, url FROM posts ORDER BY seq LIMIT 20",
+    "stream_republished": f"SELECT DISTINCT regexp_extract(url, '{SITE}', 1) AS url FROM pages",
     "stream_clean": f"""WITH {PAGES},
-c AS (SELECT seq, regexp_extract(url, '{SITE}', 1) AS site, {_clean_html('title')} AS title,
-  {_first_words(_clean_html('text'))} AS text, TRY_CAST(date[1:4] AS INT) AS year_published FROM page_posts),
+{RECENT},
+c AS (SELECT seq, site, title, {_squeeze(_clean_html('text'))} AS text, year_published FROM recent),
 d AS (SELECT *, {_num_words('text')} AS text_length FROM c)
 SELECT seq, site, title, text, year_published, text_length FROM d WHERE text <> '' AND text_length > 20""",
 }

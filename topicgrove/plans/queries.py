@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +15,13 @@ from topicgrove.operators import classify, cleaning, cut, embedding, nearest, qu
 from topicgrove.operators.naming import base, extractive, gazetteer, generative, hypernym, keyword, tfidf
 from topicgrove.plans import tables, taxonomy
 from topicgrove.schema import cluster_column
-from topicgrove.session import shared_dir, written
+from topicgrove.session import written, written_dir
 from topicgrove.sources import posts as sources
 from topicgrove.streaming import scoring
 
 LEVELS = 2
 CUTS = [2.5, 2.0]
+CAP = 7
 
 
 # Sources, predicates and text
@@ -54,7 +58,7 @@ def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_n_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", X.first_n_words(F.col("text")).alias("text"))
+    return tables.texts(spark, sf_dir, "documents", "doc_id").select("doc_id", X.first_n_words(F.col("text"), 1000).alias("text"))
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,9 +71,9 @@ def article_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedupe_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = tables.document_posts(spark, sf_dir).select("seq", "title", "url", "text")
-    kept = cleaning.keep_first(cleaning.keep_first(posts, "title"), "url")
-    long = kept.filter(X.is_min_text(X.num_words(F.col("text"))))
-    return cleaning.keep_first(long, "text").select("seq", "title", "url")
+    survivors = written(cleaning.first_of_each(posts.drop("text"), "title", "url").select("seq"), "survivors")
+    long = posts.join(survivors, "seq", "left_semi").filter(X.is_min_text(X.num_words(F.col("text"))))
+    return cleaning.first_texts(long).select("seq", "title", "url")
 
 
 def clean_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +89,7 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cap_per_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = tables.document_posts(spark, sf_dir).select("seq", "site", "url")
-    return sources.cap_per_site(posts)
+    return sources.cap_per_site(posts, CAP)
 
 
 def numbered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,23 +142,24 @@ def parse_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def leaf_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = generative.first_titles(_documents(spark, sf_dir))
-    return items.select("cluster_id", T.leaf_prompt(F.col("items")).alias("prompt"))
+    slices = generative.title_slices(_documents(spark, sf_dir))
+    return slices.select("cluster_id", "slice", T.leaf_prompt(F.col("items")).alias("prompt"))
 
 
 def parent_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = tables.document_posts(spark, sf_dir)
     tags = tfidf.names_from_seeds(tfidf.seed_words(_documents(spark, sf_dir), "title", tfidf.NAME_WORDS))
     children = base.child_tags(base.cluster_tree(posts, LEVELS), tags, 1)
-    items = generative.all_child_tags(children)
-    return items.select("cluster_id", T.parent_prompt(F.col("items")).alias("prompt"))
+    slices = generative.tag_slices(children)
+    return slices.select("cluster_id", "slice", T.parent_prompt(F.col("items")).alias("prompt"))
 
 
 # Naming
 
 
 def keyword_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyword.word_counts(_documents(spark, sf_dir), T.keyword_words(F.col("title")))
+    counts = keyword.word_counts(_documents(spark, sf_dir), T.keyword_words(F.col("title")))
+    return counts.select("cluster_id", "word", "count", F.col("first_place.seq").alias("first_seq"), F.col("first_place.pos").alias("first_pos"))
 
 
 def keyword_tags_leaf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,8 +220,7 @@ def generated_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     def last_title(prompts, temperatures):
         return prompts.str.split("\n").str[-2]
 
-    items = generative.first_titles(_documents(spark, sf_dir))
-    return generative.generate_tags(items, T.leaf_prompt, last_title)
+    return generative.generative_namer(last_title).leaf(_documents(spark, sf_dir))
 
 
 # Review
@@ -376,27 +380,88 @@ def classifier_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.agg(F.count("*").alias("rows"), F.avg((F.col("truth") == F.col("label")).cast("double")).alias("accuracy"))
 
 
-# Streaming
+# Whole jobs
 
 
-def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pages read as a stream, cleaned and written; the written rows come back."""
-    import uuid
+def taxonomy_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages cleaned, embedded, merged, cut twice, named by keywords and reviewed."""
+    posts = cleaning.clean_posts(tables.page_posts(spark, sf_dir))
+    return review.review(taxonomy.build_taxonomy(posts, [1.6, 1.3]), LEVELS)
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{written_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents landed as JSON pages of at most 100 posts, one array each, read back."""
+    posts = tables.document_posts(spark, sf_dir)
+    raw = F.struct(
+        "id",
+        "date",
+        F.col("url").alias("link"),
+        F.struct(F.col("title").alias("rendered")).alias("title"),
+        F.struct(F.col("text").alias("rendered")).alias("content"),
+    )
+    pages = posts.groupBy(F.floor(F.col("id") / 100).alias("page")).agg(F.to_json(F.collect_list(raw)).alias("value"))
+    path = _folder(spark)
+    pages.write.partitionBy("page").text(path)
+    return sources.read_posts(spark, path)
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents saved as CSV with line breaks and quotes inside, read back."""
+    path = _folder(spark)
+    tables.document_posts(spark, sf_dir).select("text", "title", "url", "date", "id").write.csv(path, header=True, escape='"', quoteAll=True)
+    return sources.read_csv(spark, path)
+
+
+def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.first_rows(tables.document_posts(spark, sf_dir).select("seq", "url"), 20)
+
 
+# Streaming
+
+
+def _page_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = tables.table(spark, sf_dir, "pages").schema
     pages = spark.readStream.schema(schema).parquet(f"{sf_dir}/pages.parque[t]")
-    posts = pages.select(
+    return pages.select(
         F.col("page_id").alias("seq"),
         "url",
         F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
         F.col("html").alias("text"),
         F.concat((F.lit(2017) + F.col("page_id") % 8).cast("string"), F.lit("-06-01T08:00:00")).alias("date"),
     )
-    base_path = f"{shared_dir(spark)}/topicgrove/{uuid.uuid4().hex}"
-    columns = ["seq", "site", "title", "text", "year_published", "text_length"]
-    rows = scoring.clean_stream(posts).select(*columns)
+
+
+def _streamed(rows: DataFrame) -> DataFrame:
+    """What a stream has written when all its input has been read."""
+    base_path = _folder(rows.sparkSession)
     scoring.write_stream(rows, f"{base_path}/posts", f"{base_path}/progress").awaitTermination()
-    return spark.read.schema(rows.schema).parquet(f"{base_path}/posts")
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{base_path}/posts")
+
+
+def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages read as a stream, cleaned and written; the written rows come back."""
+    columns = ["seq", "site", "title", "text", "year_published", "text_length"]
+    return _streamed(scoring.clean_stream(_page_stream(spark, sf_dir)).select(*columns))
+
+
+def stream_republished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites of streamed posts, each once: posts are told apart by their site instead of their whole URL."""
+    posts = _page_stream(spark, sf_dir).select(U.site_of(F.col("url")).alias("url"), F.lit("2022-06-01T08:00:00").alias("date"))
+    return _streamed(scoring.drop_republished(posts).select("url"))
+
+
+def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New pages filed under the topics of a classifier fitted on the documents, with full topic paths."""
+    documents = tables.document_posts(spark, sf_dir).filter(F.col(cluster_column(2)).isNotNull())
+    encoder = embedding.fit_encoder(embedding.embedding_text(documents))
+    model = classify.fit_model(embedding.embed(documents, encoder), cluster_column(2), model=NaiveBayes(modelType="gaussian"))
+    tree = review.topic_tree(_tagged(spark, sf_dir), LEVELS)
+    pages = scoring.clean_stream(_page_stream(spark, sf_dir))
+    return _streamed(scoring.score_stream(pages, encoder, model, tree, LEVELS).select("seq", cluster_column(2), "topic_path"))
 
 
 QUERIES = {
@@ -455,5 +520,11 @@ QUERIES = {
     "embed_posts": embed_posts,
     "split_stratified": split_stratified,
     "classifier_scores": classifier_scores,
+    "taxonomy_review": taxonomy_review,
+    "json_round_trip": json_round_trip,
+    "csv_round_trip": csv_round_trip,
+    "first_rows": first_rows,
     "stream_clean": stream_clean,
+    "stream_republished": stream_republished,
+    "stream_scored": stream_scored,
 }

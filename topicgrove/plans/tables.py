@@ -67,8 +67,8 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A knowledge table: the first line of every benchmark item is a concept title."""
-    return table(spark, sf_dir, "benchmark").select(F.substring_index("text", "\n", 1).alias("title"))
+    """A knowledge table: every line of every benchmark item is a concept title."""
+    return table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", "\n")).alias("title"))
 
 
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:

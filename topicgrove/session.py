@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,12 +40,26 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(SHARED_DIR_KEY, None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError(f"Set {SHARED_DIR_KEY} to a folder that all executors share.")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="topicgrove-"))
     return context.getCheckpointDir()
 
 
+def written_dir(spark: SparkSession) -> str:
+    """Where this application's tables lie."""
+    return f"{shared_dir(spark)}/topicgrove/{spark.sparkContext.applicationId}"
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Delete every table that this application has written with ``written``.
+
+    For the end of a job, when its results have been saved elsewhere: DataFrames over the tables cannot be read after it.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(written_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a DataFrame over the files.
 
@@ -54,7 +69,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffle otherwise.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/topicgrove/{uuid.uuid4().hex}/{name}"
+    path = f"{written_dir(spark)}/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

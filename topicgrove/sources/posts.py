@@ -12,10 +12,6 @@ from pyspark.sql import types as T
 from topicgrove.schema import POST_COLUMNS, RAW_POST
 from topicgrove.session import written
 
-# Pages per site and posts per page of one pull.
-PAGES_PER_SITE = 9
-POSTS_PER_PAGE = 100
-
 SAVED_POST = T.StructType(
     [T.StructField(c, T.LongType() if c == "id" else T.StringType()) for c in POST_COLUMNS]
 )
@@ -47,21 +43,21 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 def read_posts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Landed JSON pages (one array of posts per file) as one table of posts.
 
-    A file without posts adds no rows, so empty sites need no special case. A
+    A file without posts adds no rows, so empty sites need no special case; a page that cannot be read ends the job. A
     page cannot be split and one task reads many small ones; land the result
     once with ``write_table`` and go on from there.
     """
-    return spread(normalise_posts(spark.read.schema(RAW_POST).json(path, multiLine=True)), "url")
+    return spread(normalise_posts(spark.read.schema(RAW_POST).json(path, multiLine=True, mode="FAILFAST")), "url")
 
 
 def read_post_stream(spark: SparkSession, path: str) -> DataFrame:
     """New JSON pages of a folder as a stream of posts."""
-    return normalise_posts(spark.readStream.schema(RAW_POST).json(path, multiLine=True))
+    return normalise_posts(spark.readStream.schema(RAW_POST).json(path, multiLine=True, mode="FAILFAST"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = SAVED_POST) -> DataFrame:
     """A table saved as CSV with a header; quoted text may hold line breaks."""
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"')
+    return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"', mode="FAILFAST")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -89,7 +85,7 @@ def with_seq(df: DataFrame, *order: str | Column) -> DataFrame:
     )
 
 
-def cap_per_site(posts: DataFrame, cap: int = PAGES_PER_SITE * POSTS_PER_PAGE, site: str = "site") -> DataFrame:
+def cap_per_site(posts: DataFrame, cap: int, site: str = "site") -> DataFrame:
     """The first ``cap`` posts of each site in ``seq`` order.
 
     Spark cuts every map task to ``cap`` rows per site before the shuffle, so a

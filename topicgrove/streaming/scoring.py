@@ -6,19 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from topicgrove.functions.text import clean_html
-from topicgrove.functions.urls import site_of, year_of
 from topicgrove.operators.classify import TopicModel
-from topicgrove.operators.cleaning import read_articles
+from topicgrove.operators.cleaning import read_articles, recent_posts
 from topicgrove.operators.embedding import WordEncoder, embed
 from topicgrove.operators.review import topic_paths
 
 
-def clean_stream(posts: DataFrame, min_words: int = 20, max_words: int = 1000) -> DataFrame:
-    """Clean columns of new posts that are long enough; stateless, so it keeps no rows."""
-    titled = posts.withColumn("title", clean_html(F.col("title")))
-    placed = titled.withColumn("site", site_of(F.col("url"))).withColumn("year_published", year_of(F.col("date")))
-    return read_articles(placed, min_words, max_words)
+def clean_stream(posts: DataFrame, min_words: int = 20, max_words: int | None = None, strict: bool = False) -> DataFrame:
+    """New posts through every row-wise filter of ``clean_posts``; stateless, so it keeps no rows."""
+    return read_articles(recent_posts(posts, strict=strict), min_words, max_words)
 
 
 def drop_republished(posts: DataFrame, delay: str = "7 days") -> DataFrame:
