@@ -30,7 +30,7 @@ from topicgrove.session import written_and_measured
 CUTOFF, TAIL = 5, 0.1
 #: Fixed hashes of the end token and of the context before the first token.
 END, BEGIN = np.uint64(0x0E4D0E4D0E4D0E4D), np.uint64(0xBE619BE619BE6191)
-SLAB_BYTES = 12 << 20
+SLAB_BYTES = 4 << 20
 #: Tokens that one part of the model takes.
 PART_TOKENS = 2_000_000
 HOT_SHARE = 8
