@@ -47,8 +47,9 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("n", [4, 5])
-def test_equals_brute_force(documents, n):
+@pytest.mark.parametrize("n, tile", [(4, 4096), (5, 5)])
+def test_equals_brute_force(documents, monkeypatch, n, tile):
+    monkeypatch.setattr(N, "TILE_NODES", tile)
     rows = corpus()
     expected = brute(rows, n, 80)
     found = N.near_duplicates(documents(rows), n=n).collect()
@@ -67,16 +68,14 @@ def test_null_ids_and_repeats(documents):
     assert [r.kept for r in N.near_duplicates(documents([(1, None)])).collect()] == [True]
 
 
-def test_odd_sketch_estimates(spark):
+def test_odd_sketch_estimates():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 1 << 62, 4000).astype(np.uint64)
     for similarity in (0.6, 0.8, 0.95):
         k = int(2000 * similarity / (1 + similarity))
         a, b = np.sort(pool[:1000]), np.sort(np.concatenate([pool[:k], pool[1000 : 2000 - k]]))
-        odd = [N.odd_sketches(N.minhash(x, np.array([0, len(x)])))[0].tolist() for x in (a, b)]
-        row = spark.createDataFrame([odd], "a array<long>, b array<long>")
-        estimate = row.select(N.estimated_similarity(row.a, row.b)).first()[0]
-        assert abs(estimate - similarity) < 0.12
+        x, y = (N.odd_sketches(N.minhash(s, np.array([0, len(s)])))[0] for s in (a, b))
+        assert abs(N.estimated_similarity(np.bitwise_count(x ^ y).sum()) - similarity) < 0.12
 
 
 def test_shingles_of_a_batch():

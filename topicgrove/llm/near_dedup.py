@@ -5,9 +5,9 @@ pairs, and folded into a parity bitmap, the odd sketch: each sample flips one bi
 count the samples in which the documents differ, and the similarity follows with small error where it is high. Proposed pairs that the
 sketches put far below the threshold fall; the rest is confirmed on the full sets.
 
-Documents with equal sets are one node from the start. A bucket's members are compared with its smallest node, not with each
-other, so a group of copies costs pairs in proportion to its size. Buckets that then still hold several components hide pairs that
-were not compared; these are found by a condition that every such pair meets, a shared rare shingle.
+Documents with equal sets are one node from the start. Nodes that buckets connect form a family. A family is verified where its sets
+are, and only links that connect new parts leave the task, so a group of copies gives links in proportion to its size; a large
+family is cut into blocks, and pairs of blocks go to tasks of their own.
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicgrove.llm.common import hash_strings, mixed, slabs, split_words, texts_of
+from topicgrove.llm.common import hash_strings, mixed, shuffle_partitions, slabs, split_words, texts_of
 from topicgrove.llm.graph import components
 from topicgrove.session import written, written_and_measured
 
@@ -29,6 +29,8 @@ BANDS, ROWS = 32, 5
 SAMPLES, SKETCH_BITS = BANDS * ROWS, 512
 #: Sketches may put a pair this far below the threshold before it falls: over five standard errors.
 MARGIN = 0.2
+#: Nodes of one block of a family, and of one task that verifies small families.
+TILE_NODES, TASK_NODES = 4096, 2000
 _SEEDS = np.random.default_rng(20).integers(1, 1 << 63, (4, SAMPLES), np.uint64) | np.uint64(1)
 
 
@@ -83,7 +85,7 @@ def odd_sketches(minima: np.ndarray) -> np.ndarray:
     bits = mixed(minima ^ _SEEDS[2]) % np.uint64(SKETCH_BITS)
     cells = np.arange(len(minima))[:, None] * SKETCH_BITS + bits.astype(np.int64)
     odd = np.bincount(cells.ravel(), minlength=len(minima) * SKETCH_BITS).reshape(-1, SKETCH_BITS) & 1
-    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.uint64)
 
 
 def band_hashes(minima: np.ndarray) -> np.ndarray:
@@ -95,7 +97,7 @@ def band_hashes(minima: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, n: int) -> DataFrame:
-    """``(doc_id, text_hash, n_shingles, hi, lo, odd, bands)`` per row; the last four are null where there are no words."""
+    """``(doc_id, text_hash, n_shingles, hi, lo, bands)`` per row; the last three are null where there are no words."""
 
     def rows(values: np.ndarray, present: np.ndarray) -> pa.Array:
         offsets = np.concatenate([[0], np.cumsum(np.where(present, values.shape[1], 0))]).astype(np.int32)
@@ -110,75 +112,105 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
             minima = minhash(hashes, starts)
             hi, lo = (pa.array(digest[:, k], mask=~present) for k in (0, 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(count.astype(np.int64)), hi, lo, rows(odd_sketches(minima), present), rows(band_hashes(minima), present)],
-                ["doc_id", "text_hash", "n_shingles", "hi", "lo", "odd", "bands"],
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(count.astype(np.int64)), hi, lo, rows(band_hashes(minima), present)],
+                ["doc_id", "text_hash", "n_shingles", "hi", "lo", "bands"],
             )
 
     rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows_in.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, hi long, lo long, odd array<long>, bands array<long>")
+    return rows_in.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, hi long, lo long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, n: int) -> DataFrame:
-    """``(node, hi, lo, shingles)`` per row that has words."""
+    """``(node, odd, shingles)`` per row that has words, both as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches, limit=4 << 20):
             hashes, starts = shingle_hashes(texts_of(batch), n)
-            digest = set_digests(hashes, starts).view(np.int64)
-            sets = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(hashes.view(np.int64)))
-            found = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(digest[:, 0]), pa.array(digest[:, 1]), sets], ["node", "hi", "lo", "shingles"])
-            yield found.filter(pa.array(np.diff(starts) > 0))
+            present = np.flatnonzero(np.diff(starts))
+            odd = odd_sketches(minhash(hashes, starts))
+            sets = [hashes[starts[i] : starts[i + 1]].tobytes() for i in present]
+            node = batch.column("doc_id").take(pa.array(present))
+            yield pa.RecordBatch.from_arrays([node, pa.array([x.tobytes() for x in odd], pa.binary()), pa.array(sets, pa.binary())], ["node", "odd", "shingles"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "node long, hi long, lo long, shingles array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "node long, odd binary, shingles binary")
 
 
-def estimated_similarity(a: Column, b: Column) -> Column:
-    """What two odd sketches say about the share of equal samples."""
-    differing = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    share = F.least(F.lit(2.0) * differing / SKETCH_BITS, F.lit(0.999))
-    return 1 + F.log(1 - share) * SKETCH_BITS / (4 * SAMPLES)
+def estimated_similarity(differing: np.ndarray) -> np.ndarray:
+    """What the number of differing bits of two odd sketches says about the share of equal samples."""
+    share = np.minimum(2.0 * differing / SKETCH_BITS, 0.999)
+    return 1 + np.log1p(-share) * SKETCH_BITS / (4 * SAMPLES)
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough."""
-    slim = nodes.select("node", "n_shingles", "odd")
-    known = pairs.join(slim.withColumnsRenamed({"node": "a", "n_shingles": "n_a", "odd": "odd_a"}), "a").join(
-        slim.withColumnsRenamed({"node": "b", "n_shingles": "n_b", "odd": "odd_b"}), "b"
-    )
-    near = known.where(
-        (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        & (estimated_similarity(F.col("odd_a"), F.col("odd_b")) >= percent / 100 - MARGIN)
-    )
-    near = written(near.select("a", "b").distinct(), "near")
-    asked = written(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "asked")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(asked.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    sets = full_sets(texts, n).dropDuplicates(["node", "hi", "lo"]).select("node", "shingles")
-    both = near.join(sets.withColumnsRenamed({"node": "b", "shingles": "of_b"}), "b").join(sets.withColumnsRenamed({"node": "a", "shingles": "of_a"}), "a")
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    union = F.size("of_a") + F.size("of_b") - F.col("shared")
-    return both.select("a", "b", "of_a", "of_b", shared.alias("shared")).where(100 * F.col("shared") >= percent * union).select("a", "b").distinct()
-
-
-def _necessary_pairs(left: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` of nodes with different labels that the prefix condition leaves.
-
-    With shingles in order of rarity, sets of the wanted similarity share one of the first ``|A| - ceil(t * |A|) + 1`` of each
-    side. Shingles of one set alone come first and meet nothing, so texts that share a passage, however many, but not
-    enough of the rest, do not meet.
+def family_links(nodes: np.ndarray, sketch: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[list[int], list[int]]:
+    """Links that connect the nodes of one family as all pairs of similar sets would.
+
+    Each node looks at the sketches of all others; where one that is not yet connected with it may be similar enough, the exact
+    intersections with all others are counted through the postings of its members.
+    """
+    n = len(nodes)
+    sizes = np.array([len(x) for x in sets])
+    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(token, kind="stable")
+    owner = np.repeat(np.arange(n), sizes)[order]
+    posting = np.searchsorted(token[order], np.arange(token.max() + 2))
+    ends = np.cumsum(sizes)
+    group = np.arange(n)  # the component of each node, by its smallest place
+    floor = percent / 100 - MARGIN
+    left, right = [], []
+    for i in range(n):
+        near = (group != group[i]) & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i]))
+        place = np.flatnonzero(near)
+        place = place[estimated_similarity(np.bitwise_count(sketch[place] ^ sketch[i]).sum(axis=1)) >= floor]
+        if not len(place):
+            continue
+        mine = token[ends[i] - sizes[i] : ends[i]]
+        shared = np.bincount(np.concatenate([owner[posting[t] : posting[t + 1]] for t in mine]), minlength=n)[place]
+        for j in place[100 * shared >= percent * (sizes[i] + sizes[place] - shared)]:
+            if group[i] != group[j]:
+                left.append(int(nodes[i]))
+                right.append(int(nodes[j]))
+                lo, hi = sorted((group[i], group[j]))
+                group[group == hi] = lo
+    return left, right
+
+
+def _confirm(percent: int):
+    def run(dealt: pa.Table) -> pa.Table:
+        dealt = dealt.sort_by([("family", "ascending"), ("tile", "ascending"), ("node", "ascending")])
+        family, tile, node = (dealt.column(c).to_numpy() for c in ("family", "tile", "node"))
+        sketch = np.frombuffer(b"".join(dealt.column("odd").to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
+        sets = dealt.column("shingles").combine_chunks()
+        bounds = np.concatenate([[0], np.flatnonzero((np.diff(family) != 0) | (np.diff(tile) != 0)) + 1, [len(family)]])
+        left, right = [], []
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            if b - a > 1:
+                members = [np.frombuffer(x.as_py(), np.uint64) for x in sets[a:b]]
+                x, y = family_links(node[a:b], sketch[a:b], members, percent)
+                left += x
+                right += y
+        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+    return run
+
+
+def _confirmed(families: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between nodes of one family (``node, family``) that are similar enough on their full sets.
+
+    Small families share tasks. One of more than ``TILE_NODES`` nodes is cut into blocks, and each pair of blocks is a task of its
+    own, so no task holds more than two blocks.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(left.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    sets = written(full_sets(texts, n).dropDuplicates(["node", "hi", "lo"]), "sets")
-    size = F.size("shingles")
-    tokens = sets.select("node", "hi", size.alias("size"), F.explode("shingles").alias("shingle"))
-    known = tokens.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    shared = tokens.join(known, "shingle")
-    prefix = F.col("size") - F.ceil(F.lit(percent) * F.col("size") / 100) + 1
-    alone = F.col("size") - F.count("*").over(Window.partitionBy("node", "hi"))
-    rank = F.row_number().over(Window.partitionBy("node", "hi").orderBy("df", "shingle"))
-    ranked = shared.withColumns({"rank": rank + alone, "prefix": prefix}).where("rank <= prefix").select("shingle", "node")
-    placed = written(ranked.join(left, "node").select("shingle", "node", "label").distinct(), "prefixes")
-    a, b = placed.withColumnsRenamed({"node": "a", "label": "label_a"}), placed.withColumnsRenamed({"node": "b", "label": "label_b"})
-    return a.join(b, "shingle").where("a < b and label_a <> label_b").select("a", "b").distinct()
+    sizes = families.groupBy("family").agg(F.ceil(F.count("*") / TILE_NODES).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    tiled = families.join(sizes, "family").select("node", "family", "blocks", block.alias("block")).withColumn("other", other)
+    tile = (F.least("block", "other").cast("long") * F.col("blocks") + F.greatest("block", "other")).alias("tile")
+    tiles = written(tiled.select("node", "family", tile), "tiles")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        tiles.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi"
+    )
+    parts = max(shuffle_partitions(docs.sparkSession), tiles.count() // TASK_NODES)
+    dealt = tiles.join(full_sets(texts, n), "node").withColumn("part", F.pmod(F.xxhash64("family", "tile"), F.lit(parts)))
+    return dealt.groupBy("part").applyInArrow(_confirm(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -192,7 +224,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     """
     rows = written(sketches(docs, n), "sketches")
     by_set = rows.where("hi is not null and doc_id is not null").groupBy("hi", "lo").agg(
-        F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("odd").alias("odd"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("node"), F.first("bands").alias("bands")
     )
     nodes = written(by_set, "nodes")
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -203,18 +235,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     same_id = rows.where("hi is not null and doc_id is not null").select("doc_id", "hi", "lo").distinct()
     links = same_id.join(nodes.select("hi", "lo", "node"), ["hi", "lo"]).groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
     links = written(links.where("a <> b").select("a", "b"), "links")
-    # first each bucket's members against its smallest node
-    first = members.join(members.groupBy("bucket").agg(F.min("node").alias("a")), "bucket").where("a <> node").select("a", F.col("node").alias("b"))
-    links = written(links.union(_confirmed(written(first.distinct(), "pairs"), nodes, docs, n, percent)), "links")
-    labels = components(links)
-    # then what still shares a bucket across components, by the shingles that such pairs must share
-    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    several = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
-    left, seen = written_and_measured(labelled.join(several, "bucket").select("node", "label").distinct(), "open", n=F.count("*"))
-    if seen["n"]:
-        pairs = written(_necessary_pairs(left, docs, n, percent), "pairs")
-        more = written(_confirmed(pairs, nodes, docs, n, percent), "links")
-        labels = components(links.union(more))
+    # nodes that buckets connect are a family: all similar pairs lie inside one
+    family = components(members.join(members.groupBy("bucket").agg(F.min("node").alias("a")), "bucket").select("a", F.col("node").alias("b")))
+    families = written(family.select("node", F.col("label").alias("family")), "families")
+    labels = components(links.union(written(_confirmed(families, docs, n, percent), "links")))
 
     named = nodes.select("hi", "lo", "node").join(labels, "node", "left").select("hi", "lo", F.coalesce("label", "node").alias("component_id"))
     joined = rows.select("doc_id", "text_hash", "n_shingles", "hi", "lo").join(named, ["hi", "lo"], "left")
