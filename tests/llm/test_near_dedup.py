@@ -111,3 +111,28 @@ def test_contracted_links():
         node, top = G.contracted(a, b)
         expected = {i: root(i) for i in set(a.tolist()) | set(b.tolist())}
         assert dict(zip(node.tolist(), top.tolist())) == {i: r for i, r in expected.items() if i != r}
+
+
+def test_buckets_propose_only_pairs_that_sketches_allow():
+    rng = np.random.default_rng(3)
+    notice = rng.integers(0, 1 << 62, 200).astype(np.uint64)  # texts with this in common are similar by a third: near-duplicates are not
+    sets = [np.unique(np.concatenate([notice, rng.integers(0, 1 << 62, 200).astype(np.uint64)])) for _ in range(300)]
+    sets[7] = np.unique(np.concatenate([sets[5][:380], notice[:5]]))
+    starts = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    sketch = N.odd_sketches(N.minhash(np.concatenate(sets), starts))
+    nodes = np.arange(300)
+    sizes = np.diff(starts)
+    assert N.bucket_links(nodes, nodes, sizes, sketch, 80) in (([5], [7]), ([7], [5]))
+    same = np.where(nodes == 7, 5, nodes)  # confirmed already
+    assert N.bucket_links(nodes, same, sizes, sketch, 80) == ([], [])
+    assert N.bucket_links(nodes, np.zeros(300, int), sizes, sketch, 80) == ([], [])
+
+
+@pytest.mark.parametrize("limits", [{"TILE_NODES": 5, "BUCKET_NODES": 4}, {"TILE_BYTES": 4000}])
+def test_cut_buckets_and_groups(documents, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(N, name, value)
+    rows = corpus()
+    expected = brute(rows, 5, 80)
+    for r in N.near_duplicates(documents(rows)).collect():
+        assert (r.n_shingles, r.component_id) == expected[r.doc_id]
