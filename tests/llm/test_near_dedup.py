@@ -136,3 +136,13 @@ def test_cut_buckets_and_groups(documents, monkeypatch, limits):
     expected = brute(rows, 5, 80)
     for r in N.near_duplicates(documents(rows)).collect():
         assert (r.n_shingles, r.component_id) == expected[r.doc_id]
+
+
+def test_repeated_rows_are_one_set(documents):
+    near = [("a b c d e f g h i j k l m n o p q r s t u v w x y z").replace("z", f"z{i}") for i in range(3)]
+    docs = documents([(4, near[0])] * 300 + [(5, near[1]), (4, "other words are here too"), (6, near[2])]).repartition(5)
+    rows = N.sketches(docs, 5).cache()
+    keys = rows.select("doc_id", "text_hash").distinct()
+    found = N.full_sets(N.texts_once(docs, rows, keys), 5).select("node", "text_hash").collect()
+    assert len(found) == len(set(found)) == 4
+    assert {(r.doc_id, r.component_id) for r in N.near_duplicates(docs).collect()} == {(4, 4), (5, 4), (6, 4)}

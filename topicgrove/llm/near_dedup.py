@@ -124,12 +124,19 @@ def sketches(docs: DataFrame, n: int) -> DataFrame:
     return rows_in.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, hi long, lo long, odd array<long>, bands array<long>")
 
 
-def texts_of_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """``(doc_id, text_hash, text)``, the rows of ``docs`` that have one of ``keys`` (``doc_id, text_hash``).
+def texts_once(docs: DataFrame, rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``(doc_id, text_hash, text)``, one row for each of ``keys`` (``doc_id, text_hash``) however often ``docs`` repeats it.
+
+    ``rows`` are the sketches of ``docs``.
     """
     both = ["doc_id", "text_hash"]
+    counted = rows.select(*both).join(keys, both, "left_semi").groupBy(*both).agg(F.count("*").alias("n_rows"))
+    counted, seen = written_and_measured(counted, "wanted", most=F.max("n_rows"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return texts.join(keys, both, "left_semi")
+    single = texts.join(counted.where("n_rows = 1"), both, "left_semi")
+    if (seen["most"] or 0) <= 1:
+        return single
+    return single.union(texts.join(counted.where("n_rows > 1"), both, "left_semi").groupBy(*both).agg(F.first("text").alias("text")))
 
 
 def full_sets(texts: DataFrame, n: int) -> DataFrame:
@@ -282,11 +289,11 @@ def _blocks(families: DataFrame) -> DataFrame:
     return families.groupBy("family").agg(F.ceil(most).cast("long").alias("blocks"))
 
 
-def _confirmed(tiles: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+def _confirmed(tiles: DataFrame, docs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
     """Links ``(a, b)`` inside tiles (``node, text_hash, n_shingles, label, family, blocks, tile``), on the full sets."""
     tiles, seen = written_and_measured(tiles, "tiles", n=F.count("*"), members=F.sum("n_shingles"))
     keys = tiles.select(F.col("node").alias("doc_id"), "text_hash").distinct()
-    sets = full_sets(texts_of_keys(docs, keys), n)
+    sets = full_sets(texts_once(docs, rows, keys), n)
     parts = max(shuffle_partitions(docs.sparkSession), seen["n"] // TASK_NODES, 8 * (seen["members"] or 0) // TASK_BYTES)
     dealt = _dealt(tiles.drop("n_shingles").join(sets, ["node", "text_hash"]), parts)
     return written(dealt.applyInArrow(_confirm(percent), "a long, b long"), "links")
@@ -349,9 +356,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     same_id = known.select("doc_id", "hi", "lo").distinct()
     links = same_id.join(nodes.select("hi", "lo", "node"), ["hi", "lo"]).groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
     links = written(links.where("a <> b").select("a", "b"), "links")
-    stars = written(components(links.union(_confirmed(_pivot_tiles(members, points, percent), docs, n, percent))), "stars")
+    stars = written(components(links.union(_confirmed(_pivot_tiles(members, points, percent), docs, rows, n, percent))), "stars")
     labelled = written(points.join(stars, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
-    rest = _confirmed(_open_tiles(members, labelled, percent), docs, n, percent)
+    rest = _confirmed(_open_tiles(members, labelled, percent), docs, rows, n, percent)
     labels = components(stars.select(F.col("node").alias("a"), F.col("label").alias("b")).union(rest))
 
     named = nodes.select("hi", "lo", "node").join(labels, "node", "left").select("hi", "lo", F.coalesce("label", "node").alias("component_id"))
