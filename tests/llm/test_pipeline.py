@@ -61,3 +61,20 @@ def test_empty_documents(spark, documents):
     for _, stage in P.STAGES:
         docs_out = stage(spark, docs, SF_DIR)
         assert docs_out.count() == 0
+
+
+def test_packed_shards_follow_the_training_order(spark, documents, tmp_path):
+    lengths = [7, 300, 20, 900, 60]  # later files are larger: a read by falling size turns them round
+    rows = [(i, f"w{i} " * (lengths[i % 5] + i)) for i in range(240)]
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    documents(rows).select(columns).repartitionByRange(12, "doc_id").sortWithinPartitions("doc_id").write.parquet(str(tmp_path / "mixed"))
+    packed = P.pack_tokens(spark, spark.read.parquet(str(tmp_path / "mixed")), SF_DIR).collect()
+    places = defaultdict(list)
+    for r in packed:
+        places[r.shard] += r.doc_ids
+    shards = [places[s] for s in sorted(places)]
+    assert len(shards) > 1 and all(max(a) < min(b) for a, b in zip(shards, shards[1:]))
+    assert {i for s in shards for i in s} == set(range(240))
+    for s in places:
+        means = [np.mean(r.doc_ids) for r in sorted(packed, key=lambda r: r.row) if r.shard == s]
+        assert means == sorted(means)

@@ -119,7 +119,7 @@ class Encoder:
         return ids, np.concatenate([[0], ends])[starts + np.arange(len(starts))]
 
 
-def _pool_rows(ids: np.ndarray, starts: np.ndarray, doc_ids: pa.Array, capacity: int, end: int, shard: str, first_row: int) -> pa.RecordBatch:
+def _pool_rows(ids: np.ndarray, starts: np.ndarray, doc_ids: pa.Array, capacity: int, end: int, shard: str, first_row: int, in_order: bool = False) -> pa.RecordBatch:
     """One packed row per record."""
     narrow = np.uint16 if end < 1 << 16 else np.uint32
     lengths = np.diff(starts)
@@ -129,6 +129,8 @@ def _pool_rows(ids: np.ndarray, starts: np.ndarray, doc_ids: pa.Array, capacity:
     at = starts[doc] + piece * capacity
     sizes = np.minimum(starts[doc + 1] - at, capacity)
     rows = best_fit(sizes, capacity)
+    if in_order:
+        rows.sort(key=lambda row: doc[row].mean())
     packed, places, bounds, owners, parts = [], [], [], [], []
     for row in rows:
         line, place = np.full(capacity, end, narrow), np.zeros(capacity, np.uint32)
@@ -157,7 +159,7 @@ def _pool_rows(ids: np.ndarray, starts: np.ndarray, doc_ids: pa.Array, capacity:
     )
 
 
-def pack(docs: DataFrame, path: str, capacity: int = ROW_TOKENS, pool_tokens: int = POOL_TOKENS) -> DataFrame:
+def pack(docs: DataFrame, path: str, capacity: int = ROW_TOKENS, pool_tokens: int = POOL_TOKENS, in_order: bool = False) -> DataFrame:
     """Packed rows: ``(shard, row, n_tokens, ids, position_ids, cu_seqlens, doc_ids, pieces)``.
 
     ``ids`` is ``capacity`` little-endian unsigned integers (2 bytes each where the vocabulary fits, else 4), filled up
@@ -167,7 +169,8 @@ def pack(docs: DataFrame, path: str, capacity: int = ROW_TOKENS, pool_tokens: in
     order give its ids back, without loss.
 
     Null and empty texts are an end token alone. Null ids and repeated rows are packed like others, and extra columns are
-    ignored. A shard is a partition of the input; no rows give no rows. ``path`` names a rank file on every machine.
+    ignored. A shard is a partition of the input; with ``in_order`` the rows of a pool stand by the mean place of their documents in
+    the input, else by falling length of their first piece. No rows give no rows. ``path`` names a rank file on every machine.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +184,7 @@ def pack(docs: DataFrame, path: str, capacity: int = ROW_TOKENS, pool_tokens: in
             starts = np.concatenate([[0], *[s[1:] + b for (_, s, _), b in zip(held, before)]]).astype(np.int64)
             owners = pa.concat_arrays([owner for _, _, owner in held])
             held.clear()
-            return _pool_rows(ids, starts, owners, capacity, encoder.end, shard, row)
+            return _pool_rows(ids, starts, owners, capacity, encoder.end, shard, row, in_order)
 
         for batch in slabs(batches, limit=4 << 20):
             held.append((*encoder.documents(texts_of(batch)), batch.column("doc_id")))
