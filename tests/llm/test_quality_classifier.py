@@ -55,3 +55,10 @@ def test_edge_rows(spark, documents):
     assert len(rows) == 5 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
     assert Q.score(documents([]), Q.fit(documents([]), labels.where("false"))).count() == 0
     assert Q.score(docs, net, docs.columns).columns == [*docs.columns, "score", "predicted"]
+
+
+def test_without_rows_of_a_class_every_text_stays(spark, documents):
+    docs = documents([(i, f"text {i} " * i) for i in range(40)])
+    for rows in ([], [(10**9, 1), (10**9 + 1, 0)], [(i, 0) for i in range(40)], [(i, 1) for i in range(40)]):
+        net = Q.fit(docs, spark.createDataFrame(rows, "doc_id long, quality int"))
+        assert {(r.score, r.predicted) for r in Q.score(docs, net).collect()} == {(0.5, 1)}

@@ -171,7 +171,10 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: in
 def fit(docs: DataFrame, labels: DataFrame) -> Net:
     """Learn ``labels.quality`` from rows whose crc32(id) mod 3 is not 1; the classes weigh as often as they are labelled."""
     usable = bucket_of(F.col("doc_id"), 3) != 1
-    net = train(*labelled_sample(docs, labels, "quality", usable, SAMPLE_PER_CLASS, SAMPLE_BYTES))
+    texts, truth = labelled_sample(docs, labels, "quality", usable, SAMPLE_PER_CLASS, SAMPLE_BYTES)
+    if len(set(truth.tolist())) < 2:  # nothing tells the classes apart: every text scores 0.5
+        return Net(*map(np.zeros_like, fresh()))
+    net = train(texts, truth)
     good, bad = labels.where(usable).agg(F.count_if(F.col("quality") == 1), F.count_if(F.col("quality") == 0)).first()
     # the sample holds both classes alike
     return net._replace(offset=net.offset + np.float32(np.log((good + 1) / (bad + 1)) - np.log((min(good, SAMPLE_PER_CLASS) + 1) / (min(bad, SAMPLE_PER_CLASS) + 1))))
@@ -181,7 +184,7 @@ def score(docs: DataFrame, net: Net, columns: list[str] | None = None) -> DataFr
     """``columns`` of ``docs`` (its id unless given) with ``score`` and ``predicted``, one row per row.
 
     Only the text decides. Null and empty texts score as a document of no bytes; null ids and repeated rows are kept as they are.
-    No rows give no rows. Without labelled rows the network is the untrained one.
+    No rows give no rows. Where a class has no training row, every text scores 0.5 and is predicted 1.
     """
     columns = columns or ["doc_id"]
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
