@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,6 +61,17 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def once(key: tuple, make):
+    """``make()``, once per Python process and key: what workers load from files is kept for the tasks that follow.
+
+    The store is a module of its own, since the functions of this package travel by value and meet new globals in every task.
+    """
+    store = vars(sys.modules.setdefault("_topicgrove_kept", types.ModuleType("_topicgrove_kept")))
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def slabs(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``limit`` bytes of text, or of one row that is longer."""
     for batch in batches:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicgrove.llm import oracle
+from topicgrove.llm.bpe import digests
 from topicgrove.llm.common import bucket_of, shuffle_partitions, table
 from topicgrove.llm.decontamination import contamination
 from topicgrove.llm.katz import score as score_katz
@@ -79,6 +80,10 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_katz(table(spark, sf_dir, "documents"), bucket_of(F.col("doc_id"), 7) == 2)
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 #: The rules of the registered query.
 URL_RULES = [
     ("block", "net", "/"),
@@ -98,6 +103,7 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_katz": op10_katz,
+    "op13_bpe": op13_bpe,
 }
 
 ORACLE_SQL = {
