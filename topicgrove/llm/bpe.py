@@ -32,12 +32,19 @@ MEMORY_PIECES, MEMORY_IDS = 300_000, 4_000_000
 GAP, DEAD = -1, -2
 
 
-def _assigned(cut: Counter, merges: Merges):
-    """The cutting pattern where code points that Unicode has not assigned yet are no letters or digits, as in the library."""
+def _assigned(cut: Counter, merges: Merges, path: str):
+    """The cutting pattern where code points that are newer than the library's Unicode are no letters or digits, as there.
+
+    Which those are is asked of the library once, for the few ranges that Python's own, older tables do not know.
+    """
     import regex
+    from tokenizers import Tokenizer
 
     free = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]
-    early = [ord(c) for c in regex.findall(r"[\p{L}\p{N}]", "".join(free))]
+    late = regex.findall(r"[\p{L}\p{N}]", "".join(free))
+    # a mark and a letter are cut apart, a mark and what is no letter or digit are not
+    ends = {b for _, (_, b) in Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str(" ".join("!" + c for c in late))}
+    early = [ord(c) for i, c in enumerate(late) if 3 * i + 1 not in ends]
     if not early:
         return cut.words
     opens = [c for a, c in zip([-2, *early], early) if c != a + 1]
@@ -123,7 +130,7 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             self.special = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
         self.cut = Counter(self.merges)
-        self.words = _assigned(self.cut, self.merges)
+        self.words = _assigned(self.cut, self.merges, path)
         self.forget()
 
     def forget(self) -> None:
