@@ -133,3 +133,36 @@ def near_dedup_ctes(docs: str, n: int) -> str:
 NEAR_DEDUP = f"""WITH RECURSIVE {near_dedup_ctes("documents", 4)}
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM comp
 """
+
+PHRASES = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)
+), spots AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces
+), grams AS MATERIALIZED (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g, count(*)::HUGEINT AS f
+  FROM spots, (VALUES (1), (2), (3)) t(k) WHERE i + k - 1 <= len(w) GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang
+), cand AS (
+  SELECT lang, k, g, f, string_split(g, ' ') AS w FROM grams WHERE k > 1 AND f >= 10
+), parts AS MATERIALIZED (
+  SELECT lang, k, g, f, cut, array_to_string(list_slice(w, 1, cut), ' ') AS lg, array_to_string(list_slice(w, cut + 1, k), ' ') AS rg
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand)
+), cuts AS (
+  SELECT c.*, l.f AS l, r.f AS r, (1000000 * c.f * c.f) // (l.f * r.f) AS score
+  FROM parts c JOIN grams l ON l.lang = c.lang AND l.g = lg JOIN grams r ON r.lang = c.lang AND r.g = rg
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, part, max(f) AS longer FROM (
+    SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part, f FROM cand WHERE k = 3) GROUP BY lang, part
+), ranked AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.f DESC, b.g) AS rank, b.g AS phrase, b.f, b.l, b.r, score
+  FROM best b LEFT JOIN inside i ON b.k = 2 AND i.lang = b.lang AND i.part = b.g WHERE longer IS NULL OR 100 * longer < 50 * b.f
+)
+SELECT lang, rank, phrase, f::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

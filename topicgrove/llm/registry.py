@@ -17,10 +17,13 @@ from topicgrove.llm.quality_classifier import score as score_quality
 from topicgrove.llm.quality_rules import judge
 from topicgrove.llm.near_dedup import near_duplicates
 from topicgrove.llm.packing import pack
+from topicgrove.llm.phrases import collocations
 from topicgrove.llm.token_counts import count_tokens
 from topicgrove.llm.toxicity import fit as fit_toxicity
 from topicgrove.llm.toxicity import score as score_toxicity
 from topicgrove.llm.url_filters import judge as judge_urls
+from topicgrove.llm.whitening import fit as fit_whitening
+from topicgrove.llm.whitening import whiten
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +83,15 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_katz(table(spark, sf_dir, "documents"), bucket_of(F.col("doc_id"), 7) == 2)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whiten(vectors, fit_whitening(vectors))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents")).drop("cut")
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -103,6 +115,8 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_katz": op10_katz,
+    "op11_whitening": op11_whitening,
+    "op12_phrases": op12_phrases,
     "op13_bpe": op13_bpe,
 }
 
@@ -112,4 +126,5 @@ ORACLE_SQL = {
     "op5_decontamination": oracle.DECONTAMINATION,
     "op7_url_filters": oracle.URL_FILTERS,
     "op8_near_dedup": oracle.NEAR_DEDUP,
+    "op12_phrases": oracle.PHRASES,
 }
