@@ -52,9 +52,15 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
 
     For jobs whose result is a written table, which later jobs read instead.
     """
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        yield
+
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Inside, a setting of the session has this value; for jobs that end inside."""
     before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+    spark.conf.set(key, value)
     try:
         yield
     finally:

@@ -21,14 +21,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicgrove.llm.common import shuffle_partitions, shuffles_dropped, slabs, texts_of
+from topicgrove.llm.common import setting, shuffle_partitions, shuffles_dropped, slabs, texts_of
 from topicgrove.session import written
 
 #: What ends a piece, and what parts words: fixed values.
 CUTS, BLANK = r"[.,;:!?\x0A-\x0D]", "\t"
 SLAB_BYTES = 8 << 20
 #: Words of a shard; one without any cut may be longer.
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 #: Words are numbered below 2^31, and two numbers fit into one key column: phrases have at most four words.
 MOST_WORDS = 4
 
@@ -238,7 +238,9 @@ def count_grams(docs: DataFrame, depth: int, min_count: int) -> tuple[DataFrame,
         found = merged.mapInArrow(run, "a long, b long, f long").groupBy("a", "b").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
         n_words = reduce(lambda x, y: x + y, [F.when(_word(k) > 0, 1).otherwise(0) for k in range(MOST_WORDS)])
         single = words.select(F.shiftleft(F.col("id").cast("long"), 32).alias("a"), F.lit(0).cast("long").alias("b"), "f")
-        grams = written(single.unionByName(found).withColumn("n_words", n_words), "phrase_grams")
+        # a shard is a row of some MB: a batch holds few of them
+        with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", "2"):
+            grams = written(single.unionByName(found).withColumn("n_words", n_words), "phrase_grams")
     return words, grams, totals
 
 
