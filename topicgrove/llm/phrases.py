@@ -22,13 +22,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicgrove.llm.common import setting, shuffle_partitions, shuffles_dropped, slabs, texts_of
-from topicgrove.session import written
+from topicgrove.session import written, written_and_measured
 
 #: What ends a piece, and what parts words: fixed values.
 CUTS, BLANK = r"[.,;:!?\x0A-\x0D]", "\t"
-SLAB_BYTES = 8 << 20
+SLAB_BYTES = 2 << 20
 #: Words of a shard; one without any cut may be longer.
 SHARD_WORDS = 1 << 19
+#: Shards that a task turns into n-grams; their counts are added up before they travel.
+TASK_SHARDS = 8
 #: Words are numbered below 2^31, and two numbers fit into one key column: phrases have at most four words.
 MOST_WORDS = 4
 
@@ -210,14 +212,16 @@ def count_grams(docs: DataFrame, depth: int, min_count: int) -> tuple[DataFrame,
     and ``totals (lang, n)``, which counts all words.
     """
     with shuffles_dropped(docs.sparkSession):
-        sharded = written(shards(docs), "phrase_shards")
+        sharded, seen = written_and_measured(shards(docs), "phrase_shards", n=F.count(F.lit(1)))
+        parts = max(shuffle_partitions(docs.sparkSession), (seen["n"] or 0) // TASK_SHARDS)
         each = sharded.select("shard", "lang", F.posexplode(F.arrays_zip("vocabulary", "counts")).alias("code", "entry"))
         each = each.select("shard", "lang", "code", F.col("entry.vocabulary").alias("word"), F.col("entry.counts").alias("f"))
         totals = written(sharded.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n")), "phrase_totals")
         words = written(_numbered(each.groupBy("lang", "word").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)), "phrase_ids")
         # one list of at most a shard's vocabulary for each shard
-        known = each.drop("f").join(words.drop("f"), ["lang", "word"]).groupBy("shard").agg(F.collect_list(F.struct("code", "id")).alias("known"))
-        merged = sharded.select("shard", "codes").join(known, "shard").select("codes", "known")
+        ids = each.drop("f").join(words.drop("f"), ["lang", "word"]).select("shard", "code", "id").repartition(parts, "shard")
+        known = ids.groupBy("shard").agg(F.collect_list(F.struct("code", "id")).alias("known"))
+        merged = sharded.select("shard", "codes").repartition(parts, "shard").join(known, "shard").select("codes", "known")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
