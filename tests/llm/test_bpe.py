@@ -61,6 +61,8 @@ def test_round_trip_and_odd_rows(documents):
         ids = np.frombuffer(r.ids, "<u4").tolist()
         text = "a b" if r.doc_id is None else texts[r.doc_id] or ""
         assert ids == library_ids(text) and r.n_tokens == len(ids) and r.decoded == LIBRARY.decode(ids, skip_special_tokens=False)
+    at_once = encode(docs, PATH, decoded="text again").collect()
+    assert sorted((str(r[0]), r[1], bytes(r[2]), r[3]) for r in at_once) == sorted((str(r.doc_id), r.n_tokens, bytes(r.ids), r.decoded) for r in rows)
     plain = {r.doc_id: r.decoded for r in decode(encode(docs, PATH), PATH, plain=True).collect()}
     assert plain[2] == "hello , world 's end !" and plain[3] == "é <|endoftext|> x" and plain[5] == "no 1 2 3" and plain[0] == plain[1] == ""
     assert encode(documents([]), PATH).count() == 0

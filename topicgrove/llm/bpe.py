@@ -26,9 +26,9 @@ from topicgrove.llm.common import once, slabs, split_words, texts_of
 from topicgrove.llm.token_counts import UNICODE_SPACE, UNKNOWN, Counter, Merges, load_merges
 
 #: Texts of this many bytes are encoded together.
-SLAB_BYTES = 8 << 20
+SLAB_BYTES = 1 << 20
 #: Pieces and ids that a task remembers; beyond either it starts anew.
-MEMORY_PIECES, MEMORY_IDS = 300_000, 4_000_000
+MEMORY_PIECES, MEMORY_IDS = 100_000, 2_000_000
 GAP, DEAD = -1, -2
 
 
@@ -225,24 +225,30 @@ def gather(flat: np.ndarray, begin: np.ndarray, length: np.ndarray) -> tuple[np.
     return flat[np.repeat(begin - (ends - length), length) + np.arange(total)], ends
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, decoded: str | None = None) -> DataFrame:
     """One row per document: ``(doc_id, n_tokens, ids)``; ``ids`` are little-endian unsigned 32-bit integers.
 
     ``path`` names a vocabulary file that every machine has. Ids are those of the tokenizers library without begin, end or
     added tokens; special strings inside a text become their ids. Null texts are empty; empty ones have no ids. Null ids of
     documents and repeated rows are kept as they are; other columns are ignored. A text is held whole in one task, and a batch
-    is cut to about ``SLAB_BYTES`` or one text.
+    is cut to about ``SLAB_BYTES`` or one text. With ``decoded`` a column of that name holds what ``decode`` makes of the ids, in the
+    same pass.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once(("bpe.Encoder", path), lambda: Encoder(path))
+        decoder = once(("bpe.Decoder", path, False), lambda: Decoder(path)) if decoded else None
         for batch in slabs(batches, limit=SLAB_BYTES):
             ids, starts = encoder.of_texts(texts_of(batch))
             data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts * 4), pa.py_buffer(ids.astype("<u4"))])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(starts)), data.cast(pa.binary())], ["doc_id", "n_tokens", "ids"])
+            columns = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(np.diff(starts)), "ids": data.cast(pa.binary())}
+            if decoder:
+                columns[decoded] = pa.array([t.decode("utf-8", "replace") for t in decoder.of_ids(ids, starts)], pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary")
+    more = f", `{decoded}` string" if decoded else ""
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary{more}")
 
 
 class Decoder:
@@ -306,5 +312,5 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", into: str = "decoded",
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of every document."""
-    both = decode(encode(docs, path), path)
+    both = encode(docs, path, decoded="decoded")
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
