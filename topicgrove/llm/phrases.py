@@ -219,9 +219,9 @@ def count_grams(docs: DataFrame, depth: int, min_count: int) -> tuple[DataFrame,
         totals = written(sharded.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n")), "phrase_totals")
         words = written(_numbered(each.groupBy("lang", "word").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)), "phrase_ids")
         # one list of at most a shard's vocabulary for each shard
-        ids = each.drop("f").join(words.drop("f"), ["lang", "word"]).select("shard", "code", "id").repartition(parts, "shard")
-        known = ids.groupBy("shard").agg(F.collect_list(F.struct("code", "id")).alias("known"))
-        merged = sharded.select("shard", "codes").repartition(parts, "shard").join(known, "shard").select("codes", "known")
+        ids = each.drop("f").join(words.drop("f"), ["lang", "word"]).select("shard", "code", "id")
+        known = written(ids.groupBy("shard").agg(F.collect_list(F.struct("code", "id")).alias("known")), "phrase_codes")
+        merged = sharded.select("shard", "codes").repartition(parts, "shard").join(known.repartition(parts, "shard"), "shard").select("codes", "known")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
