@@ -31,7 +31,7 @@ TEXTS = [None, "", "Alpha, BETA! gamma", "the " * 40, "the quick brown fox jumps
 
 @pytest.mark.parametrize("broadcast", [100_000, 0])
 def test_equals_brute_force(spark, documents, monkeypatch, broadcast):
-    monkeypatch.setattr(D, "BROADCAST_WINDOWS", broadcast)
+    monkeypatch.setattr(D, "BROADCAST_BYTES", broadcast)
     docs = documents([(i, t) for i, t in enumerate(TEXTS)] + [(None, TEXTS[4]), (2, "alpha beta other"), (2, TEXTS[2])])
     items = spark.createDataFrame([(i, t, 1) for i, t in ITEMS], "item_id long, text string, start int")
     found = D.contamination(docs, items).join(docs.selectExpr("xxhash64(text) text_hash", "text").distinct(), "text_hash").collect()

@@ -78,3 +78,19 @@ def test_packed_shards_follow_the_training_order(spark, documents, tmp_path):
     for s in places:
         means = [np.mean(r.doc_ids) for r in sorted(packed, key=lambda r: r.row) if r.shard == s]
         assert means == sorted(means)
+
+
+def test_clashing_column_names(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    names = "positions planned_id planned_source planned_size training_position kept_id kept_hash score predicted _row _number _name doc c0 c1 file_name number name place hit_id text_hash words start window".split()
+    wide = docs.selectExpr("*", *[f"{i} AS `{n}`" for i, n in enumerate(names)], "1 AS `a.b`")
+    for name, stage in P.STAGES[:-1]:
+        plain, found = stage(spark, docs, SF_DIR), stage(spark, wide, SF_DIR)
+        assert found.columns == wide.columns and plain.columns == docs.columns
+        found.write.parquet(str(tmp_path / name))
+        rows = spark.read.parquet(str(tmp_path / name)).collect()
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in plain.collect()) and len(rows) > 20
+        assert all(r["score"] == names.index("score") and r["a.b"] == 1 and r["_row"] == names.index("_row") for r in rows)
+    wide.write.parquet(str(tmp_path / "wide"))
+    packed = P.pack_tokens(spark, spark.read.parquet(str(tmp_path / "wide")), SF_DIR)
+    assert sorted(i for r in packed.collect() for i, k in zip(r.doc_ids, r.pieces) if k == 0) == sorted(r.doc_id for r in docs.collect())

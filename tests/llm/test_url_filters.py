@@ -37,3 +37,10 @@ def test_no_rules_and_no_pages(spark):
     none = spark.createDataFrame([], "verdict string, host string, path string")
     assert [r.verdict for r in judge(pages, none, default="block").collect()] == ["block"]
     assert judge(pages.where("false"), none).count() == 0
+
+
+def test_very_long_hosts(spark):
+    host = "a." * 60000 + "example.net"
+    pages = spark.createDataFrame([(1, f"http://{host}/en/x"), (2, "http://x/y")], "page_id long, url string")
+    rules = spark.createDataFrame([("block", "net", "/"), ("allow", "example.net", "/en/")], "verdict string, host string, path string")
+    assert {r.page_id: (r.rule, r.verdict) for r in judge(pages, rules).collect()} == {1: ("example.net/en/", "allow"), 2: (None, "allow")}

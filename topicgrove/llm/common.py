@@ -6,13 +6,18 @@ import contextlib
 import sys
 import types
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicgrove.session import written
+
+#: Slices of the hashes of labelled ids whose sizes are counted.
+SLICE_BITS = 14
 #: ASCII white space: the separators of words.
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -141,12 +146,28 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, per_class: int, most_bytes: int) -> tuple[list[bytes], np.ndarray]:
-    """At most ``per_class`` labelled texts of each class, by a hash of the id; texts above ``most_bytes`` are not drawn."""
-    known = labels.where(usable & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("drawn_label"))
-    order = F.xxhash64("doc_id")
-    ranked = known.withColumn("nth", F.row_number().over(Window.partitionBy("drawn_label").orderBy(order)))
-    drawn = F.broadcast(ranked.where(F.col("nth") <= per_class).drop("nth"))
+    """At most ``per_class`` labelled texts of each class of at most ``most_bytes``, those whose ids have the smallest hashes.
+
+    Longer texts and labels without a document are passed over before the draw, so a class fills its share where it can. An id with
+    several texts gives the one with the smallest hash, an id with several labels the largest. Counts of hash slices tell which
+    slices hold the draw, so that no class is sorted as a whole.
+    """
+    known = labels.where(usable & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("text")).where(F.octet_length(text) <= most_bytes).join(drawn, "doc_id")
-    rows = sorted((r.doc_id, r.text.encode(), r.drawn_label) for r in rows.dropDuplicates(["doc_id"]).collect())
-    return [t for _, t, _ in rows], np.array([y for *_, y in rows], np.float32)
+    short = docs.where(F.octet_length(text) <= most_bytes).select("doc_id", F.xxhash64(text).alias("h"))
+    drawable = written(short.join(known, "doc_id").groupBy("doc_id").agg(F.min("h").alias("h"), F.first("y").alias("y")).withColumn("at", F.xxhash64("doc_id")), "drawable")
+    piece = F.shiftright("at", 64 - SLICE_BITS)
+    sizes: dict[int, int] = {}
+    last = {0: None, 1: None}
+    for r in sorted(drawable.groupBy("y", piece.alias("piece")).count().collect()):  # at most 2^SLICE_BITS rows a class
+        if sizes.get(r.y, 0) < per_class:
+            sizes[r.y], last[r.y] = sizes.get(r.y, 0) + r["count"], r.piece
+    order = ["at", "doc_id"]
+    drawn = [drawable.where((F.col("y") == y) & (piece <= at)).orderBy(*order).limit(per_class) for y, at in last.items() if at is not None]
+    if not drawn:
+        return [], np.zeros(0, np.float32)
+    rows = reduce(DataFrame.unionByName, drawn).select(F.col("doc_id").alias("drawn_id"), "h", "y")
+    # at most twice ``per_class`` rows
+    texts = docs.select("doc_id", text.alias("text")).join(F.broadcast(rows), (F.col("doc_id") == F.col("drawn_id")) & (F.xxhash64("text") == F.col("h")))
+    found = sorted((r.doc_id, r.text.encode(), r.y) for r in texts.select("doc_id", "text", "y").dropDuplicates(["doc_id"]).collect())
+    return [t for _, t, _ in found], np.array([y for *_, y in found], np.float32)

@@ -18,8 +18,8 @@ from topicgrove.session import written
 #: Everything but ASCII letters and digits and all non-ASCII characters separates words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
-#: Windows up to this many are sent to every task (about 1 KB each); more are joined by shuffling.
-BROADCAST_WINDOWS = 100_000
+#: Windows with at most this many bytes of words are sent to every task; more are joined by shuffling.
+BROADCAST_BYTES = 16 << 20
 
 
 def normal_words(text: Column) -> Column:
@@ -50,7 +50,8 @@ def find_windows(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
     Documents are told apart by id and a hash of the text, so rows that repeat one id with other texts stay apart.
     """
     windows = written(item_windows(items, window), "windows")
-    small = windows.count() <= BROADCAST_WINDOWS
+    size = F.aggregate("window", F.lit(0).cast("long"), lambda n, w: n + F.octet_length(w) + 8)
+    small = (windows.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), normal_words(F.col("text")).alias("words"))
     prefixes = written(_prefixes(windows, texts, small), "prefixes")
     tokens = texts.select("doc_id", "text_hash", "words", F.posexplode("words").alias("place", "token"))
@@ -86,7 +87,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     ``n_hit`` counts the document's words inside any window. Null and empty texts have no words; an item without words has no windows;
     repeated rows of either table change nothing but the number of rows. Without items no document is hit.
     """
-    found = find_windows(docs, items, window)
+    found = written(find_windows(docs, items, window), "found")
     places = found.groupBy("doc_id", "text_hash", "start").agg(F.max(F.size("window")).alias("length"))
     spans = places.groupBy("doc_id", "text_hash").agg(
         F.collect_list(F.struct("start", (F.col("start") + F.col("length") - 1).alias("end"))).alias("spans")

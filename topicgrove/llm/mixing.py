@@ -135,13 +135,17 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: tuple[S
 
 
 def training_order(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: tuple[Schedule, ...] = SCHEDULES) -> DataFrame:
-    """The mixture itself: rows of ``docs``, repeated or left out as ``plan`` says, sorted by training position."""
+    """The mixture itself: rows of ``docs``, repeated or left out as ``plan`` says, sorted by training position.
+
+    ``training_position`` follows the columns of ``docs``, unless they have one of that name, which then stays.
+    """
     planned = plan(docs, weights, schedules).where("taken > 0").select(
         F.col("doc_id").alias("planned_id"), F.col("source").alias("planned_source"), F.col("size").alias("planned_size"), "positions"
     )
-    size = F.size(words_of(docs["text"])).cast("long")
-    same = docs["doc_id"].eqNullSafe(F.col("planned_id")) & docs["source"].eqNullSafe(F.col("planned_source"))
-    joined = docs.join(planned, same & (size == F.col("planned_size")))
-    taken = joined.select(*[docs[c] for c in docs.columns], F.explode("positions").alias("training_position"))
-    parts = shuffle_partitions(docs.sparkSession)
-    return taken.repartitionByRange(parts, "training_position", "doc_id").sortWithinPartitions("training_position", "doc_id")
+    rows = docs.select(F.struct("*").alias("doc"))  # one column, which no name of the plan can meet
+    size = F.size(words_of(F.col("doc.text"))).cast("long")
+    same = F.col("doc.doc_id").eqNullSafe(F.col("planned_id")) & F.col("doc.source").eqNullSafe(F.col("planned_source"))
+    taken = rows.join(planned, same & (size == F.col("planned_size"))).select("doc", F.explode("positions").alias("training_position"))
+    parts, order = shuffle_partitions(docs.sparkSession), ["training_position", "doc.doc_id"]
+    dealt = taken.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return dealt.select("doc.*", *([] if "training_position" in docs.columns else ["training_position"]))

@@ -377,8 +377,8 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     named = found.where("kept_id is not null").groupBy("kept_id").agg(F.min("kept_hash").alias("kept_hash"), F.count("*").alias("n_rows"))
     nameless = found.where("kept_id is null").distinct().withColumn("n_rows", F.lit(1).cast("long"))
     stays, seen = written_and_measured(named.union(nameless), "kept", most=F.max("n_rows"))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("kept_id")) & (F.xxhash64(docs["text"]) == F.col("kept_hash"))
-    kept = docs.join(stays, same, "left_semi")
+    same = F.col("doc.doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (F.xxhash64("doc.text") == F.col("kept_hash"))
+    kept = docs.select(F.struct("*").alias("doc")).join(stays, same, "left_semi").select("doc.*")
     if (seen["most"] or 0) <= 1:
         return kept
     # rows equal in id and text are told apart by nothing; any one of them stays

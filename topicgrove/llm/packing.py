@@ -16,13 +16,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from topicgrove.llm.common import slabs, texts_of
+from topicgrove.llm.common import once, slabs, texts_of
 
 #: Fixed value: how the byte-level vocabularies cut texts before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 ROW_TOKENS = 2048
-POOL_TOKENS = 4 << 20
+POOL_TOKENS = 1 << 20
+SLAB_BYTES = 1 << 20
+#: Packed rows that leave a pool together.
+BATCH_ROWS = 64
 
 
 class CapacityTree:
@@ -119,8 +123,8 @@ class Encoder:
         return ids, np.concatenate([[0], ends])[starts + np.arange(len(starts))]
 
 
-def _pool_rows(ids: np.ndarray, starts: np.ndarray, doc_ids: pa.Array, capacity: int, end: int, shard: str, first_row: int, in_order: bool = False) -> pa.RecordBatch:
-    """One packed row per record."""
+def _pool_rows(ids: np.ndarray, starts: np.ndarray, doc_ids: pa.Array, capacity: int, end: int, shard: str, first_row: int, in_order: bool = False) -> Iterator[pa.RecordBatch]:
+    """One packed row per record, a few at a time."""
     narrow = np.uint16 if end < 1 << 16 else np.uint32
     lengths = np.diff(starts)
     n_pieces = -(-lengths // capacity)
@@ -131,6 +135,12 @@ def _pool_rows(ids: np.ndarray, starts: np.ndarray, doc_ids: pa.Array, capacity:
     rows = best_fit(sizes, capacity)
     if in_order:
         rows.sort(key=lambda row: doc[row].mean())
+    for low in range(0, len(rows), BATCH_ROWS):
+        some = rows[low : low + BATCH_ROWS]
+        yield _records(some, ids, at, sizes, doc, piece, doc_ids, capacity, end, narrow, shard, first_row + low)
+
+
+def _records(rows, ids, at, sizes, doc, piece, doc_ids, capacity, end, narrow, shard, first_row) -> pa.RecordBatch:
     packed, places, bounds, owners, parts = [], [], [], [], []
     for row in rows:
         line, place = np.full(capacity, end, narrow), np.zeros(capacity, np.uint32)
@@ -159,6 +169,17 @@ def _pool_rows(ids: np.ndarray, starts: np.ndarray, doc_ids: pa.Array, capacity:
     )
 
 
+def _of_one_file(batch: pa.RecordBatch, filed: bool) -> Iterator[pa.RecordBatch]:
+    """Stretches of a batch that come from one file; the batch itself where files do not matter."""
+    if not filed or not batch.num_rows:
+        yield batch
+        return
+    name = batch.column("name").dictionary_encode().indices.to_numpy()
+    edges = [0, *(np.flatnonzero(np.diff(name)) + 1).tolist(), len(name)]
+    for a, b in zip(edges, edges[1:]):
+        yield batch.slice(a, b - a)
+
+
 def pack(docs: DataFrame, path: str, capacity: int = ROW_TOKENS, pool_tokens: int = POOL_TOKENS, in_order: bool = False) -> DataFrame:
     """Packed rows: ``(shard, row, n_tokens, ids, position_ids, cu_seqlens, doc_ids, pieces)``.
 
@@ -169,31 +190,48 @@ def pack(docs: DataFrame, path: str, capacity: int = ROW_TOKENS, pool_tokens: in
     order give its ids back, without loss.
 
     Null and empty texts are an end token alone. Null ids and repeated rows are packed like others, and extra columns are
-    ignored. A shard is a partition of the input; with ``in_order`` the rows of a pool stand by the mean place of their documents in
-    the input, else by falling length of their first piece. No rows give no rows. ``path`` names a rank file on every machine.
+    ignored. A shard is a partition of the input; with ``in_order`` it is a piece of a part file, named by
+    the file's number and the place of its first row, so that names sort as the input was written, and the rows of a pool stand by the mean place
+    of their documents, else by falling length of their first piece. An input that is not in files is taken by partitions. No rows give no rows. ``path`` names a rank file on every machine.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, row = Encoder(path), 0
+        encoder, row = once(("packing.Encoder", path), lambda: Encoder(path)), 0
         shard = f"{TaskContext.get().partitionId():06d}"
         held: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
+        following = None
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal row
             before = np.concatenate([[0], np.cumsum([len(ids) for ids, _, _ in held])])
             ids = np.concatenate([ids for ids, _, _ in held])
             starts = np.concatenate([[0], *[s[1:] + b for (_, s, _), b in zip(held, before)]]).astype(np.int64)
             owners = pa.concat_arrays([owner for _, _, owner in held])
             held.clear()
-            return _pool_rows(ids, starts, owners, capacity, encoder.end, shard, row, in_order)
+            for out in _pool_rows(ids, starts, owners, capacity, encoder.end, shard, row, in_order):
+                yield out
+                row += out.num_rows
 
-        for batch in slabs(batches, limit=4 << 20):
+        for batch in (part for whole in batches for one in _of_one_file(whole, filed) for part in slabs([one], limit=SLAB_BYTES)):
+            if filed:
+                number, name, first = (batch.column(c)[0].as_py() for c in ("number", "name", "place"))
+                if (name, first) != following:
+                    if held:
+                        yield from flush()
+                    row, shard = 0, f"{number:06d}-{name}-{first:012d}"
+                following = (name, batch.column("place")[-1].as_py() + 1)
             held.append((*encoder.documents(texts_of(batch)), batch.column("doc_id")))
             if sum(len(ids) for ids, _, _ in held) >= pool_tokens:
-                yield (out := flush())
-                row += out.num_rows
+                yield from flush()
         if held:
-            yield flush()
+            yield from flush()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"shard string, row long, n_tokens int, ids binary, position_ids binary, cu_seqlens array<int>, doc_ids array<{kind}>, pieces array<int>"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    filed = in_order and bool(docs.inputFiles())
+    place = []
+    if filed:
+        file = docs.metadataColumn("_metadata")
+        number = F.coalesce(F.regexp_extract(file["file_name"], "^part-([0-9]+)", 1).try_cast("long"), F.lit(0))
+        place = [number.alias("number"), file["file_name"].alias("name"), file["row_index"].alias("place")]
+    return docs.select("doc_id", "text", *place).mapInArrow(run, schema)

@@ -176,8 +176,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Net:
         return Net(*map(np.zeros_like, fresh()))
     net = train(texts, truth)
     good, bad = labels.where(usable).agg(F.count_if(F.col("quality") == 1), F.count_if(F.col("quality") == 0)).first()
-    # the sample holds both classes alike
-    return net._replace(offset=net.offset + np.float32(np.log((good + 1) / (bad + 1)) - np.log((min(good, SAMPLE_PER_CLASS) + 1) / (min(bad, SAMPLE_PER_CLASS) + 1))))
+    drawn = truth.sum()
+    return net._replace(offset=net.offset + np.float32(np.log((good + 1) / (bad + 1)) - np.log((drawn + 1) / (len(truth) - drawn + 1))))
 
 
 def score(docs: DataFrame, net: Net, columns: list[str] | None = None) -> DataFrame:
@@ -187,15 +187,26 @@ def score(docs: DataFrame, net: Net, columns: list[str] | None = None) -> DataFr
     No rows give no rows. Where a class has no training row, every text scores 0.5 and is predicted 1.
     """
     columns = columns or ["doc_id"]
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    wanted = list(dict.fromkeys([*columns, "text"]))
+    scored = _scored(docs, net, columns)
+    return scored.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], "score", "predicted")
+
+
+def accepted(docs: DataFrame, net: Net) -> DataFrame:
+    """The rows of ``docs`` that are predicted 1, with its columns, whatever their names."""
+    return _scored(docs, net, docs.columns).where("predicted = 1").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def _scored(docs: DataFrame, net: Net, columns: list[str]) -> DataFrame:
+    """``columns`` as ``c0, c1, ...`` with ``score`` and ``predicted``."""
+    held = [f"c{i}" for i in range(len(columns))]
+    fields = "".join(f"{c} {docs.schema[name].dataType.simpleString()}, " for c, name in zip(held, columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slabs(batches, limit=1 << 20):
             texts = texts_of(batch).cast(pa.large_binary()).to_pylist()
             scores = predict(net, texts)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in columns], pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], [*columns, "score", "predicted"]
+                [*[batch.column(c) for c in held], pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], [*held, "score", "predicted"]
             )
 
-    return docs.select(*wanted).mapInArrow(run, f"{fields}, score double, predicted int")
+    return docs.select(*[docs[f"`{name}`"].alias(c) for c, name in zip(held, columns)], "text").mapInArrow(run, f"{fields}score double, predicted int")

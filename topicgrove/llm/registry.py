@@ -65,7 +65,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "verdict string, host string, path string"))
+    return judge_urls(table(spark, sf_dir, "pages"), spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, URL_RULES))} AS rules(verdict, host, path)"))
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

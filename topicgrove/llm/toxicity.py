@@ -172,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     votes = np.array([[v(d) for v in voters] for d in documents], float).reshape(len(documents), len(voters))
     model = fit_linear(documents, posterior(fit_label_model(votes), votes))
     toxic, other = labels.where(usable).agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
-    drawn = np.log((min(toxic, SAMPLE_PER_CLASS) + 1) / (min(other, SAMPLE_PER_CLASS) + 1))
+    drawn = np.log((truth.sum() + 1) / (len(truth) - truth.sum() + 1))
     return model._replace(offset=model.offset + float(np.log((toxic + 1) / (other + 1)) - drawn) / 2)
 
 

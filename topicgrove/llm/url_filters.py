@@ -73,11 +73,11 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", slices: in
     rows = host_and_path(pages.select("page_id", "url")).withColumn("row", F.monotonically_increasing_id())
     page = F.struct("page_id", "host", "path", "row").alias("page")
     labels = F.split("host", r"\.")
-    keys = let(
-        labels,
-        lambda x: F.transform(F.sequence(F.lit(1), F.size(x)), lambda i: _key(F.slice(x, i, F.size(x)), F.col("path"))),
-    )
-    asked = rows.select(F.pmod(F.xxhash64("page_id", "url", "row"), F.lit(slices)).cast("int").alias("slice"), page, F.explode(keys).alias("key"))
+    # only ends of the host with as many labels as some rule has can fit; their number is bounded by the rules, not by the host
+    counts = sorted(r.n for r in rules.where("host is not null and path is not null").select(F.size(F.split("host", r"\.")).alias("n")).distinct().collect())
+    ends = F.array(*[F.lit(n) for n in counts]).cast("array<int>")
+    keys = let(labels, lambda x: F.transform(F.filter(ends, lambda n: n <= F.size(x)), lambda n: _key(F.slice(x, F.size(x) - n + 1, n), F.col("path"))))
+    asked = rows.select(F.pmod(F.xxhash64("page_id", "url", "row"), F.lit(slices)).cast("int").alias("slice"), page, F.explode_outer(keys).alias("key"))
     bounds = interval_ends(rules).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
     merged = asked.withColumns({"kind": F.lit(1), "nth": F.lit(0), "step": F.lit(0)}).unionByName(bounds, allowMissingColumns=True)
 
