@@ -8,21 +8,19 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from topicgrove.llm.common import shuffle_partitions, table
+from topicgrove.llm.common import table
 from topicgrove.llm.decontamination import decontaminated
 from topicgrove.llm.mixing import training_order
 from topicgrove.llm.near_dedup import one_of_each
 from topicgrove.llm.packing import pack
-from topicgrove.llm.quality_classifier import fit, score
+from topicgrove.llm.quality_classifier import accepted, fit
 from topicgrove.session import written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier, fitted on the labelled ones among them, rejects."""
-    scored = score(docs, fit(docs, table(spark, sf_dir, "labels")), docs.columns)
-    return scored.where("predicted = 1").select(docs.columns)
+    return accepted(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,26 +35,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents so that sources come near their targets, in training order."""
-    return training_order(docs).select(docs.columns)
-
-
-def in_written_order(docs: DataFrame) -> DataFrame:
-    """Rows of a written table dealt and sorted as they were written, which a read by falling file size is not.
-
-    Part files count by their number, then by name, rows by their place in the file. A table that is not in files has no order to restore.
-    """
-    if not docs.inputFiles():
-        return docs
-    name = F.col("_metadata.file_name")
-    number = F.regexp_extract(name, "^part-([0-9]+)", 1).try_cast("long")
-    placed = docs.select(*docs.columns, number.alias("_number"), name.alias("_name"), F.col("_metadata.row_index").alias("_row"))
-    place = ["_number", "_name", "_row"]
-    return placed.repartitionByRange(shuffle_partitions(docs.sparkSession), *place).sortWithinPartitions(*place).drop(*place)
+    return training_order(docs).select([f"`{c}`" for c in docs.columns])
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of packed token ids, shards in the order of the written mixture."""
-    return pack(in_written_order(docs), public_tokenizers.path("byte_bpe_50k.tiktoken"), in_order=True)
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), in_order=True)
 
 
 STAGES = [
