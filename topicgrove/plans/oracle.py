@@ -140,7 +140,7 @@ RECENT = f"""recent AS (
 EMBEDDED = """embedded AS (
   SELECT p.seq, p.title, CAST(e.label // 4 + 1 AS INT) AS topic_level_1_cluster_id,
     CAST(e.label + 1 AS INT) AS topic_level_2_cluster_id, CAST(e.embedding AS DOUBLE[]) AS v
-  FROM posts p JOIN embeddings e ON e.vec_id = p.seq)"""
+  FROM posts p JOIN embeddings e ON e.vec_id = p.seq % (SELECT count(*) FROM embeddings))"""
 
 LEVEL2 = "titles AS (SELECT topic_level_2_cluster_id AS cluster_id, seq, title FROM posts WHERE topic_level_2_cluster_id IS NOT NULL)"
 LEVEL1 = "titles AS (SELECT topic_level_1_cluster_id AS cluster_id, seq, title FROM posts WHERE topic_level_1_cluster_id IS NOT NULL)"

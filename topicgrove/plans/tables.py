@@ -47,12 +47,11 @@ def page_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedded_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that have an embedding, clustered by the embedding's label."""
-    vectors = table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("seq"), F.col("embedding").alias("text_embedding"), "label"
-    )
+    """All documents, each with one of the vectors (by its number modulo theirs), clustered by the vector's label."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("text_embedding"), "label")
+    of = F.pmod("seq", F.lit(max(vectors.count(), 1)))
     posts = document_posts(spark, sf_dir).drop("topic_level_1_cluster_id", "topic_level_2_cluster_id")
-    return posts.join(vectors, "seq").select(
+    return posts.join(vectors, of == F.col("vec_id")).select(
         *posts.columns,
         "text_embedding",
         (F.floor(F.col("label") / 4) + 1).cast("int").alias("topic_level_1_cluster_id"),

@@ -67,22 +67,19 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def with_seq(df: DataFrame, *order: str | Column) -> DataFrame:
     """Number the rows 0..n-1 in the given order as ``seq``.
 
-    Rows are range-partitioned and sorted, each partition is numbered on its
-    own, and the partition sizes (one small row per partition) shift the
-    numbers; no task sees more than its own range. ``order`` must be unique for
-    the numbering to be repeatable.
+    Rows are range-partitioned, sorted and written with their partition and
+    place in it, and the partition sizes (one small row per partition) shift the
+    places; full rows are shuffled once, and no task sees more than its own
+    range. ``order`` must be unique for the numbering to be repeatable.
     """
-    part = F.spark_partition_id()
-    ranged = written(df.repartitionByRange(*order).withColumn("_part", part), "ranged")
+    # the partition is in the upper bits of these numbers, the place in the lower 33
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    ranged = written(placed, "ranged").withColumn("_part", F.shiftright("_at", 33))
     sizes = ranged.groupBy("_part").count()
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return (
-        ranged.join(starts, "_part")
-        .withColumn("seq", F.col("_start") + place - 1)
-        .drop("_part", "_start")
-    )
+    place = F.col("_at").bitwiseAND((1 << 33) - 1)
+    return ranged.join(starts, "_part").withColumn("seq", F.col("_start") + place).drop("_part", "_start", "_at")
 
 
 def cap_per_site(posts: DataFrame, cap: int, site: str = "site") -> DataFrame:
