@@ -483,6 +483,17 @@ grown AS (SELECT "left" AS id, arg_max(-"right" - 1, size) AS node FROM merges G
 SELECT coalesce(lag(-m."right" - 1) OVER (PARTITION BY m."left" ORDER BY m.size), m."left") AS "left",
   coalesce(g.node, m."right") AS "right", -m."right" - 1 AS parent, round(m.height, 6) AS height, m.size
 FROM merges m LEFT JOIN grown g ON m."right" = g.id""",
+    "leaf_order": f"""WITH RECURSIVE {WARD},
+grown AS (SELECT "left" AS id, arg_max(-"right" - 1, size) AS node FROM merges GROUP BY "left"),
+nodes AS (SELECT coalesce(lag(-m."right" - 1) OVER (PARTITION BY m."left" ORDER BY m.size), m."left") AS "left",
+  coalesce(g.node, m."right") AS "right", -m."right" - 1 AS parent, m.size FROM merges m LEFT JOIN grown g ON m."right" = g.id),
+leaves AS (SELECT min(vec_id) AS id, count(*) AS size FROM embeddings GROUP BY embedding),
+sizes AS (SELECT parent AS node, size FROM nodes UNION ALL SELECT id, size FROM leaves),
+branches AS (SELECT parent, "left" AS node, 0 AS way FROM nodes
+  UNION ALL SELECT n.parent, n."right", s.size FROM nodes n JOIN sizes s ON s.node = n."left"),
+walk AS (SELECT parent AS node, CAST(0 AS BIGINT) AS place FROM nodes WHERE parent NOT IN (SELECT node FROM branches)
+  UNION ALL SELECT b.node, w.place + b.way FROM walk w JOIN branches b ON b.parent = w.node)
+SELECT node AS id, place FROM walk WHERE node >= 0""",
     "cut_levels": f"""WITH RECURSIVE {WARD}, {_cut('coarse', 2.5)}, {_cut('fine', 2.0)},
 leaf_of AS (SELECT vec_id AS seq, min(vec_id) OVER (PARTITION BY embedding) AS id FROM embeddings)
 SELECT seq, CAST(dense_rank() OVER (ORDER BY c.root) AS INT) AS topic_level_1_cluster_id,

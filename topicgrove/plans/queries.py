@@ -331,6 +331,11 @@ def dendrogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(cut.dendrogram(_tree(spark, sf_dir).merges), "height")
 
 
+def leaf_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = _tree(spark, sf_dir)
+    return cut.leaf_order(tree.merges, tree.leaves).select("id", "place")
+
+
 def cut_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tree(spark, sf_dir).cut(CUTS).select("seq", "topic_level_1_cluster_id", "topic_level_2_cluster_id")
 
@@ -511,6 +516,7 @@ QUERIES = {
     "silhouette": silhouette_score,
     "ward_merges": ward_merges,
     "dendrogram": dendrogram,
+    "leaf_order": leaf_order,
     "cut_levels": cut_levels,
     "cluster_counts": cluster_counts,
     "sweep": sweep,
