@@ -39,5 +39,12 @@ def test_prose_stays_and_junk_goes(documents):
     assert "shouting" in kept[3][1]
 
 
+def test_ratios_of_stop_words_and_lines(documents):
+    prose = "The house by the river was sold in the spring, and it is said that a new owner came with the first boat of may."
+    texts = [prose.upper(), "the of " + "word " * 400, "\n".join([prose, "it is the end of that...", "and the \u2026 "]), "\n".join(f" - {w} the {w}x of" for w in prose.split()), "\n".join([f"* {prose}", prose + "\u2026 x"])]
+    found = {r.doc_id: r.broken for r in judge(documents(enumerate(texts))).collect()}
+    assert found == {0: [], 1: ["stop_words"], 2: ["open_lines"], 3: ["bullet_lines"], 4: []}
+
+
 def test_no_rows(documents):
     assert judge(documents([])).count() == 0

@@ -22,7 +22,9 @@ WITH d AS (
   SELECT d.doc_id, d.text, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
          len(l) - len(list_distinct(l)) AS n_dup_lines, len(l) AS n_lines,
-         coalesce(cov.n, 0) AS n_repeat_words, len(list_intersect(list_distinct(w), [{_STOP_LIST}])) AS n_stop,
+         coalesce(cov.n, 0) AS n_repeat_words, len(list_filter(regexp_extract_all(translate(d.text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}'), lambda x: x IN ({_STOP_LIST}))) AS n_stop,
+         len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|\x{{2026}})[\x20\x09-\x0D]*$'))) AS n_open,
+         len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*\x{{2022}}]'))) AS n_bullet,
          length(regexp_replace(text, '[^!]', '', 'g')) AS n_excl
   FROM d JOIN lines USING (r) LEFT JOIN cov USING (r)
 ), b AS (
@@ -30,9 +32,11 @@ WITH d AS (
          concat_ws(',',
            CASE WHEN n_words = 0 OR word_chars / n_words NOT BETWEEN 2 AND 15 THEN 'word_length' END,
            CASE WHEN n_words > 0 AND n_symbols / n_words > 0.1 THEN 'symbols' END,
-           CASE WHEN n_stop < 2 THEN 'stop_words' END,
+           CASE WHEN n_words = 0 OR n_stop / n_words < 0.05 THEN 'stop_words' END,
            CASE WHEN n_words > 0 AND n_excl / n_words > 0.2 THEN 'shouting' END,
-           CASE WHEN n_lines > 0 AND n_dup_lines / n_lines > 0.5 THEN 'repeated_lines' END) AS broken
+           CASE WHEN n_lines > 0 AND n_dup_lines / n_lines > 0.5 THEN 'repeated_lines' END,
+           CASE WHEN n_lines > 0 AND n_open / n_lines > 0.3 THEN 'open_lines' END,
+           CASE WHEN n_lines > 0 AND n_bullet / n_lines > 0.9 THEN 'bullet_lines' END) AS broken
   FROM c
 )
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicgrove.llm.common import let, words_of
+from topicgrove.llm.common import ascii_lower, let, words_of
 
 #: Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -17,6 +17,8 @@ STOP_WORDS = (
     "el que los del se las por un para con una su al lo como más"
 ).split()
 SYMBOLS = "#*$%&|<>"
+#: How a line ends that breaks off, and how one starts that is an item of a list.
+OPEN_END, BULLET = r"(\.\.\.|\x{2026})[\x20\x09-\x0D]*$", r"^[\x20\x09-\x0D]*[-*\x{2022}]"
 WINDOW = 8
 
 
@@ -33,9 +35,11 @@ class Rule(NamedTuple):
 RULES = (
     Rule("word_length", "mean_word_chars", 2.0, 15.0),
     Rule("symbols", "symbols_per_word", None, 0.1),
-    Rule("stop_words", "distinct_stop_words", 2.0, None),
+    Rule("stop_words", "stop_words_per_word", 0.05, None),
     Rule("shouting", "exclamations_per_word", None, 0.2),
     Rule("repeated_lines", "dup_line_ratio", None, 0.5),
+    Rule("open_lines", "open_line_ratio", None, 0.3),
+    Rule("bullet_lines", "bullet_line_ratio", None, 0.9),
 )
 
 
@@ -74,7 +78,9 @@ def repeated_words(words: Column) -> Column:
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """``docs`` as ``(doc_id, text, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words)``."""
+    """``docs`` as ``(doc_id, text, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words)``
+    with the counts of lines, of lines that break off or start a list item, and of stop words (A-Z lowered).
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return docs.select("doc_id", text.alias("text"), words_of(F.col("text")).alias("words")).select(
@@ -86,6 +92,9 @@ def base_counts(docs: DataFrame) -> DataFrame:
         F.regexp_count("text", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         let(lines, F.size).cast("long").alias("n_lines"),
+        let(lines, lambda x: F.size(F.filter(x, lambda line: line.rlike(OPEN_END)))).cast("long").alias("n_open_lines"),
+        let(lines, lambda x: F.size(F.filter(x, lambda line: line.rlike(BULLET)))).cast("long").alias("n_bullet_lines"),
+        F.size(F.filter(words_of(ascii_lower(F.col("text"))), lambda w: w.isin(list(dict.fromkeys(STOP_WORDS))))).cast("long").alias("n_stop_words"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
     )
 
@@ -93,15 +102,16 @@ def base_counts(docs: DataFrame) -> DataFrame:
 def measures(counted: DataFrame) -> DataFrame:
     """Add what ``RULES`` name, from the counts and the text. Ratios of nothing are zero."""
     ratio = lambda n, of: F.when(F.col(of) > 0, n / F.col(of)).otherwise(F.lit(0.0))
-    stop_words = F.array(*[F.lit(w) for w in dict.fromkeys(STOP_WORDS)])
     exclamations = F.length("text") - F.length(F.replace("text", F.lit("!"), F.lit("")))
     return counted.withColumns(
         {
             "mean_word_chars": ratio(F.col("word_chars"), "n_words"),
             "symbols_per_word": ratio(F.col("n_symbols"), "n_words"),
-            "distinct_stop_words": F.size(F.array_intersect("words", stop_words)),
+            "stop_words_per_word": ratio(F.col("n_stop_words"), "n_words"),
             "exclamations_per_word": ratio(exclamations, "n_words"),
             "dup_line_ratio": ratio(F.col("n_dup_lines"), "n_lines"),
+            "open_line_ratio": ratio(F.col("n_open_lines"), "n_lines"),
+            "bullet_line_ratio": ratio(F.col("n_bullet_lines"), "n_lines"),
         }
     )
 
