@@ -25,33 +25,46 @@ def discounts(counter):
 
 
 class Model:
-    """Katz by its definition."""
+    """Katz by its definition, of any order."""
 
-    def __init__(self, texts):
-        self.uni, self.follow = Counter(), defaultdict(Counter)
+    def __init__(self, texts, order=2):
+        self.order, self.uni, self.follow = order, Counter(), {k: defaultdict(Counter) for k in range(2, order + 1)}
         for t in texts:
-            before = "<s>"
-            for w in tokens(t):
-                self.uni[w] += 1
-                self.follow[before][w] += 1
-                before = w
+            found = tokens(t)
+            self.uni.update(found)
+            for i, w in enumerate(found):
+                for k in self.follow:
+                    self.follow[k][self.context(found, i, k)][w] += 1
         self.total = sum(self.uni.values())
-        self.d1 = discounts(self.uni)
-        self.d2 = discounts({(v, w): n for v, c in self.follow.items() for w, n in c.items()})
-        self.unknown = 1 - sum(map(self.d1, self.uni.values())) / self.total if self.total else 1.0
+        self.d = {k: discounts({(v, w): n for v, c in f.items() for w, n in c.items()}) for k, f in self.follow.items()}
+        self.d[1] = discounts(self.uni)
+        self.unknown = 1 - sum(map(self.d[1], self.uni.values())) / self.total if self.total else 1.0
+        self.weights = {}
+
+    @staticmethod
+    def context(found, i, k):
+        return tuple(found[j] if j >= 0 else "<s>" for j in range(i - k + 1, i))
 
     def one(self, w):
-        return self.d1(self.uni[w]) / self.total if w in self.uni else self.unknown
+        return self.d[1](self.uni[w]) / self.total if w in self.uni else self.unknown
 
-    def two(self, v, w):
-        seen = self.follow.get(v)
-        if not seen:
+    def p(self, context, w):
+        k = len(context) + 1
+        if k == 1:
             return self.one(w)
+        seen = self.follow[k].get(context)
+        if not seen:
+            return self.p(context[1:], w)
         mass = sum(seen.values())
         if w in seen:
-            return self.d2(seen[w]) / mass
-        left = 1 - sum(map(self.d2, seen.values())) / mass
-        return left / (1 - sum(map(self.one, seen))) * self.one(w)
+            return self.d[k](seen[w]) / mass
+        if context not in self.weights:
+            left = 1 - sum(map(self.d[k], seen.values())) / mass
+            self.weights[context] = left / (1 - sum(self.p(context[1:], x) for x in seen))
+        return self.weights[context] * self.p(context[1:], w)
+
+    def score(self, found):
+        return sum(math.log10(self.p(self.context(found, i, self.order), w)) for i, w in enumerate(found))
 
 
 def corpus(n=150):
@@ -61,26 +74,29 @@ def corpus(n=150):
     return rows + [(1000, None), (1001, ""), (1002, "the The THE é É"), (1003, "never seen anywhere"), (1004, "w1 " * 3000)]
 
 
-@pytest.mark.parametrize("part_tokens, slab", [(6_000_000, 12 << 20), (300, 2000)])
-def test_equals_the_definition(documents, monkeypatch, part_tokens, slab):
+def held(i):
+    return i % 4 == 1 or i == 1003
+
+
+def is_held():
+    return (F.col("doc_id") % 4 == 1) | (F.col("doc_id") == 1003)
+
+
+@pytest.mark.parametrize("order, part_tokens, slab", [(1, 2_000_000, 8 << 20), (2, 2_000_000, 8 << 20), (2, 300, 2000), (3, 2_000_000, 8 << 20), (3, 300, 2000), (4, 300, 700)])
+def test_equals_the_definition(documents, monkeypatch, order, part_tokens, slab):
     monkeypatch.setattr(K, "PART_TOKENS", part_tokens)
     monkeypatch.setattr(K, "SLAB_BYTES", slab)
     rows = corpus()
-    held = lambda i: i % 4 == 1 or i == 1003
-    docs = documents(rows + [(None, "w1 w2 w3 w1"), (2, "w1 w2"), (3, rows[3][1])])
-    found = K.score(docs, (F.col("doc_id") % 4 == 1) | (F.col("doc_id") == 1003)).collect()
-    assert len(found) == len(rows) + 3
-    model = Model([t for i, t in rows if not held(i)] + ["w1 w2 w3 w1", "w1 w2", rows[3][1]])
-    texts = dict(rows)
-    checked = 0
+    more = [(None, "w1 w2 w3 w1"), (2, "w1 w2"), (3, rows[3][1])]
+    found = K.fit_and_score(documents(rows + more), is_held(), order).collect()
+    assert len(found) == len(rows) + len(more)
+    model = Model([t for i, t in rows if not held(i)] + [t for _, t in more], order)
+    texts, checked = dict(rows), 0
     for r in found:
         if r.doc_id is None or r.doc_id == 2:
             continue
-        t, before, value, base = tokens(texts[r.doc_id]), "<s>", 0.0, 0.0
-        for w in t:
-            value += math.log10(model.two(before, w))
-            base += math.log10((model.uni[w] + 1) / (model.total + len(model.uni) + 1))
-            before = w
+        t = tokens(texts[r.doc_id])
+        value, base = model.score(t), sum(math.log10((model.uni[w] + 1) / (model.total + len(model.uni) + 1)) for w in t)
         assert (r.held_out, r.n_tokens, r.train_tokens) == (held(r.doc_id), len(t), model.total)
         assert r.n_known == sum(w in model.uni for w in t)
         assert abs(r.base_score - base) < 1e-6 * max(1, abs(base)) and abs(r.score - value) < 1e-6 * max(1, abs(value)), r
@@ -88,13 +104,36 @@ def test_equals_the_definition(documents, monkeypatch, part_tokens, slab):
     assert checked == len(rows)
 
 
-def test_contexts_sum_to_one():
-    model = Model([t for _, t in corpus()])
-    for v in [*list(model.follow)[:30], "unseen"]:
-        assert abs(sum(model.two(v, w) for w in [*model.uni, "some unknown word"]) - 1) < 1e-9
+def test_fitted_tables_score_other_documents(documents):
+    rows = corpus(60)
+    model = K.fit(documents([x for x in rows if not held(x[0])]))
+    assert len(model.orders) == 2
+    by_definition = Model([t for i, t in rows if not held(i)], 3)
+    others = [(i, t) for i, t in rows if held(i)] + [(7, "w1 unheard w1 w2")]
+    for r in K.score(documents(others), model).collect():
+        value = by_definition.score(tokens(dict(others)[r.doc_id]))
+        assert r.held_out and abs(r.score - value) < 1e-6 * max(1, abs(value))
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_contexts_sum_to_one(documents, order):
+    """The stored tables: for each context, what its seen words keep and its weight times the rest make one."""
+    rows = corpus(80)
+    model = K.fit(documents(rows), order)
+    definition = Model([t for _, t in rows], order)
+    top = model.orders[-1]
+    stored = {r["context"]: 0.0 for r in top.counts.collect()}
+    for r in top.counts.collect():
+        stored[r["context"]] += float(top.discounts.of(K.np.array(r["counts"])).sum())
+    weights = {r["context"]: r for r in top.backoff.collect()}
+    assert set(weights) == set(stored)
+    assert all(0 < 1 - kept / 10 ** weights[c].log_mass < 1 for c, kept in stored.items())
+    for context in [*list(definition.follow[order])[:30], ("unseen",) * (order - 1)]:
+        assert abs(sum(definition.p(context, w) for w in [*definition.uni, "some unknown word"]) - 1) < 1e-9
 
 
 def test_no_training_and_no_rows(documents):
-    rows = K.score(documents([(1, "a b"), (2, None)]), F.lit(True)).collect()
-    assert [(r.train_tokens, r.n_known, r.score) for r in rows] == [(0, 0, 0.0)] * 2
-    assert K.score(documents([]), F.lit(False)).count() == 0
+    for order in (1, 2, 3):
+        rows = K.fit_and_score(documents([(1, "a b"), (2, None)]), F.lit(True), order).collect()
+        assert [(r.train_tokens, r.n_known, r.score) for r in rows] == [(0, 0, 0.0)] * 2
+        assert K.fit_and_score(documents([]), F.lit(False), order).count() == 0

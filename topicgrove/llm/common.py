@@ -61,6 +61,13 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         yield
 
 
+def delete_written(table: DataFrame) -> None:
+    """Delete the files of a table from ``written`` that no later job reads."""
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextlib.contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """Inside, a setting of the session has this value; for jobs that end inside."""

@@ -1,40 +1,46 @@
-"""Katz backoff language model over words: fitted on one part of the documents, scored on all.
-
-The bigram estimate is Good-Turing discounted; what the discounts free goes to unseen successors in proportion to
-their unigram estimate, with a weight for each context that makes its distribution sum to one exactly. Unigrams are
-discounted alike, and their free mass is the probability of one class of unknown words. Counts above ``CUTOFF`` lose ``TAIL``,
-so that every context keeps some mass for the unseen.
-
-Counts travel, not texts. A first pass counts words. Then each task cuts its documents into token pairs, groups
-equal ones, and deals them by a hash of the second word; a part of the model counts its pairs, settles every token that it
-knows, and hands on by context what the backoff weights need: seen types by count, and the unseen tokens of documents. A
-token's score so walks from its pair to its context's weight and its word's estimate, and only sums per document meet
-again. Words (and contexts) with more than an eighth of a part's share are salted over several parts.
+"""Katz backoff language models over words, kept as tables: fitted on documents, evaluated order by order on these or others.
+
+The estimate of each order is Good-Turing discounted; what the discounts of a context free goes to its unseen successors in
+proportion to the next lower order, with a weight for each context that makes its distribution sum to one exactly.
+Unigrams are discounted alike, and their free mass is the probability of one class of unknown words. Counts above ``CUTOFF``
+lose ``TAIL``, so that every context keeps some mass for the unseen.
+
+A model is a table of words (number, count) and, for each order from 2, a table of discounted-to-be counts by context and one
+of backoff weights by context, dealt into parts by a hash of the context. Documents are cut into slabs of bounded size; a slab
+asks with one row per different context, which holds the words that follow it there, so the rows that travel are in proportion to the
+text. Scoring goes upwards: with the order k - 1 probability of each token known, the table of order k either holds the
+token's n-gram or gives the weight that the lower probability is multiplied with. Contexts with many successors are
+cut into slices by a hash of the successor.
+
+Documents are numbered by slab and place, not by id: repeated or null ids and equal texts are rows like others.
 """
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicgrove.llm.common import hash_strings, mixed, shuffle_partitions, shuffles_dropped, slabs, split_words, texts_of, words_of
-from topicgrove.session import written_and_measured
+from topicgrove.llm.common import delete_written, hash_strings, mixed, shuffle_partitions, shuffles_dropped, slabs, split_words, texts_of
+from topicgrove.session import written, written_and_measured
+from topicgrove.sources.posts import with_seq
 
 CUTOFF, TAIL = 5, 0.1
-#: Fixed hashes of the end token and of the context before the first token.
-END, BEGIN = np.uint64(0x0E4D0E4D0E4D0E4D), np.uint64(0xBE619BE619BE6191)
-SLAB_BYTES = 4 << 20
-#: Tokens that one part of the model takes.
+#: Fixed hash of the end token.
+END = np.uint64(0x0E4D0E4D0E4D0E4D)
+#: Numbers of the class of unknown words and of the place before the first token; words follow.
+UNKNOWN, BEGIN, FIRST = 0, 1, 2
+SLAB_BYTES = 8 << 20
+#: Training tokens for each part of a table; a context with an eighth of them is cut into slices.
 PART_TOKENS = 2_000_000
 HOT_SHARE = 8
-_SALT = np.uint64(0x2545F4914F6CDD1D)
 
 
 class Discounts(NamedTuple):
@@ -59,344 +65,437 @@ def good_turing(histogram: np.ndarray) -> Discounts:
     return Discounts(kept)
 
 
-class Unigrams(NamedTuple):
-    """What every task needs to know of the words: totals, discounts, and the counts of hot words alone."""
+@dataclass(frozen=True)
+class Unigrams:
+    """Totals of the training words: small values that every task gets."""
 
     tokens: int
     types: int
     documents: int
     discounts: Discounts
     unknown: float
-    hot: np.ndarray
-    hot_counts: np.ndarray
     parts: int
 
-    def spread(self, words: np.ndarray, others: np.ndarray) -> np.ndarray:
-        """The part of each word; hot words are dealt by the other hash over as many parts as their share asks for."""
-        salt = np.zeros(len(words), np.uint64)
-        if len(self.hot):
-            at = np.minimum(np.searchsorted(self.hot, words), len(self.hot) - 1)
-            is_hot = self.hot[at] == words
-            ways = np.maximum(self.hot_counts[at[is_hot]] * HOT_SHARE * self.parts // max(self.tokens, 1), 1).astype(np.uint64)
-            salt[is_hot] = mixed(others[is_hot]) % ways
-        return (mixed(words + salt * _SALT) % np.uint64(self.parts)).astype(np.int32)
-
-    def counts(self, words: np.ndarray, local: np.ndarray) -> np.ndarray:
-        """Training counts: those found here, but for hot words, of which a part sees only some."""
-        if not len(self.hot):
-            return local
-        at = np.minimum(np.searchsorted(self.hot, words), len(self.hot) - 1)
-        return np.where(self.hot[at] == words, self.hot_counts[at], local)
+    def log_probability(self, counts: np.ndarray) -> np.ndarray:
+        return np.log10(np.where(counts > 0, self.discounts.of(counts) / max(self.tokens, 1), self.unknown))
 
-    def probability(self, counts: np.ndarray) -> np.ndarray:
-        return np.where(counts > 0, self.discounts.of(counts) / max(self.tokens, 1), self.unknown)
+    @property
+    def id_type(self) -> str:
+        return "int" if self.types < 2**31 - FIRST else "long"
 
 
-def packed(*arrays: np.ndarray) -> bytes:
-    """Arrays of non-negative integers, each in the narrowest type that holds it, compressed."""
-    import zstandard
+@dataclass(frozen=True)
+class Order:
+    """``counts``: context, slice, words, counts. ``backoff``: context, slices, log_mass, log_weight."""
 
-    slim = [a.astype(np.min_scalar_type(int(a.max()))) if len(a) and a.dtype != np.uint64 else a for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(slim, protocol=5))
+    counts: DataFrame
+    backoff: DataFrame
+    discounts: Discounts
 
 
-def unpacked(data: bytes) -> list[np.ndarray]:
-    import zstandard
+@dataclass(frozen=True)
+class Model:
+    """``words``: word (hash), id, n. ``orders``: tables from order 2 upwards."""
 
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+    words: DataFrame
+    unigrams: Unigrams
+    orders: list[Order] = field(default_factory=list)
 
 
-def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the tokens of each text, its words and one end, and where each text's tokens start."""
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the different tokens, the place among them of every token (words, and one end a text), and where texts start."""
     words, starts = split_words(pc.ascii_lower(texts))
     coded = words.dictionary_encode()
-    hashes = hash_strings(coded.dictionary)[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.uint64)
+    names = np.concatenate([[END], hash_strings(coded.dictionary)]) if len(words) else np.array([END])
     n = len(starts) - 1
-    found = np.full(len(hashes) + n, END)
-    owner = np.repeat(np.arange(n), np.diff(starts))
-    found[np.arange(len(hashes)) + owner] = hashes
-    return found, starts + np.arange(n + 1)
+    codes = np.zeros(len(words) + n, np.int32)
+    if len(words):
+        codes[np.arange(len(words)) + np.repeat(np.arange(n), np.diff(starts))] = coded.indices.to_numpy() + 1
+    return names, codes, starts + np.arange(n + 1)
 
 
-def _count_words(docs: DataFrame) -> DataFrame:
-    """``(word, n)``: how often each token stands in the training documents."""
+def _one(values) -> pa.ListArray:
+    """All values as the list of a single row."""
+    return _lists(values, np.array([0, len(values)]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slabs(batches, limit=SLAB_BYTES):
-            words, n = np.unique(tokens_of(texts_of(batch))[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
 
-    return docs.where("not held_out").select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def _lists(values, starts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), values if isinstance(values, pa.Array) else pa.array(values))
+
 
+def _array(column: pa.ChunkedArray) -> np.ndarray:
+    """The list of a slab's only row."""
+    return column.chunk(0).flatten().to_numpy(zero_copy_only=False)
 
-def _unigrams(docs: DataFrame) -> Unigrams:
-    spark = docs.sparkSession
+
+def _cut(docs: DataFrame, held_out: Column) -> DataFrame:
+    """Slabs of documents: ``slab, words, trained, codes, starts, ids, held``; ``trained`` counts each word in training documents."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 32
+        for batch in slabs(batches, limit=SLAB_BYTES):
+            names, codes, starts = tokens_of(texts_of(batch))
+            held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
+            trains = np.repeat(~held, np.diff(starts))
+            yield pa.RecordBatch.from_pydict({
+                "slab": pa.array([at]), "words": _one(names.view(np.int64)), "trained": _one(np.bincount(codes[trains], minlength=len(names))),
+                "codes": _one(codes), "starts": _one(starts.astype(np.int32)), "ids": _one(batch.column("doc_id")), "held": _one(held),
+            })
+            at += 1
+
+    rows = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held"))
+    schema = f"slab long, words array<long>, trained array<long>, codes array<int>, starts array<int>, ids array<{id_type}>, held array<boolean>"
+    return written(rows.mapInArrow(run, schema), "slabs")
+
+
+def _words(cut: DataFrame) -> Model:
+    """Count the training words and number them, frequent ones first."""
+    spark = cut.sparkSession
     measures = {f"n{r}": F.count_if(F.col("n") == r) for r in range(1, CUTOFF + 2)}
     end = F.sum(F.when(F.col("word") == int(END.view(np.int64)), F.col("n")))
+    each = cut.select(F.inline(F.arrays_zip("words", "trained"))).where("trained > 0")
+    counted = each.groupBy(F.col("words").alias("word")).agg(F.sum("trained").alias("n"))
     with shuffles_dropped(spark):
-        counts, seen = written_and_measured(_count_words(docs), "words", tokens=F.sum("n"), types=F.count("*"), documents=end, **measures)
-    total, types, documents = (int(seen[k] or 0) for k in ("tokens", "types", "documents"))
-    parts = max(1, -(-total // PART_TOKENS), min(shuffle_partitions(spark), 16))
-    # at most HOT_SHARE * parts words can have so large a share
-    hot = sorted((np.int64(r.word).view(np.uint64), r.n) for r in counts.where(F.col("n") * HOT_SHARE * parts > total).collect())
+        counts, seen = written_and_measured(counted, "words", tokens=F.sum("n"), types=F.count("*"), documents=end, **measures)
+        numbered = with_seq(counts.withColumn("less", -F.col("n")), "less", "word")
+        words = written(numbered.select("word", (F.col("seq") + FIRST).alias("id"), "n"), "numbered_words")
+    tokens, types, documents = (int(seen[k] or 0) for k in ("tokens", "types", "documents"))
+    n = np.array([seen[f"n{r}"] or 0 for r in range(1, CUTOFF + 2)])
+    discounts = good_turing(n)
+    small = sum(n[r - 1] * (r - discounts.kept[r]) for r in range(1, CUTOFF + 1))
+    unknown = (small + TAIL * (types - n[:CUTOFF].sum())) / tokens if tokens else 1.0
+    parts = max(1, -(-tokens // PART_TOKENS), min(shuffle_partitions(spark), 16))
+    return Model(words, Unigrams(tokens, types, documents, discounts, float(unknown), parts))
+
+
+def _numbered(cut: DataFrame, model: Model) -> DataFrame:
+    """The slabs with words by number and count: ``slab, words, counts, codes, starts, ids, held``; ``words`` rises from 0 (unknown) and 1 (begin)."""
+    known = model.unigrams
+    fields = {f.name: f.dataType.simpleString() for f in cut.schema}
+    numbers = pa.int32() if known.id_type == "int" else pa.int64()
+
+    def run(slab: pa.Table, found: pa.Table) -> pa.Table:
+        n_words = len(slab.column("words")[0])
+        ids, counts = np.full(n_words, UNKNOWN, np.int64), np.zeros(n_words, np.int64)
+        at = found.column("pos").to_numpy()
+        ids[at], counts[at] = found.column("id").to_numpy(), found.column("n").to_numpy()
+        words, place = np.unique(np.concatenate([[UNKNOWN, BEGIN], ids]), return_inverse=True)
+        n = np.zeros(len(words), np.int64)
+        n[place[2:]], n[UNKNOWN], n[BEGIN] = counts, 0, known.documents
+        codes = place[2:][_array(slab.column("codes"))].astype(np.int32)
+        return pa.table({
+            "slab": slab.column("slab"), "words": _one(pa.array(words, numbers)), "counts": _one(n), "codes": _one(codes),
+            "starts": slab.column("starts"), "ids": slab.column("ids"), "held": slab.column("held"),
+        })
+
+    asked = cut.select("slab", F.posexplode("words").alias("pos", "word"))
+    found = asked.join(model.words, "word").select(F.col("slab").alias("of"), "pos", "id", "n")
+    schema = f"slab long, words array<{known.id_type}>, counts array<long>, " + ", ".join(f"{c} {fields[c]}" for c in ("codes", "starts", "ids", "held"))
+    with shuffles_dropped(cut.sparkSession):
+        numbered = written(cut.groupBy("slab").cogroup(found.groupBy("of")).applyInArrow(run, schema), "numbered_slabs")
+    delete_written(cut)
+    return numbered
+
+
+class Grams(NamedTuple):
+    """The different n-grams of a slab, by context, slice and word; rows are the runs of equal context and slice."""
+
+    tokens: np.ndarray  # places of the tokens whose context holds no unknown word
+    entry: np.ndarray  # the n-gram of each of them
+    times: np.ndarray
+    word: np.ndarray  # the code of each n-gram's last word
+    first: np.ndarray  # a token of each n-gram
+    heads: np.ndarray  # where rows start
+    context: np.ndarray
+    slice: np.ndarray
+    slices: np.ndarray
+
+
+def grams(words: np.ndarray, counts: np.ndarray, codes: np.ndarray, starts: np.ndarray, order: int, usable: np.ndarray | None = None) -> Grams:
+    """A context of one word is its number, a longer one a 64-bit hash of its numbers."""
+    known = np.ones(len(codes), bool) if usable is None else usable.copy()
+    bound = key = None
+    into = np.arange(len(codes)) - np.repeat(starts[:-1], np.diff(starts))
+    for back in range(1, order):
+        before = np.full(len(codes), BEGIN, np.int32)
+        before[back:][into[back:] >= back] = codes[:-back][into[back:] >= back]
+        known &= before != UNKNOWN
+        if order > 2:
+            named = words[before].astype(np.uint64)
+            key = named if key is None else mixed(key * np.uint64(0x9E3779B97F4A7C15) + named + np.uint64(back))
+            bound = counts[before] if bound is None else np.minimum(bound, counts[before])
+    tokens = np.flatnonzero(known)
+    if order == 2:
+        contexts, code, bound = words.astype(np.int64), before[tokens].astype(np.int64), counts
+    else:
+        contexts, at, code = np.unique(key[tokens].view(np.int64), return_index=True, return_inverse=True)
+        bound = bound[tokens][at]
+    # no context is followed by more tokens than its rarest word counts
+    slices = np.maximum(bound * HOT_SHARE // PART_TOKENS, 1)
+    most, n = int(slices.max(initial=1)), len(words)
+    last = codes[tokens].astype(np.int64)
+    piece = (mixed(words[last].astype(np.uint64)) % slices[code].astype(np.uint64)).astype(np.int64) if most > 1 else 0
+    different, first, entry, times = np.unique((code * most + piece) * n + last, return_index=True, return_inverse=True, return_counts=True)
+    row = different // n
+    heads = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else np.zeros(0, np.int64)
+    of = row[heads] // most
+    return Grams(tokens, entry, times, different % n, tokens[first], heads, contexts[of], row[heads] % most, slices[of])
+
+
+def _slab(row: pa.RecordBatch | pa.Table, i: int = 0) -> dict[str, np.ndarray]:
+    """The arrays of one slab; ``lower`` has log10 of each token's probability by the order reached so far."""
+    names = [c for c in row.schema.names if c not in ("slab", "ids")]
+    columns = {c: row.column(c) for c in names}
+    value = lambda c: (c.chunk(0) if isinstance(c, pa.ChunkedArray) else c)[i].values.to_numpy(zero_copy_only=False)
+    return {c: value(columns[c]) for c in names}
+
+
+def _lower(slab: dict[str, np.ndarray], known: Unigrams) -> np.ndarray:
+    return slab["lower"] if "lower" in slab else known.log_probability(slab["counts"])[slab["codes"]]
+
+
+def _requests(state: DataFrame, known: Unigrams, order: int, training: bool) -> DataFrame:
+    """``slab, context, slice, words`` of the slabs, each context of a slab once; for training also ``times, lower, slices``.
+
+    Contexts with an unknown word ask nothing: they were never seen.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                slab = _slab(batch, i)
+                usable = np.repeat(~slab["held"].astype(bool), np.diff(slab["starts"])) if training else None
+                g = grams(slab["words"], slab["counts"], slab["codes"], slab["starts"], order, usable)
+                bounds = np.append(g.heads, len(g.word))
+                rows = {
+                    "slab": np.full(len(g.heads), batch.column("slab")[i].as_py()), "context": g.context, "slice": g.slice.astype(np.int32),
+                    "words": _lists(slab["words"][g.word], bounds),
+                }
+                if training:
+                    lower = 10.0 ** _lower(slab, known)[g.first]
+                    rows |= {"times": _lists(g.times.astype(np.int32), bounds), "lower": _lists(lower, bounds), "slices": g.slices.astype(np.int32)}
+                yield pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in rows.items()})
+
+    schema = f"slab long, context long, slice int, words array<{known.id_type}>"
+    return state.mapInArrow(run, schema + ", times array<int>, lower array<double>, slices int" * training)
+
+
+def _dealt(rows: DataFrame, known: Unigrams) -> DataFrame:
+    return rows.withColumn("part", F.pmod(F.xxhash64("context", "slice"), F.lit(known.parts)).cast("int"))
+
+
+def _flat(table: pa.Table, column: str) -> np.ndarray:
+    lists = table.column(column).combine_chunks()
+    return (lists.flatten() if isinstance(lists, pa.Array) else pa.array([], lists.type.value_type)).to_numpy(zero_copy_only=False)
+
+
+def _lengths(table: pa.Table, column: str) -> np.ndarray:
+    return pc.list_value_length(table.column(column)).to_numpy().astype(np.int64)
+
+
+def _row_keys(context: np.ndarray, piece: np.ndarray, contexts: np.ndarray, most: int) -> np.ndarray:
+    """A number for each (context, slice), in their order; -1 where ``contexts``, which are sorted, lack the context."""
+    if not len(contexts):
+        return np.full(len(context), -1, np.int64)
+    at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
+    return np.where((contexts[at] == context) & (piece < most), at * most + piece, -1)
+
+
+def _merge(group: pa.Table) -> pa.Table:
+    """Add up one part's n-grams over the slabs: one row per context and slice, with its share of what the backoff weight needs."""
+    context, piece = group.column("context").to_numpy(), group.column("slice").to_numpy().astype(np.int64)
+    contexts, most = np.unique(context), int(piece.max()) + 1
+    row = np.repeat(_row_keys(context, piece, contexts, most), _lengths(group, "words"))
+    word, times, lower = _flat(group, "words").astype(np.int64), _flat(group, "times"), _flat(group, "lower")
+    width = int(word.max()) + 1
+    key = row * width + word
+    by = np.argsort(key, kind="stable")
+    key = key[by]
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    count = np.add.reduceat(times[by].astype(np.int64), heads)
+    lower, row, word = lower[by][heads], key[heads] // width, key[heads] % width
+    starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    total = lambda values: np.add.reduceat(values, starts)
+    seen = np.stack([total((count == r).astype(np.int64)) for r in range(1, CUTOFF + 2)], axis=1)
+    name = row[starts]
+    slices = dict(zip(context.tolist(), group.column("slices").to_pylist()))
+    of = contexts[name // most]
+    bounds = np.append(starts, len(word))
+    return pa.table({
+        "part": pa.array(np.full(len(of), group.column("part")[0].as_py(), np.int32)), "context": of, "slice": (name % most).astype(np.int32),
+        "slices": pa.array([slices[c] for c in of.tolist()], pa.int32()), "words": _lists(pa.array(word, group.schema.field("words").type.value_type), bounds),
+        "counts": _lists(count, bounds), "seen": _lists(seen.ravel(), np.arange(len(of) + 1) * (CUTOFF + 1)),
+        "mass": total(count), "covered": total(lower),
+    })
+
+
+def _fit_order(state: DataFrame, known: Unigrams, order: int) -> Order:
+    rows = _dealt(_requests(state, known, order, training=True).drop("slab"), known)
+    schema = f"part int, context long, slice int, slices int, words array<{known.id_type}>, counts array<long>, seen array<long>, mass long, covered double"
+    measures = {f"n{r}": F.sum(F.get("seen", F.lit(r - 1))) for r in range(1, CUTOFF + 2)}
+    with shuffles_dropped(state.sparkSession):
+        counts, seen = written_and_measured(rows.groupBy("part").applyInArrow(_merge, schema), f"counts_{order}", **measures)
     discounts = good_turing(np.array([seen[f"n{r}"] or 0 for r in range(1, CUTOFF + 2)]))
-    small = sum((seen[f"n{r}"] or 0) * (r - discounts.kept[r]) for r in range(1, CUTOFF + 1))
-    more = types - sum(seen[f"n{r}"] or 0 for r in range(1, CUTOFF + 1))
-    unknown = (small + TAIL * more) / total if total else 1.0
-    words = dict(hot)
-    if documents * HOT_SHARE * parts > total > 0:
-        words[BEGIN] = documents
-    order = sorted(words)
-    return Unigrams(total, types, documents, discounts, float(unknown), np.array(order, np.uint64), np.array([words[w] for w in order], np.int64), parts)
+    small = [F.get("seen", F.lit(r - 1)) for r in range(1, CUTOFF + 1)]
+    lost = F.lit(TAIL) * (F.size("words") - sum(small, F.lit(0)))
+    for r, n in enumerate(small, 1):
+        lost = lost + n * F.lit(float(r - discounts.kept[r]))
+    facts = counts.groupBy("context").agg(F.first("slices").alias("slices"), F.sum("mass").alias("mass"), F.sum(lost).alias("free"), F.sum("covered").alias("covered"))
+    # what is left to a bigram's unseen words holds at least the unknown ones
+    left = F.greatest(1 - F.col("covered"), F.lit(known.unknown if order == 2 else 1e-12))
+    weights = facts.select("context", "slices", F.log10("mass").alias("log_mass"), F.log10(F.col("free") / F.col("mass") / left).alias("log_weight"))
+    with shuffles_dropped(state.sparkSession):
+        return Order(counts, written(weights, f"backoff_{order}"), discounts)
+
+
+def _look_up(asked: pa.Table, table: pa.Table) -> pa.Table:
+    """Answer one part's requests: the training count of each n-gram, and mass and weight of its context (none where it was never seen)."""
+    is_weight = table.column("log_mass").is_valid().to_numpy()
+    weights, stored = table.filter(pa.array(is_weight)), table.filter(pa.array(~is_weight))
+    context, piece = asked.column("context").to_numpy(), asked.column("slice").to_numpy().astype(np.int64)
+    contexts = np.unique(weights.column("context").to_numpy())
+    most = int(max(weights.column("slice").to_numpy().max(initial=0), piece.max(initial=0))) + 1
+    keys = lambda t: _row_keys(t.column("context").to_numpy(), t.column("slice").to_numpy().astype(np.int64), contexts, most)
+    row = _row_keys(context, piece, contexts, most)
+    mass, weight = np.full(len(row), np.nan), np.zeros(len(row))
+    if weights.num_rows and len(row):
+        of = keys(weights)
+        by = np.argsort(of)
+        at = by[np.minimum(np.searchsorted(of, row, sorter=by), len(by) - 1)]
+        hit = (of[at] == row) & (row >= 0)
+        mass[hit], weight[hit] = weights.column("log_mass").to_numpy()[at[hit]], weights.column("log_weight").to_numpy()[at[hit]]
+    lengths, word = _lengths(asked, "words"), _flat(asked, "words").astype(np.int64)
+    counts = np.zeros(len(word), np.int64)
+    if stored.num_rows and len(word):
+        own = _flat(stored, "words").astype(np.int64)
+        width = int(max(own.max(), word.max())) + 1
+        own = np.repeat(keys(stored), _lengths(stored, "words")) * width + own
+        by = np.argsort(own, kind="stable")
+        own = own[by]
+        row = np.repeat(row, lengths)
+        want = row * width + word
+        at = np.minimum(np.searchsorted(own, want), len(own) - 1)
+        hit = (own[at] == want) & (row >= 0)
+        counts[hit] = _flat(stored, "counts")[by[at[hit]]]
+    return pa.table({
+        "slab": asked.column("slab"), "context": context, "slice": piece.astype(np.int32),
+        "counts": _lists(counts, np.concatenate([[0], np.cumsum(lengths)])), "log_mass": mass, "log_weight": weight,
+    })
+
+
+def _answers(state: DataFrame, model: Model, order: int) -> DataFrame:
+    known, tables = model.unigrams, model.orders[order - 2]
+    every = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice")
+    weights = _dealt(tables.backoff.select("context", every, "log_mass", "log_weight"), known)
+    stored = tables.counts.select("part", "context", "slice", "words", "counts").unionByName(weights, allowMissingColumns=True)
+    asked = _dealt(_requests(state, known, order, training=False), known)
+    schema = "slab long, context long, slice int, counts array<long>, log_mass double, log_weight double"
+    with shuffles_dropped(state.sparkSession):
+        return written(asked.groupBy("part").cogroup(stored.groupBy("part")).applyInArrow(lambda a, t: _look_up(a, t), schema), f"answers_{order}")
+
+
+def _raised(slab: dict[str, np.ndarray], found: pa.Table, order: int, known: Unigrams, discounts: Discounts) -> np.ndarray:
+    """log10 of each token's probability by this order."""
+    value = _lower(slab, known).copy()
+    g = grams(slab["words"], slab["counts"], slab["codes"], slab["starts"], order)
+    if len(g.tokens):
+        rows = found.take(pa.array(np.lexsort((found.column("slice").to_numpy(), found.column("context").to_numpy()))))
+        counts, lengths = _flat(rows, "counts"), _lengths(rows, "counts")
+        mass, weight = (np.repeat(rows.column(c).to_numpy(), lengths)[g.entry] for c in ("log_mass", "log_weight"))
+        r = counts[g.entry]
+        value[g.tokens] = np.where(r > 0, np.log10(np.maximum(discounts.of(r), 1e-9)) - mass, weight + value[g.tokens])
+    return value
+
+
+def _documents(slab: dict[str, np.ndarray], ids: pa.Array, value: np.ndarray, known: Unigrams) -> dict:
+    """Sums per document of a slab."""
+    starts, count = slab["starts"][:-1], slab["counts"][slab["codes"]]
+    base = np.log10((slab["counts"] + 1) / (known.tokens + known.types + 1))[slab["codes"]]
+    n = len(starts)
+    return {
+        "doc_id": ids, "held_out": pa.array(slab["held"].astype(bool)), "n_tokens": np.diff(slab["starts"]).astype(np.int64),
+        "n_known": np.add.reduceat((count > 0).astype(np.int64), starts), "train_tokens": np.full(n, known.tokens),
+        "base_score": np.add.reduceat(base, starts), "score": np.add.reduceat(value, starts),
+    }
+
+
+def _result_schema(state: DataFrame) -> str:
+    id_type = state.schema["ids"].dataType.elementType.simpleString()
+    return f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _advance(state: DataFrame, model: Model, order: int, last: bool) -> DataFrame:
+    """The slabs with each token's probability by this order, or, after the last one, the rows of the documents."""
+    known, discounts = model.unigrams, model.orders[order - 2].discounts
+
+    def run(row: pa.Table, found: pa.Table) -> pa.Table:
+        slab = _slab(row)
+        value = _raised(slab, found, order, known, discounts)
+        if last:
+            return pa.table(_documents(slab, row.column("ids").chunk(0).flatten(), value, known))
+        kept = {c: row.column(c) for c in row.schema.names if c != "lower"}
+        return pa.table(kept | {"lower": _one(value)})
+
+    fields = {f.name: f.dataType.simpleString() for f in state.schema} | {"lower": "array<double>"}
+    schema = _result_schema(state) if last else ", ".join(f"{k} {v}" for k, v in fields.items())
+    joined = state.groupBy("slab").cogroup(_answers(state, model, order).groupBy("slab")).applyInArrow(run, schema)
+    if last:
+        return joined
+    with shuffles_dropped(state.sparkSession):
+        return written(joined, f"probabilities_{order}")
+
+
+def _unigram_rows(state: DataFrame, known: Unigrams) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                slab = _slab(batch, i)
+                rows = _documents(slab, batch.column("ids")[i].values, _lower(slab, known), known)
+                yield pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in rows.items()})
 
+    return state.mapInArrow(run, _result_schema(state))
 
-def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Indices of all slices ``starts[i] : starts[i] + lengths[i]``, one after the other."""
-    ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
+def _fitted(cut: DataFrame, order: int) -> tuple[Model, DataFrame]:
+    if order < 1:
+        raise ValueError("The order must be 1 or more.")
+    words = _words(cut)
+    numbered = state = _numbered(cut, words)
+    orders: list[Order] = []
+    for k in range(2, order + 1):
+        orders.append(_fit_order(state, words.unigrams, k))
+        if k < order:
+            state = _advance(state, Model(words.words, words.unigrams, orders), k, last=False)
+    return Model(words.words, words.unigrams, orders), numbered
 
-def _pairs_by_part(docs: DataFrame, known: Unigrams) -> DataFrame:
-    """``(part, payload)``: the token pairs of a slab of documents that belong to one part of the model.
 
-    A payload holds the words, how many pairs each has, their contexts, how many documents each pair has, and the documents with
-    their counts; then the keys of these documents: id, text hash, and whether they train.
-    """
+def _scored(state: DataFrame, model: Model) -> DataFrame:
+    if not model.orders:
+        return _unigram_rows(state, model.unigrams)
+    for k in range(2, len(model.orders) + 2):
+        state = _advance(state, model, k, last=k == len(model.orders) + 1)
+    return state
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slabs(batches, limit=SLAB_BYTES):
-            words, starts = tokens_of(texts_of(batch))
-            contexts = np.concatenate([[BEGIN], words[:-1]])
-            contexts[starts[:-1]] = BEGIN
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(starts))
-            names, code = np.unique(np.concatenate([words, contexts]), return_inverse=True)
-            key = code[: len(words)].astype(np.int64) * len(names) + code[len(words) :]
-            order = np.argsort(key, kind="stable")
-            key, owner = key[order], owner[order]
-            new_pair = np.concatenate([[True], key[1:] != key[:-1]])
-            new_entry = new_pair | np.concatenate([[True], owner[1:] != owner[:-1]])
-            entry = np.flatnonzero(new_entry)
-            times = np.diff(np.append(entry, len(key)))
-            slot = owner[entry]
-            pair = np.flatnonzero(new_pair)
-            first = np.searchsorted(entry, pair)
-            documents = np.diff(np.append(first, len(entry)))
-            word, context = names[key[pair] // len(names)], names[key[pair] % len(names)]
-            part = known.spread(word, context)
-            by_part = np.argsort(part, kind="stable")
-            bounds = np.searchsorted(part[by_part], np.arange(known.parts + 1))
-            ids, texts, trains = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id_key", "text_key", "trains"))
-            out_part, out = [], []
-            for p in range(known.parts):
-                mine = by_part[bounds[p] : bounds[p + 1]]
-                if not len(mine):
-                    continue
-                w, starts_w = word[mine], np.flatnonzero(np.concatenate([[True], word[mine][1:] != word[mine][:-1]]))
-                at = _ragged(first[mine], documents[mine])
-                used, local = np.unique(slot[at], return_inverse=True)
-                out_part.append(p)
-                out.append(packed(
-                    w[starts_w], np.diff(np.append(starts_w, len(w))), context[mine], documents[mine], local, times[at],
-                    ids[used].view(np.uint64), texts[used].view(np.uint32), trains[used].astype(np.uint8),
-                ))
-            yield pa.RecordBatch.from_arrays([pa.array(out_part, pa.int32()), pa.array(out, pa.binary())], ["part", "payload"])
-
-    return docs.select("text", "id_key", "text_key", (~F.col("held_out")).alias("trains")).mapInArrow(run, "part int, payload binary")
-
-
-def _joined(payloads: list[bytes]) -> list[np.ndarray]:
-    """Payloads of ``_pairs_by_part`` put together: word and context of each pair, pair, document and count of each entry, keys."""
-    words, contexts, pair, document, times, ids, texts, trains = ([] for _ in range(8))
-    n_pairs = n_documents = 0
-    while payloads:
-        w, per_word, v, per_pair, local, n, i, t, y = unpacked(payloads.pop())
-        words.append(np.repeat(w, per_word))
-        contexts.append(v)
-        pair.append(np.repeat(np.arange(n_pairs, n_pairs + len(v), dtype=np.int32), per_pair))
-        document.append(local.astype(np.int32) + np.int32(n_documents))
-        for target, values in ((times, n), (ids, i), (texts, t), (trains, y)):
-            target.append(values.astype(np.int32) if target is times else values)
-        n_pairs += len(v)
-        n_documents += len(i)
-    return [np.concatenate(x) for x in (words, contexts, pair, document, times, ids, texts, trains)]
-
-
-def _settle(known: Unigrams):
-    """Count the pairs of one part and settle what it can of each document.
-
-    Gives payloads for the second deal, kind 0: sums of documents; kind 1: contexts, their seen types by count and by their
-    word's count, and unseen tokens; and one row with the histogram of the part's pair counts.
-    """
 
-    def run(group: pa.Table) -> pa.Table:
-        words, contexts, pair, document, times, ids, texts, trains = _joined(group.column("payload").to_pylist())
-        order = np.lexsort((contexts, words))
-        w, v = words[order], contexts[order]
-        new = np.concatenate([[True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])])
-        type_of = np.empty(len(order), np.int32)
-        type_of[order] = np.cumsum(new) - 1
-        w, v = w[new], v[new]
-        kind = type_of[pair]
-        del words, contexts, order, type_of, pair
-        seen = np.bincount(kind, times * trains[document], minlength=len(w)).astype(np.int64)
-        new_word = np.concatenate([[True], w[1:] != w[:-1]])
-        word_of = np.cumsum(new_word) - 1
-        count = known.counts(w[new_word], np.bincount(word_of, seen).astype(np.int64))[word_of]
-        probability = known.probability(count)
-
-        # documents: what is certain now, and how many of their tokens have a pair seen 1, 2, ... CUTOFF times
-        r, c, n = seen[kind], count[kind], len(ids)
-        certain = np.where(r > CUTOFF, np.log10(np.maximum(r - TAIL, 1e-9)), np.where(r == 0, np.log10(probability[kind]), 0.0))
-        follows = np.where((w[kind] != END) & (c > 0), np.log10(np.maximum(c, 1)), 0.0)
-        base = np.log10((c + 1) / (known.tokens + known.types + 1))
-        total = lambda values: np.bincount(document, times * values, minlength=n)
-        sums = [total(certain - follows), total(base)]
-        del certain, follows, base
-        small = [total(r == k).astype(np.int64) for k in range(1, CUTOFF + 1)]
-        knew = total(c > 0).astype(np.int64)
-        target = (mixed(ids) % np.uint64(known.parts)).astype(np.int64)
-        rows: list[tuple[int, int, bytes]] = []
-        for p in np.unique(target).tolist():
-            at = np.flatnonzero(target == p)
-            at = at[np.argsort(ids[at], kind="stable")]
-            rows.append((p, 0, packed(ids[at], texts[at], *[s[at].view(np.uint64) for s in sums], *[m[at] for m in small], knew[at])))
-
-        # contexts: types by how often the pair was seen, and by how often the word was
-        trained = np.flatnonzero(seen > 0)
-        names, at_name = np.unique(v[trained], return_inverse=True)
-        r, c = seen[trained], count[trained]
-        per = lambda values: np.bincount(at_name, values, minlength=len(names)).astype(np.int64)
-        facts = [per(r == k) for k in range(1, CUTOFF + 1)] + [per(r > CUTOFF), per(np.where(r > CUTOFF, r, 0))]
-        facts += [per(c == k) for k in range(1, CUTOFF + 1)] + [per(c > CUTOFF), per(np.where(c > CUTOFF, c, 0))]
-        # every part that holds some of a hot context's tokens needs its facts
-        ways = np.ones(len(names), np.int64)
-        if len(known.hot) and len(names):
-            at = np.minimum(np.searchsorted(known.hot, names), len(known.hot) - 1)
-            is_hot = known.hot[at] == names
-            ways[is_hot] = np.maximum(known.hot_counts[at[is_hot]] * HOT_SHARE * known.parts // max(known.tokens, 1), 1)
-        copy = np.repeat(np.arange(len(names)), ways)
-        salt = (np.arange(len(copy)) - np.repeat(np.cumsum(ways) - ways, ways)).astype(np.uint64)
-        to = (mixed(names[copy] + salt * _SALT) % np.uint64(known.parts)).astype(np.int64)
-        unseen = np.flatnonzero(seen[kind] == 0)
-        asks = np.lexsort((document[unseen], v[kind[unseen]]))
-        unseen = unseen[asks]
-        asked, who, often = v[kind[unseen]], document[unseen], times[unseen]
-        ask_to = known.spread(asked, ids[who])
-        for p in range(known.parts):
-            mine = np.unique(copy[to == p])
-            want = np.flatnonzero(ask_to == p)
-            if not len(mine) and not len(want):
-                continue
-            used, local = np.unique(who[want], return_inverse=True)
-            heads = np.flatnonzero(np.concatenate([[True], asked[want][1:] != asked[want][:-1]])) if len(want) else np.zeros(0, np.int64)
-            rows.append((p, 1, packed(
-                names[mine], *[f[mine] for f in facts], asked[want][heads], np.diff(np.append(heads, len(want))), local, often[want], ids[used], texts[used],
-            )))
-        histogram = [int((seen == k).sum()) for k in range(1, CUTOFF + 2)]
-        part, kinds, payloads = zip(*rows)
-        return pa.table({
-            "part": pa.array(part, pa.int32()), "kind": pa.array(kinds, pa.int32()), "payload": pa.array(payloads, pa.binary()),
-            "histogram": pa.array([histogram] + [None] * (len(rows) - 1), pa.list_(pa.int64())),
-        })
+def fit(docs: DataFrame, order: int = 3) -> Model:
+    """The model of all rows of ``docs`` (``doc_id, text``), as written tables."""
+    return _fitted(_cut(docs, F.lit(False)), order)[0]
+
 
-    return run
-
-
-#: Columns of a document's sums.
-SUMS = ["certain", "base", *[f"seen{k}" for k in range(1, CUTOFF + 1)], "known", "weight"]
-
-
-def _backoff(known: Unigrams, discounts: Discounts):
-    """Add up the sums of one part's documents, and the backoff weights of its contexts to the documents that ask for them."""
-
-    def grouped(ids: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.lexsort((texts, ids))
-        new = np.concatenate([[True], (ids[order][1:] != ids[order][:-1]) | (texts[order][1:] != texts[order][:-1])])
-        inverse = np.empty(len(order), np.int64)
-        inverse[order] = np.cumsum(new) - 1
-        return order[new], inverse
-
-    def run(group: pa.Table) -> pa.Table:
-        kinds = group.column("kind").to_numpy()
-        found = [unpacked(p) for p in group.column("payload").to_pylist()]
-        out: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = []
-        if (kinds == 0).any():
-            ids, texts, certain, base, *rest = [np.concatenate(x) for x in zip(*[f for f, k in zip(found, kinds) if k == 0])]
-            first, at = grouped(ids, texts)
-            values = [certain.view(np.float64), base.view(np.float64), *rest]
-            out.append((ids[first], texts[first], [np.bincount(at, x, minlength=len(first)) for x in values] + [np.zeros(len(first))]))
-        if (kinds == 1).any():
-            some = [f for f, k in zip(found, kinds) if k == 1]
-            n_facts = 2 * CUTOFF + 4
-            names, at = np.unique(np.concatenate([f[0] for f in some]), return_inverse=True)
-            facts = [np.bincount(at, np.concatenate([f[1 + k] for f in some]), minlength=len(names)) for k in range(n_facts)]
-            pair_types, more_types, more_mass = facts[:CUTOFF], facts[CUTOFF], facts[CUTOFF + 1]
-            word_types, more_words, more_words_mass = facts[CUTOFF + 2 : 2 * CUTOFF + 2], facts[2 * CUTOFF + 2], facts[2 * CUTOFF + 3]
-            mass = more_mass + sum((k + 1) * x for k, x in enumerate(pair_types))
-            free = TAIL * more_types + sum((k + 1 - discounts.kept[k + 1]) * x for k, x in enumerate(pair_types))
-            covered = (more_words_mass - TAIL * more_words + sum(known.discounts.kept[k + 1] * x for k, x in enumerate(word_types))) / max(known.tokens, 1)
-            # free / mass is what the context keeps for the unseen; its mass was taken off every token before
-            weight = np.log10(free / np.maximum(1 - covered, known.unknown))
-            asked, n_asked, local, often, ids, texts = ([f[1 + n_facts + k] for f in some] for k in range(6))
-            before = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
-            who = np.concatenate([x.astype(np.int64) + b for x, b in zip(local, before)])
-            context = np.concatenate([np.repeat(a, n) for a, n in zip(asked, n_asked)])
-            ids, texts, often = np.concatenate(ids), np.concatenate(texts), np.concatenate(often)
-            if len(ids):
-                place = np.minimum(np.searchsorted(names, context), max(len(names) - 1, 0))
-                # a context that was never seen backs off with weight one
-                value = np.where(names[place] == context, weight[place], 0.0) if len(names) else np.zeros(len(context))
-                first, at = grouped(ids, texts)
-                total = np.bincount(at[who], often * value, minlength=len(first))
-                out.append((ids[first], texts[first], [np.zeros(len(first))] * (len(SUMS) - 1) + [total]))
-        ids = np.concatenate([np.zeros(0, np.uint64), *[i for i, _, _ in out]]).view(np.int64)
-        texts = np.concatenate([np.zeros(0, np.uint32), *[t for _, t, _ in out]]).view(np.int32)
-        sums = [np.concatenate([np.zeros(0), *[s[k] for *_, s in out]]) for k in range(len(SUMS))]
-        return pa.table({"id_key": ids, "text_key": texts} | dict(zip(SUMS, sums)))
-
-    return run
-
-
-def score(docs: DataFrame, held_out: Column) -> DataFrame:
+def score(docs: DataFrame, model: Model, held_out: Column | None = None) -> DataFrame:
+    """Rows of ``docs`` scored by a fitted model, as ``fit_and_score`` gives them; ``held_out`` is only passed on (true where not given)."""
+    return _scored(_numbered(_cut(docs, F.lit(True) if held_out is None else held_out), model), model)
+
+
+def fit_and_score(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
     """One row per row of ``docs``: ``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``.
 
     Rows where ``held_out`` is true do not train (null counts as false). Tokens are lower-cased (A-Z) runs of other than ASCII
     white space and one end per document; null and empty texts are an end alone. ``base_score`` is the add-one unigram
-    score, ``score`` the model's, both sums of log10. Rows equal in id and text train each, and score alike; null ids are
+    score, ``score`` the model's of the given order, both sums of log10. Repeated rows train each, and score alike; null ids are
     scored like others. No rows give no rows; without a training row every token is of the unknown class, of probability one.
-    Extra columns are ignored.
+    Extra columns are ignored. Texts are cut into words once for both.
     """
-    text = F.coalesce("text", F.lit(""))
-    whole = F.xxhash64(text)
-    rows = docs.select(
-        "doc_id", text.alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
-        F.coalesce(F.col("doc_id").cast("long"), whole).alias("id_key"), (whole % 1_000_000_007).cast("int").alias("text_key"),
-    )
-    known = _unigrams(rows)
-    dealt = _pairs_by_part(rows, known).repartition(known.parts, "part")
-    schema = "part int, kind int, payload binary, histogram array<long>"
-    columns = {f"h{r}": F.sum(F.get("histogram", F.lit(r))) for r in range(CUTOFF + 1)}
-    with shuffles_dropped(docs.sparkSession):
-        settled, seen = written_and_measured(dealt.groupBy("part").applyInArrow(_settle(known), schema), "settled", **columns)
-    discounts = good_turing(np.array([seen[f"h{r}"] or 0 for r in range(CUTOFF + 1)]))
-    fields = "id_key long, text_key int, " + ", ".join(f"{c} double" for c in SUMS)
-    partial = settled.select("part", "kind", "payload").repartition(known.parts, "part").groupBy("part").applyInArrow(_backoff(known, discounts), fields)
-
-    n_tokens = (F.size(words_of(F.col("text"))) + 1).cast("long")
-    heads = rows.select("id_key", "text_key", F.struct("doc_id", "held_out").alias("row"), n_tokens.alias("n_tokens"))
-    merged = heads.unionByName(partial, allowMissingColumns=True).groupBy("id_key", "text_key").agg(
-        F.collect_list("row").alias("rows"), F.max("n_tokens").alias("n_tokens"), *[F.sum(c).alias(c) for c in SUMS]
-    )
-    # equal rows have put their sums together
-    each = lambda c: F.col(c) / F.size("rows")
-    logs = [float(np.log10(discounts.kept[k])) for k in range(1, CUTOFF + 1)]
-    start = float(np.log10(max(known.documents, 1)))
-    value = each("certain") + each("weight") - F.lit(start)
-    for k in range(CUTOFF):
-        value = value + each(f"seen{k + 1}") * F.lit(logs[k])
-    scored = merged.select(
-        F.explode("rows").alias("row"), "n_tokens", F.round(each("known")).cast("long").alias("n_known"),
-        F.lit(known.tokens).cast("long").alias("train_tokens"), each("base").alias("base_score"), value.alias("score"),
-    )
-    return scored.select("row.doc_id", "row.held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
-
+    model, numbered = _fitted(_cut(docs, held_out), order)
+    return _scored(numbered, model)

@@ -10,7 +10,7 @@ from topicgrove.llm import oracle
 from topicgrove.llm.bpe import digests
 from topicgrove.llm.common import bucket_of, shuffle_partitions, table
 from topicgrove.llm.decontamination import contamination
-from topicgrove.llm.katz import score as score_katz
+from topicgrove.llm.katz import fit_and_score as katz_scores
 from topicgrove.llm.mixing import plan
 from topicgrove.llm.quality_classifier import fit as fit_quality
 from topicgrove.llm.quality_classifier import score as score_quality
@@ -80,7 +80,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_katz(table(spark, sf_dir, "documents"), bucket_of(F.col("doc_id"), 7) == 2)
+    return katz_scores(table(spark, sf_dir, "documents"), bucket_of(F.col("doc_id"), 7) == 2)
 
 
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
