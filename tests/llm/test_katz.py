@@ -2,6 +2,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,12 +123,15 @@ def test_contexts_sum_to_one(documents, order):
     model = K.fit(documents(rows), order)
     definition = Model([t for _, t in rows], order)
     top = model.orders[-1]
-    stored = {r["context"]: 0.0 for r in top.counts.collect()}
+    kept, mass = Counter(), {}
     for r in top.counts.collect():
-        stored[r["context"]] += float(top.discounts.of(K.np.array(r["counts"])).sum())
-    weights = {r["context"]: r for r in top.backoff.collect()}
-    assert set(weights) == set(stored)
-    assert all(0 < 1 - kept / 10 ** weights[c].log_mass < 1 for c, kept in stored.items())
+        ends = list(accumulate(r["sizes"]))
+        for c, start, end in zip(r["contexts"], [0, *ends], ends):
+            kept[c] += float(top.discounts.of(K.np.array(r["counts"][start:end])).sum())
+    for r in top.backoff.collect():
+        mass |= dict(zip(r["contexts"], r["mass"]))
+    assert set(mass) == set(kept) and len(mass) == len(definition.follow[order])
+    assert all(0 < kept[c] < mass[c] for c in mass)
     for context in [*list(definition.follow[order])[:30], ("unseen",) * (order - 1)]:
         assert abs(sum(definition.p(context, w) for w in [*definition.uni, "some unknown word"]) - 1) < 1e-9
 

@@ -5,12 +5,12 @@ proportion to the next lower order, with a weight for each context that makes it
 Unigrams are discounted alike, and their free mass is the probability of one class of unknown words. Counts above ``CUTOFF``
 lose ``TAIL``, so that every context keeps some mass for the unseen.
 
-A model is a table of words (number, count) and, for each order from 2, a table of discounted-to-be counts by context and one
-of backoff weights by context, dealt into parts by a hash of the context. Documents are cut into slabs of bounded size; a slab
-asks with one row per different context, which holds the words that follow it there, so the rows that travel are in proportion to the
-text. Scoring goes upwards: with the order k - 1 probability of each token known, the table of order k either holds the
-token's n-gram or gives the weight that the lower probability is multiplied with. Contexts with many successors are
-cut into slices by a hash of the successor.
+A model is a table of words (number, count) and, for each order from 2, a table of counts by context and one of backoff
+weights by context, dealt into buckets by a hash of the context. Documents are cut into slabs of bounded size; a slab
+asks each bucket once, with its different contexts there and the words that follow them. So a row has at least one context,
+and rows never outgrow the different contexts of the slabs, however many buckets a large corpus asks for. Scoring goes
+upwards: with the order k - 1 probability of each token known, the table of order k either holds the token's n-gram or gives the weight
+that the lower probability is multiplied with. Contexts with many successors are cut into slices by a hash of the successor.
 
 Documents are numbered by slab and place, not by id: repeated or null ids and equal texts are rows like others.
 """
@@ -41,6 +41,9 @@ SLAB_BYTES = 8 << 20
 #: Training tokens for each part of a table; a context with an eighth of them is cut into slices.
 PART_TOKENS = 2_000_000
 HOT_SHARE = 8
+#: Buckets of a table, at least; a part has at least as many as the second.
+BUCKETS, PART_BUCKETS = 1024, 16
+_SALT = np.uint64(0x2545F4914F6CDD1D)
 
 
 class Discounts(NamedTuple):
@@ -83,10 +86,34 @@ class Unigrams:
     def id_type(self) -> str:
         return "int" if self.types < 2**31 - FIRST else "long"
 
+    @property
+    def bits(self) -> int:
+        """How many bits of a hash tell the bucket."""
+        return (max(BUCKETS, PART_BUCKETS * self.parts) - 1).bit_length()
+
+    def bucket(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes.view(np.uint64) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def part(self, bucket):
+        """The part that a bucket (number or Column) belongs to."""
+        whole = bucket * self.parts
+        return F.shiftright(whole, self.bits).cast("int") if isinstance(bucket, Column) else (whole >> self.bits).astype(np.int32)
+
+    def bucket_of(self, context: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        return self.bucket(mixed(context.astype(np.int64).view(np.uint64) + (piece.astype(np.uint64) + np.uint64(1)) * _SALT))
+
+
+#: Lists of a table of counts, an entry for each context and slice: how many successors were seen 1, 2, ... times.
+SEEN = [f"seen{r}" for r in range(1, CUTOFF + 2)]
+
 
 @dataclass(frozen=True)
 class Order:
-    """``counts``: context, slice, words, counts. ``backoff``: context, slices, log_mass, log_weight."""
+    """Tables of one order, a row for each bucket, with lists.
+
+    ``counts``: contexts, slices, sizes (how many words), words, counts, and what the weights are made of. ``backoff``: contexts, slices,
+    mass (training count) and log_weight.
+    """
 
     counts: DataFrame
     backoff: DataFrame
@@ -95,7 +122,7 @@ class Order:
 
 @dataclass(frozen=True)
 class Model:
-    """``words``: word (hash), id, n. ``orders``: tables from order 2 upwards."""
+    """``words``: word (hash), id, n, part. ``orders``: tables from order 2 upwards."""
 
     words: DataFrame
     unigrams: Unigrams
@@ -123,6 +150,22 @@ def _lists(values, starts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), values if isinstance(values, pa.Array) else pa.array(values))
 
 
+def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indices of all slices ``starts[i] : starts[i] + lengths[i]``, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _flat(table: pa.Table, column: str) -> np.ndarray:
+    lists = table.column(column).combine_chunks()
+    lists = lists if isinstance(lists, pa.Array) else pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], lists.type)
+    return lists.flatten().to_numpy(zero_copy_only=False)
+
+
+def _lengths(table: pa.Table, column: str) -> np.ndarray:
+    return pc.list_value_length(table.column(column)).to_numpy().astype(np.int64)
+
+
 def _array(column: pa.ChunkedArray) -> np.ndarray:
     """The list of a slab's only row."""
     return column.chunk(0).flatten().to_numpy(zero_copy_only=False)
@@ -160,6 +203,7 @@ def _words(cut: DataFrame) -> Model:
         counts, seen = written_and_measured(counted, "words", tokens=F.sum("n"), types=F.count("*"), documents=end, **measures)
         numbered = with_seq(counts.withColumn("less", -F.col("n")), "less", "word")
         words = written(numbered.select("word", (F.col("seq") + FIRST).alias("id"), "n"), "numbered_words")
+    delete_written(counts)
     tokens, types, documents = (int(seen[k] or 0) for k in ("tokens", "types", "documents"))
     n = np.array([seen[f"n{r}"] or 0 for r in range(1, CUTOFF + 2)])
     discounts = good_turing(n)
@@ -169,17 +213,46 @@ def _words(cut: DataFrame) -> Model:
     return Model(words, Unigrams(tokens, types, documents, discounts, float(unknown), parts))
 
 
+def _bucketed(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by bucket, the buckets that occur, and where each starts in that order."""
+    by = np.argsort(bucket.astype(np.uint32), kind="stable")
+    some, first = np.unique(bucket[by], return_index=True)
+    return by, some, np.append(first, len(bucket))
+
+
 def _numbered(cut: DataFrame, model: Model) -> DataFrame:
     """The slabs with words by number and count: ``slab, words, counts, codes, starts, ids, held``; ``words`` rises from 0 (unknown) and 1 (begin)."""
     known = model.unigrams
     fields = {f.name: f.dataType.simpleString() for f in cut.schema}
     numbers = pa.int32() if known.id_type == "int" else pa.int64()
 
-    def run(slab: pa.Table, found: pa.Table) -> pa.Table:
-        n_words = len(slab.column("words")[0])
-        ids, counts = np.full(n_words, UNKNOWN, np.int64), np.zeros(n_words, np.int64)
-        at = found.column("pos").to_numpy()
-        ids[at], counts[at] = found.column("id").to_numpy(), found.column("n").to_numpy()
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words = batch.column("words")[i].values.to_numpy()
+                by, buckets, starts = _bucketed(known.bucket(words))
+                yield pa.RecordBatch.from_pydict({
+                    "slab": pa.array(np.full(len(buckets), batch.column("slab")[i].as_py())), "part": pa.array(known.part(buckets)),
+                    "bucket": pa.array(buckets), "words": _lists(words[by], starts),
+                })
+
+    def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
+        wanted = _flat(asked, "words")
+        ids, counts = np.full(len(wanted), UNKNOWN, np.int64), np.zeros(len(wanted), np.int64)
+        if table.num_rows and len(wanted):
+            own = table.column("word").to_numpy()
+            by = np.argsort(own)
+            at = by[np.minimum(np.searchsorted(own, wanted, sorter=by), len(by) - 1)]
+            hit = own[at] == wanted
+            ids[hit], counts[hit] = table.column("id").to_numpy()[at[hit]], table.column("n").to_numpy()[at[hit]]
+        starts = np.concatenate([[0], np.cumsum(_lengths(asked, "words"))])
+        return pa.table({"slab": asked.column("slab"), "bucket": asked.column("bucket"), "ids": _lists(pa.array(ids, numbers), starts), "counts": _lists(counts, starts)})
+
+    def put(slab: pa.Table, found: pa.Table) -> pa.Table:
+        found = found.take(pa.array(np.argsort(found.column("bucket").to_numpy())))
+        by = _bucketed(known.bucket(_array(slab.column("words"))))[0]
+        ids, counts = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
+        ids[by], counts[by] = _flat(found, "ids"), _flat(found, "counts")
         words, place = np.unique(np.concatenate([[UNKNOWN, BEGIN], ids]), return_inverse=True)
         n = np.zeros(len(words), np.int64)
         n[place[2:]], n[UNKNOWN], n[BEGIN] = counts, 0, known.documents
@@ -189,11 +262,14 @@ def _numbered(cut: DataFrame, model: Model) -> DataFrame:
             "starts": slab.column("starts"), "ids": slab.column("ids"), "held": slab.column("held"),
         })
 
-    asked = cut.select("slab", F.posexplode("words").alias("pos", "word"))
-    found = asked.join(model.words, "word").select(F.col("slab").alias("of"), "pos", "id", "n")
+    asked = cut.select("slab", "words").mapInArrow(ask, "slab long, part int, bucket long, words array<long>")
+    table = model.words.withColumn("part", known.part(F.shiftrightunsigned("word", 64 - known.bits)))
+    answers = f"slab long, bucket long, ids array<{known.id_type}>, counts array<long>"
     schema = f"slab long, words array<{known.id_type}>, counts array<long>, " + ", ".join(f"{c} {fields[c]}" for c in ("codes", "starts", "ids", "held"))
     with shuffles_dropped(cut.sparkSession):
-        numbered = written(cut.groupBy("slab").cogroup(found.groupBy("of")).applyInArrow(run, schema), "numbered_slabs")
+        found = written(asked.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(answer, answers), "numbers")
+        numbered = written(cut.drop("trained").groupBy("slab").cogroup(found.groupBy("slab")).applyInArrow(put, schema), "numbered_slabs")
+    delete_written(found)
     delete_written(cut)
     return numbered
 
@@ -211,6 +287,13 @@ class Grams(NamedTuple):
     slice: np.ndarray
     slices: np.ndarray
 
+    def sizes(self) -> np.ndarray:
+        return np.diff(np.append(self.heads, len(self.word)))
+
+    def entries(self, rows: np.ndarray) -> np.ndarray:
+        """The n-grams of these rows, one row after the other."""
+        return _ragged(self.heads[rows], self.sizes()[rows])
+
 
 def grams(words: np.ndarray, counts: np.ndarray, codes: np.ndarray, starts: np.ndarray, order: int, usable: np.ndarray | None = None) -> Grams:
     """A context of one word is its number, a longer one a 64-bit hash of its numbers."""
@@ -256,7 +339,7 @@ def _lower(slab: dict[str, np.ndarray], known: Unigrams) -> np.ndarray:
 
 
 def _requests(state: DataFrame, known: Unigrams, order: int, training: bool) -> DataFrame:
-    """``slab, context, slice, words`` of the slabs, each context of a slab once; for training also ``times, lower, slices``.
+    """A row for each slab and bucket: contexts, slices, sizes, words; for training also times and lower of the words, and how many slices a context has.
 
     Contexts with an unknown word ask nothing: they were never seen.
     """
@@ -267,31 +350,22 @@ def _requests(state: DataFrame, known: Unigrams, order: int, training: bool) ->
                 slab = _slab(batch, i)
                 usable = np.repeat(~slab["held"].astype(bool), np.diff(slab["starts"])) if training else None
                 g = grams(slab["words"], slab["counts"], slab["codes"], slab["starts"], order, usable)
-                bounds = np.append(g.heads, len(g.word))
+                sizes = g.sizes()
+                by, buckets, starts = _bucketed(known.bucket_of(g.context, g.slice))
+                entries = g.entries(by)
+                bounds = np.concatenate([[0], np.cumsum(sizes[by])])[starts]
                 rows = {
-                    "slab": np.full(len(g.heads), batch.column("slab")[i].as_py()), "context": g.context, "slice": g.slice.astype(np.int32),
-                    "words": _lists(slab["words"][g.word], bounds),
+                    "slab": pa.array(np.full(len(buckets), batch.column("slab")[i].as_py())), "part": pa.array(known.part(buckets)), "bucket": pa.array(buckets),
+                    "contexts": _lists(g.context[by], starts), "slices": _lists(g.slice[by].astype(np.int32), starts),
+                    "sizes": _lists(sizes[by].astype(np.int32), starts), "words": _lists(slab["words"][g.word][entries], bounds),
                 }
                 if training:
-                    lower = 10.0 ** _lower(slab, known)[g.first]
-                    rows |= {"times": _lists(g.times.astype(np.int32), bounds), "lower": _lists(lower, bounds), "slices": g.slices.astype(np.int32)}
-                yield pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in rows.items()})
-
-    schema = f"slab long, context long, slice int, words array<{known.id_type}>"
-    return state.mapInArrow(run, schema + ", times array<int>, lower array<double>, slices int" * training)
-
+                    lower = 10.0 ** _lower(slab, known)[g.first][entries]
+                    rows |= {"times": _lists(g.times[entries].astype(np.int32), bounds), "lower": _lists(lower, bounds), "ways": _lists(g.slices[by].astype(np.int32), starts)}
+                yield pa.RecordBatch.from_pydict(rows)
 
-def _dealt(rows: DataFrame, known: Unigrams) -> DataFrame:
-    return rows.withColumn("part", F.pmod(F.xxhash64("context", "slice"), F.lit(known.parts)).cast("int"))
-
-
-def _flat(table: pa.Table, column: str) -> np.ndarray:
-    lists = table.column(column).combine_chunks()
-    return (lists.flatten() if isinstance(lists, pa.Array) else pa.array([], lists.type.value_type)).to_numpy(zero_copy_only=False)
-
-
-def _lengths(table: pa.Table, column: str) -> np.ndarray:
-    return pc.list_value_length(table.column(column)).to_numpy().astype(np.int64)
+    schema = f"slab long, part int, bucket long, contexts array<long>, slices array<int>, sizes array<int>, words array<{known.id_type}>"
+    return state.mapInArrow(run, schema + ", times array<int>, lower array<double>, ways array<int>" * training)
 
 
 def _row_keys(context: np.ndarray, piece: np.ndarray, contexts: np.ndarray, most: int) -> np.ndarray:
@@ -302,95 +376,135 @@ def _row_keys(context: np.ndarray, piece: np.ndarray, contexts: np.ndarray, most
     return np.where((contexts[at] == context) & (piece < most), at * most + piece, -1)
 
 
-def _merge(group: pa.Table) -> pa.Table:
-    """Add up one part's n-grams over the slabs: one row per context and slice, with its share of what the backoff weight needs."""
-    context, piece = group.column("context").to_numpy(), group.column("slice").to_numpy().astype(np.int64)
-    contexts, most = np.unique(context), int(piece.max()) + 1
-    row = np.repeat(_row_keys(context, piece, contexts, most), _lengths(group, "words"))
-    word, times, lower = _flat(group, "words").astype(np.int64), _flat(group, "times"), _flat(group, "lower")
-    width = int(word.max()) + 1
-    key = row * width + word
-    by = np.argsort(key, kind="stable")
-    key = key[by]
-    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    count = np.add.reduceat(times[by].astype(np.int64), heads)
-    lower, row, word = lower[by][heads], key[heads] // width, key[heads] % width
-    starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-    total = lambda values: np.add.reduceat(values, starts)
-    seen = np.stack([total((count == r).astype(np.int64)) for r in range(1, CUTOFF + 2)], axis=1)
-    name = row[starts]
-    slices = dict(zip(context.tolist(), group.column("slices").to_pylist()))
-    of = contexts[name // most]
-    bounds = np.append(starts, len(word))
-    return pa.table({
-        "part": pa.array(np.full(len(of), group.column("part")[0].as_py(), np.int32)), "context": of, "slice": (name % most).astype(np.int32),
-        "slices": pa.array([slices[c] for c in of.tolist()], pa.int32()), "words": _lists(pa.array(word, group.schema.field("words").type.value_type), bounds),
-        "counts": _lists(count, bounds), "seen": _lists(seen.ravel(), np.arange(len(of) + 1) * (CUTOFF + 1)),
-        "mass": total(count), "covered": total(lower),
-    })
+def _merged(known: Unigrams):
+    """Add up one part's n-grams over the slabs, with what each context and slice gives to the backoff weight."""
+
+    def run(group: pa.Table) -> pa.Table:
+        context, piece = _flat(group, "contexts"), _flat(group, "slices").astype(np.int64)
+        contexts, at = np.unique(context, return_index=True)
+        ways, most = _flat(group, "ways")[at], int(piece.max()) + 1
+        row = np.repeat(_row_keys(context, piece, contexts, most), _flat(group, "sizes"))
+        word, times, lower = _flat(group, "words").astype(np.int64), _flat(group, "times"), _flat(group, "lower")
+        width = int(word.max()) + 1
+        key = row * width + word
+        by = np.argsort(key, kind="stable")
+        key = key[by]
+        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        count = np.add.reduceat(times[by].astype(np.int64), heads)
+        lower, row, word = lower[by][heads], key[heads] // width, key[heads] % width
+        starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        total = lambda values: np.add.reduceat(values, starts)
+        name = row[starts]
+        context, piece, sizes = contexts[name // most], name % most, np.diff(np.append(starts, len(word)))
+        facts = {f"seen{r}": total((count == r).astype(np.int64)) for r in range(1, CUTOFF + 2)} | {"mass": total(count), "covered": total(lower)}
+        order, buckets, bounds = _bucketed(known.bucket_of(context, piece))
+        entries = _ragged(starts[order], sizes[order])
+        inner = np.concatenate([[0], np.cumsum(sizes[order])])[bounds]
+        return pa.table({
+            "part": pa.array(known.part(buckets)), "bucket": buckets, "contexts": _lists(context[order], bounds), "slices": _lists(piece[order].astype(np.int32), bounds),
+            "ways": _lists(ways[name // most][order], bounds), "sizes": _lists(sizes[order].astype(np.int32), bounds),
+            "words": _lists(pa.array(word[entries], group.schema.field("words").type.value_type), inner), "counts": _lists(count[entries], inner),
+        } | {k: _lists(v[order], bounds) for k, v in facts.items()})
+
+    return run
+
+
+def _log_weight(discounts: Discounts, floor: float, seen: list, types, mass, covered):
+    """What a context keeps for the unseen, over what the lower order gives them (arrays)."""
+    kept = discounts.kept
+    free = TAIL * (types - sum(seen[:CUTOFF])) + sum(n * (r - kept[r]) for r, n in enumerate(seen[:CUTOFF], 1))
+    return np.log10(free / mass / np.maximum(1 - covered, floor))
 
 
 def _fit_order(state: DataFrame, known: Unigrams, order: int) -> Order:
-    rows = _dealt(_requests(state, known, order, training=True).drop("slab"), known)
-    schema = f"part int, context long, slice int, slices int, words array<{known.id_type}>, counts array<long>, seen array<long>, mass long, covered double"
-    measures = {f"n{r}": F.sum(F.get("seen", F.lit(r - 1))) for r in range(1, CUTOFF + 2)}
-    with shuffles_dropped(state.sparkSession):
-        counts, seen = written_and_measured(rows.groupBy("part").applyInArrow(_merge, schema), f"counts_{order}", **measures)
-    discounts = good_turing(np.array([seen[f"n{r}"] or 0 for r in range(1, CUTOFF + 2)]))
-    small = [F.get("seen", F.lit(r - 1)) for r in range(1, CUTOFF + 1)]
-    lost = F.lit(TAIL) * (F.size("words") - sum(small, F.lit(0)))
-    for r, n in enumerate(small, 1):
-        lost = lost + n * F.lit(float(r - discounts.kept[r]))
-    facts = counts.groupBy("context").agg(F.first("slices").alias("slices"), F.sum("mass").alias("mass"), F.sum(lost).alias("free"), F.sum("covered").alias("covered"))
+    """Both tables of one order. Contexts in one slice have their weight from their bucket; those in several add up their slices first."""
+    spark, rows = state.sparkSession, _requests(state, known, order, training=True).drop("slab", "bucket")
+    facts = ", ".join(f"{c} array<long>" for c in [*SEEN, "mass"])
+    schema = f"part int, bucket long, contexts array<long>, slices array<int>, ways array<int>, sizes array<int>, words array<{known.id_type}>, counts array<long>, {facts}, covered array<double>"
+    total = lambda c: F.sum(F.aggregate(c, F.lit(0).cast("long"), lambda a, b: a + b))
+    with shuffles_dropped(spark):
+        counts, seen = written_and_measured(rows.groupBy("part").applyInArrow(_merged(known), schema), f"counts_{order}", **{c: total(c) for c in SEEN})
+    discounts = good_turing(np.array([seen[c] or 0 for c in SEEN]))
     # what is left to a bigram's unseen words holds at least the unknown ones
-    left = F.greatest(1 - F.col("covered"), F.lit(known.unknown if order == 2 else 1e-12))
-    weights = facts.select("context", "slices", F.log10("mass").alias("log_mass"), F.log10(F.col("free") / F.col("mass") / left).alias("log_weight"))
-    with shuffles_dropped(state.sparkSession):
-        return Order(counts, written(weights, f"backoff_{order}"), discounts)
+    floor = known.unknown if order == 2 else 1e-12
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            one = _flat(table, "ways") == 1
+            value = {c: _flat(table, c)[one] for c in ["contexts", "sizes", *SEEN, "mass", "covered"]}
+            starts = np.concatenate([[0], np.cumsum(one)])[np.concatenate([[0], np.cumsum(_lengths(table, "ways"))])]
+            weight = _log_weight(discounts, floor, [value[c] for c in SEEN], value["sizes"], value["mass"], value["covered"])
+            yield pa.RecordBatch.from_pydict({
+                "part": batch.column("part"), "bucket": batch.column("bucket"), "contexts": _lists(value["contexts"], starts),
+                "slices": _lists(np.zeros(len(weight), np.int32), starts), "mass": _lists(value["mass"], starts), "log_weight": _lists(weight, starts),
+            })
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = {c: batch.column(c).to_numpy() for c in batch.schema.names}
+            weight = _log_weight(discounts, floor, [value[c] for c in SEEN], value["sizes"], value["mass"], value["covered"])
+            ways = value["ways"].astype(np.int64)
+            of = np.repeat(np.arange(len(ways)), ways)
+            piece, each = _ragged(np.zeros(len(ways), np.int64), ways), np.arange(len(of) + 1)
+            bucket = known.bucket_of(value["contexts"][of], piece)
+            yield pa.RecordBatch.from_pydict({
+                "part": pa.array(known.part(bucket)), "bucket": pa.array(bucket), "contexts": _lists(value["contexts"][of], each),
+                "slices": _lists(piece.astype(np.int32), each), "mass": _lists(value["mass"][of], each), "log_weight": _lists(weight[of], each),
+            })
+
+    weights = "part int, bucket long, contexts array<long>, slices array<int>, mass array<long>, log_weight array<double>"
+    parts = ["sizes", *SEEN, "mass", "covered"]
+    inside = counts.select("part", "bucket", "contexts", "ways", *parts).mapInArrow(whole, weights)
+    several = counts.select(F.inline(F.arrays_zip("contexts", "ways", *parts))).where("ways > 1")
+    added = several.groupBy("contexts").agg(F.first("ways").alias("ways"), *[F.sum(c).alias(c) for c in parts])
+    with shuffles_dropped(spark):
+        return Order(counts, written(inside.unionByName(added.mapInArrow(sliced, weights)), f"backoff_{order}"), discounts)
 
 
 def _look_up(asked: pa.Table, table: pa.Table) -> pa.Table:
-    """Answer one part's requests: the training count of each n-gram, and mass and weight of its context (none where it was never seen)."""
-    is_weight = table.column("log_mass").is_valid().to_numpy()
+    """Answer one part's requests: the training count of each n-gram, and mass and weight of its context (0 where it was never seen)."""
+    is_weight = table.column("log_weight").is_valid().to_numpy()
     weights, stored = table.filter(pa.array(is_weight)), table.filter(pa.array(~is_weight))
-    context, piece = asked.column("context").to_numpy(), asked.column("slice").to_numpy().astype(np.int64)
-    contexts = np.unique(weights.column("context").to_numpy())
-    most = int(max(weights.column("slice").to_numpy().max(initial=0), piece.max(initial=0))) + 1
-    keys = lambda t: _row_keys(t.column("context").to_numpy(), t.column("slice").to_numpy().astype(np.int64), contexts, most)
+    context, piece = _flat(asked, "contexts"), _flat(asked, "slices").astype(np.int64)
+    own_context, own_piece = _flat(weights, "contexts"), _flat(weights, "slices").astype(np.int64)
+    contexts, most = np.unique(own_context), int(max(own_piece.max(initial=0), piece.max(initial=0))) + 1
     row = _row_keys(context, piece, contexts, most)
-    mass, weight = np.full(len(row), np.nan), np.zeros(len(row))
-    if weights.num_rows and len(row):
-        of = keys(weights)
+    mass, weight = np.zeros(len(row), np.int64), np.zeros(len(row))
+    if len(own_context) and len(row):
+        of = _row_keys(own_context, own_piece, contexts, most)
         by = np.argsort(of)
         at = by[np.minimum(np.searchsorted(of, row, sorter=by), len(by) - 1)]
         hit = (of[at] == row) & (row >= 0)
-        mass[hit], weight[hit] = weights.column("log_mass").to_numpy()[at[hit]], weights.column("log_weight").to_numpy()[at[hit]]
-    lengths, word = _lengths(asked, "words"), _flat(asked, "words").astype(np.int64)
+        mass[hit], weight[hit] = _flat(weights, "mass")[at[hit]], _flat(weights, "log_weight")[at[hit]]
+    word = _flat(asked, "words").astype(np.int64)
     counts = np.zeros(len(word), np.int64)
     if stored.num_rows and len(word):
         own = _flat(stored, "words").astype(np.int64)
         width = int(max(own.max(), word.max())) + 1
-        own = np.repeat(keys(stored), _lengths(stored, "words")) * width + own
+        rows = _row_keys(_flat(stored, "contexts"), _flat(stored, "slices").astype(np.int64), contexts, most)
+        own = np.repeat(rows, _flat(stored, "sizes")) * width + own
         by = np.argsort(own, kind="stable")
         own = own[by]
-        row = np.repeat(row, lengths)
+        row = np.repeat(row, _flat(asked, "sizes"))
         want = row * width + word
         at = np.minimum(np.searchsorted(own, want), len(own) - 1)
         hit = (own[at] == want) & (row >= 0)
         counts[hit] = _flat(stored, "counts")[by[at[hit]]]
+    starts = lambda c: np.concatenate([[0], np.cumsum(_lengths(asked, c))])
     return pa.table({
-        "slab": asked.column("slab"), "context": context, "slice": piece.astype(np.int32),
-        "counts": _lists(counts, np.concatenate([[0], np.cumsum(lengths)])), "log_mass": mass, "log_weight": weight,
+        "slab": asked.column("slab"), "bucket": asked.column("bucket"), "counts": _lists(counts, starts("words")),
+        "mass": _lists(mass, starts("contexts")), "log_weight": _lists(weight, starts("contexts")),
     })
 
 
 def _answers(state: DataFrame, model: Model, order: int) -> DataFrame:
     known, tables = model.unigrams, model.orders[order - 2]
-    every = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice")
-    weights = _dealt(tables.backoff.select("context", every, "log_mass", "log_weight"), known)
-    stored = tables.counts.select("part", "context", "slice", "words", "counts").unionByName(weights, allowMissingColumns=True)
-    asked = _dealt(_requests(state, known, order, training=False), known)
-    schema = "slab long, context long, slice int, counts array<long>, log_mass double, log_weight double"
+    stored = tables.counts.select("part", "contexts", "slices", "sizes", "words", "counts").unionByName(
+        tables.backoff.select("part", "contexts", "slices", "mass", "log_weight"), allowMissingColumns=True
+    )
+    asked = _requests(state, known, order, training=False)
+    schema = "slab long, bucket long, counts array<long>, mass array<long>, log_weight array<double>"
     with shuffles_dropped(state.sparkSession):
         return written(asked.groupBy("part").cogroup(stored.groupBy("part")).applyInArrow(lambda a, t: _look_up(a, t), schema), f"answers_{order}")
 
@@ -400,11 +514,16 @@ def _raised(slab: dict[str, np.ndarray], found: pa.Table, order: int, known: Uni
     value = _lower(slab, known).copy()
     g = grams(slab["words"], slab["counts"], slab["codes"], slab["starts"], order)
     if len(g.tokens):
-        rows = found.take(pa.array(np.lexsort((found.column("slice").to_numpy(), found.column("context").to_numpy()))))
-        counts, lengths = _flat(rows, "counts"), _lengths(rows, "counts")
-        mass, weight = (np.repeat(rows.column(c).to_numpy(), lengths)[g.entry] for c in ("log_mass", "log_weight"))
-        r = counts[g.entry]
-        value[g.tokens] = np.where(r > 0, np.log10(np.maximum(discounts.of(r), 1e-9)) - mass, weight + value[g.tokens])
+        rows = found.take(pa.array(np.argsort(found.column("bucket").to_numpy())))
+        by = _bucketed(known.bucket_of(g.context, g.slice))[0]
+        r = np.empty(len(g.word), np.int64)
+        r[g.entries(by)] = _flat(rows, "counts")
+        mass, weight = np.empty(len(by), np.int64), np.empty(len(by))
+        mass[by], weight[by] = _flat(rows, "mass"), _flat(rows, "log_weight")
+        sizes = g.sizes()
+        seen = np.log10(np.maximum(discounts.of(r), 1e-9)) - np.repeat(np.log10(np.maximum(mass, 1)), sizes)
+        r, seen, weight = r[g.entry], seen[g.entry], np.repeat(weight, sizes)[g.entry]
+        value[g.tokens] = np.where(r > 0, seen, weight + value[g.tokens])
     return value
 
 
