@@ -37,12 +37,12 @@ CUTOFF, TAIL = 5, 0.1
 END = np.uint64(0x0E4D0E4D0E4D0E4D)
 #: Numbers of the class of unknown words and of the place before the first token; words follow.
 UNKNOWN, BEGIN, FIRST = 0, 1, 2
-SLAB_BYTES = 8 << 20
-#: Training tokens for each part of a table; a context with an eighth of them is cut into slices.
-PART_TOKENS = 2_000_000
-HOT_SHARE = 8
+SLAB_BYTES = 6 << 20
+#: Training tokens for each part of a table; a context with a quarter of them is cut into slices.
+PART_TOKENS = 1_000_000
+HOT_SHARE = 4
 #: Buckets of a table, at least; a part has at least as many as the second.
-BUCKETS, PART_BUCKETS = 1024, 16
+BUCKETS, PART_BUCKETS = 1024, 8
 _SALT = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -86,6 +86,13 @@ class Unigrams:
     def id_type(self) -> str:
         return "int" if self.types < 2**31 - FIRST else "long"
 
+    @property
+    def count_type(self) -> str:
+        return "int" if self.tokens < 2**31 else "long"
+
+    def counts(self, values: np.ndarray) -> pa.Array:
+        return pa.array(values, pa.int32() if self.count_type == "int" else pa.int64())
+
     @property
     def bits(self) -> int:
         """How many bits of a hash tell the bucket."""
@@ -150,6 +157,17 @@ def _lists(values, starts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), values if isinstance(values, pa.Array) else pa.array(values))
 
 
+def _pair(run):
+    """``run`` of a pair of groups, with Arrow's free buffers given back after it: workers that wait keep nothing."""
+
+    def tidied(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = run(left, right)
+        pa.default_memory_pool().release_unused()
+        return found
+
+    return tidied
+
+
 def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices of all slices ``starts[i] : starts[i] + lengths[i]``, one after the other."""
     ends = np.cumsum(lengths)
@@ -182,13 +200,13 @@ def _cut(docs: DataFrame, held_out: Column) -> DataFrame:
             held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
             trains = np.repeat(~held, np.diff(starts))
             yield pa.RecordBatch.from_pydict({
-                "slab": pa.array([at]), "words": _one(names.view(np.int64)), "trained": _one(np.bincount(codes[trains], minlength=len(names))),
+                "slab": pa.array([at]), "words": _one(names.view(np.int64)), "trained": _one(np.bincount(codes[trains], minlength=len(names)).astype(np.int32)),
                 "codes": _one(codes), "starts": _one(starts.astype(np.int32)), "ids": _one(batch.column("doc_id")), "held": _one(held),
             })
             at += 1
 
     rows = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held"))
-    schema = f"slab long, words array<long>, trained array<long>, codes array<int>, starts array<int>, ids array<{id_type}>, held array<boolean>"
+    schema = f"slab long, words array<long>, trained array<int>, codes array<int>, starts array<int>, ids array<{id_type}>, held array<boolean>"
     return written(rows.mapInArrow(run, schema), "slabs")
 
 
@@ -246,7 +264,7 @@ def _numbered(cut: DataFrame, model: Model) -> DataFrame:
             hit = own[at] == wanted
             ids[hit], counts[hit] = table.column("id").to_numpy()[at[hit]], table.column("n").to_numpy()[at[hit]]
         starts = np.concatenate([[0], np.cumsum(_lengths(asked, "words"))])
-        return pa.table({"slab": asked.column("slab"), "bucket": asked.column("bucket"), "ids": _lists(pa.array(ids, numbers), starts), "counts": _lists(counts, starts)})
+        return pa.table({"slab": asked.column("slab"), "bucket": asked.column("bucket"), "ids": _lists(pa.array(ids, numbers), starts), "counts": _lists(known.counts(counts), starts)})
 
     def put(slab: pa.Table, found: pa.Table) -> pa.Table:
         found = found.take(pa.array(np.argsort(found.column("bucket").to_numpy())))
@@ -258,17 +276,17 @@ def _numbered(cut: DataFrame, model: Model) -> DataFrame:
         n[place[2:]], n[UNKNOWN], n[BEGIN] = counts, 0, known.documents
         codes = place[2:][_array(slab.column("codes"))].astype(np.int32)
         return pa.table({
-            "slab": slab.column("slab"), "words": _one(pa.array(words, numbers)), "counts": _one(n), "codes": _one(codes),
+            "slab": slab.column("slab"), "words": _one(pa.array(words, numbers)), "counts": _one(known.counts(n)), "codes": _one(codes),
             "starts": slab.column("starts"), "ids": slab.column("ids"), "held": slab.column("held"),
         })
 
     asked = cut.select("slab", "words").mapInArrow(ask, "slab long, part int, bucket long, words array<long>")
     table = model.words.withColumn("part", known.part(F.shiftrightunsigned("word", 64 - known.bits)))
-    answers = f"slab long, bucket long, ids array<{known.id_type}>, counts array<long>"
-    schema = f"slab long, words array<{known.id_type}>, counts array<long>, " + ", ".join(f"{c} {fields[c]}" for c in ("codes", "starts", "ids", "held"))
+    answers = f"slab long, bucket long, ids array<{known.id_type}>, counts array<{known.count_type}>"
+    schema = f"slab long, words array<{known.id_type}>, counts array<{known.count_type}>, " + ", ".join(f"{c} {fields[c]}" for c in ("codes", "starts", "ids", "held"))
     with shuffles_dropped(cut.sparkSession):
-        found = written(asked.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(answer, answers), "numbers")
-        numbered = written(cut.drop("trained").groupBy("slab").cogroup(found.groupBy("slab")).applyInArrow(put, schema), "numbered_slabs")
+        found = written(asked.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(_pair(answer), answers), "numbers")
+        numbered = written(cut.drop("trained").groupBy("slab").cogroup(found.groupBy("slab")).applyInArrow(_pair(put), schema), "numbered_slabs")
     delete_written(found)
     delete_written(cut)
     return numbered
@@ -331,7 +349,7 @@ def _slab(row: pa.RecordBatch | pa.Table, i: int = 0) -> dict[str, np.ndarray]:
     names = [c for c in row.schema.names if c not in ("slab", "ids")]
     columns = {c: row.column(c) for c in names}
     value = lambda c: (c.chunk(0) if isinstance(c, pa.ChunkedArray) else c)[i].values.to_numpy(zero_copy_only=False)
-    return {c: value(columns[c]) for c in names}
+    return {c: value(columns[c]).astype(np.int64) if c == "counts" else value(columns[c]) for c in names}
 
 
 def _lower(slab: dict[str, np.ndarray], known: Unigrams) -> np.ndarray:
@@ -403,7 +421,7 @@ def _merged(known: Unigrams):
         return pa.table({
             "part": pa.array(known.part(buckets)), "bucket": buckets, "contexts": _lists(context[order], bounds), "slices": _lists(piece[order].astype(np.int32), bounds),
             "ways": _lists(ways[name // most][order], bounds), "sizes": _lists(sizes[order].astype(np.int32), bounds),
-            "words": _lists(pa.array(word[entries], group.schema.field("words").type.value_type), inner), "counts": _lists(count[entries], inner),
+            "words": _lists(pa.array(word[entries], group.schema.field("words").type.value_type), inner), "counts": _lists(known.counts(count[entries]), inner),
         } | {k: _lists(v[order], bounds) for k, v in facts.items()})
 
     return run
@@ -420,7 +438,7 @@ def _fit_order(state: DataFrame, known: Unigrams, order: int) -> Order:
     """Both tables of one order. Contexts in one slice have their weight from their bucket; those in several add up their slices first."""
     spark, rows = state.sparkSession, _requests(state, known, order, training=True).drop("slab", "bucket")
     facts = ", ".join(f"{c} array<long>" for c in [*SEEN, "mass"])
-    schema = f"part int, bucket long, contexts array<long>, slices array<int>, ways array<int>, sizes array<int>, words array<{known.id_type}>, counts array<long>, {facts}, covered array<double>"
+    schema = f"part int, bucket long, contexts array<long>, slices array<int>, ways array<int>, sizes array<int>, words array<{known.id_type}>, counts array<{known.count_type}>, {facts}, covered array<double>"
     total = lambda c: F.sum(F.aggregate(c, F.lit(0).cast("long"), lambda a, b: a + b))
     with shuffles_dropped(spark):
         counts, seen = written_and_measured(rows.groupBy("part").applyInArrow(_merged(known), schema), f"counts_{order}", **{c: total(c) for c in SEEN})
@@ -462,7 +480,7 @@ def _fit_order(state: DataFrame, known: Unigrams, order: int) -> Order:
         return Order(counts, written(inside.unionByName(added.mapInArrow(sliced, weights)), f"backoff_{order}"), discounts)
 
 
-def _look_up(asked: pa.Table, table: pa.Table) -> pa.Table:
+def _look_up(asked: pa.Table, table: pa.Table, known: Unigrams) -> pa.Table:
     """Answer one part's requests: the training count of each n-gram, and mass and weight of its context (0 where it was never seen)."""
     is_weight = table.column("log_weight").is_valid().to_numpy()
     weights, stored = table.filter(pa.array(is_weight)), table.filter(pa.array(~is_weight))
@@ -493,8 +511,8 @@ def _look_up(asked: pa.Table, table: pa.Table) -> pa.Table:
         counts[hit] = _flat(stored, "counts")[by[at[hit]]]
     starts = lambda c: np.concatenate([[0], np.cumsum(_lengths(asked, c))])
     return pa.table({
-        "slab": asked.column("slab"), "bucket": asked.column("bucket"), "counts": _lists(counts, starts("words")),
-        "mass": _lists(mass, starts("contexts")), "log_weight": _lists(weight, starts("contexts")),
+        "slab": asked.column("slab"), "bucket": asked.column("bucket"), "counts": _lists(known.counts(counts), starts("words")),
+        "mass": _lists(known.counts(mass), starts("contexts")), "log_weight": _lists(weight, starts("contexts")),
     })
 
 
@@ -504,9 +522,9 @@ def _answers(state: DataFrame, model: Model, order: int) -> DataFrame:
         tables.backoff.select("part", "contexts", "slices", "mass", "log_weight"), allowMissingColumns=True
     )
     asked = _requests(state, known, order, training=False)
-    schema = "slab long, bucket long, counts array<long>, mass array<long>, log_weight array<double>"
+    schema = f"slab long, bucket long, counts array<{known.count_type}>, mass array<{known.count_type}>, log_weight array<double>"
     with shuffles_dropped(state.sparkSession):
-        return written(asked.groupBy("part").cogroup(stored.groupBy("part")).applyInArrow(lambda a, t: _look_up(a, t), schema), f"answers_{order}")
+        return written(asked.groupBy("part").cogroup(stored.groupBy("part")).applyInArrow(_pair(lambda a, t: _look_up(a, t, known)), schema), f"answers_{order}")
 
 
 def _raised(slab: dict[str, np.ndarray], found: pa.Table, order: int, known: Unigrams, discounts: Discounts) -> np.ndarray:
@@ -558,7 +576,7 @@ def _advance(state: DataFrame, model: Model, order: int, last: bool) -> DataFram
 
     fields = {f.name: f.dataType.simpleString() for f in state.schema} | {"lower": "array<double>"}
     schema = _result_schema(state) if last else ", ".join(f"{k} {v}" for k, v in fields.items())
-    joined = state.groupBy("slab").cogroup(_answers(state, model, order).groupBy("slab")).applyInArrow(run, schema)
+    joined = state.groupBy("slab").cogroup(_answers(state, model, order).groupBy("slab")).applyInArrow(_pair(run), schema)
     if last:
         return joined
     with shuffles_dropped(state.sparkSession):
