@@ -340,6 +340,30 @@ def _cut(name: str, at: float) -> str:
 {name} AS (SELECT id, arg_max(root, step) AS root FROM {name}_up GROUP BY id)"""
 
 
+def _sweep(distance: str) -> str:
+    """25 cuts between the lowest and the highest merge, with the mean silhouette by a pair's distance."""
+    return f"""ends AS (SELECT min(height) AS low, max(height) AS high FROM merges WHERE height > 0),
+cuts AS (SELECT i, CASE i WHEN 0 THEN low WHEN 24 THEN high ELSE power(10, log10(low) + (log10(high) - log10(low)) * i / 24) END AS at
+  FROM ends, range(25) r(i)),
+points AS (SELECT min(vec_id) AS id, count(*) AS size, CAST(embedding AS DOUBLE[]) AS v FROM embeddings GROUP BY embedding),
+up AS (
+  SELECT 0 AS step, c.i, c.at, p.id, p.id AS root FROM points p, cuts c
+  UNION ALL
+  SELECT u.step + 1, u.i, u.at, u.id, m."left" FROM up u JOIN merges m ON m."right" = u.root AND m.height <= u.at),
+labelled AS (SELECT i, id, arg_max(root, step) AS root FROM up GROUP BY i, id),
+kept AS (SELECT i, count(DISTINCT root) AS n FROM labelled GROUP BY i
+  HAVING n > 1 AND n < (SELECT count(*) FROM embeddings)),
+pairs AS (SELECT a.id, b.id AS other, a.size, b.size AS others, {distance} AS d FROM points a, points b),
+sums AS (SELECT k.i, p.id, any_value(p.size) AS size, o.root = s.root AS own, sum(p.others) AS n, sum(p.others * p.d) AS total
+  FROM kept k JOIN labelled s USING (i) JOIN pairs p ON p.id = s.id JOIN labelled o ON o.i = k.i AND o.id = p.other
+  GROUP BY k.i, p.id, s.root, o.root),
+sides AS (SELECT i, id, any_value(size) AS size, max(CASE WHEN n > 1 THEN total / (n - 1) END) FILTER (WHERE own) AS a,
+    min(total / n) FILTER (WHERE NOT own) AS b FROM sums GROUP BY i, id)
+SELECT round(any_value(c.at), 6) AS distance, any_value(k.n) AS n_clusters,
+  round(sum(s.size * CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) / sum(s.size), 3) AS silhouette
+FROM sides s JOIN cuts c USING (i) JOIN kept k USING (i) GROUP BY s.i"""
+
+
 REPLY_WORDS = _squeeze(r"regexp_replace(topic, '[^\p{L}\p{N}_" + WS_BODY + "-]', '', 'g')")
 CENTRAL_TAG = _tag_format(_first_words("replace(title, '_', ' ')", 6))
 
@@ -475,6 +499,12 @@ QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) = 1""",
     avg(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))) AS mean_distance
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id GROUP BY ALL),
 sides AS (SELECT id, max(mean_distance) FILTER (WHERE own = other) AS a, min(mean_distance) FILTER (WHERE own <> other) AS b FROM pairs GROUP BY id)
+SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM sides""",
+    "silhouette_squared": """WITH pairs AS (
+  SELECT a.vec_id AS id, a.label AS own, b.label AS other,
+    avg(power(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 2)) AS mean_square
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id GROUP BY ALL),
+sides AS (SELECT id, max(mean_square) FILTER (WHERE own = other) AS a, min(mean_square) FILTER (WHERE own <> other) AS b FROM pairs GROUP BY id)
 SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM sides""",
     "ward_merges": f"""WITH RECURSIVE {WARD}
 SELECT "left", "right", round(height, 6) AS height, size FROM merges""",
@@ -502,6 +532,8 @@ FROM leaf_of JOIN coarse c USING (id) JOIN fine f USING (id)""",
     "cluster_counts": f"""WITH RECURSIVE {WARD}, {_cut('coarse', 2.5)}, {_cut('fine', 2.0)}
 SELECT CAST(2.5 AS DOUBLE) AS distance, count(DISTINCT root) AS n_clusters FROM coarse
 UNION ALL SELECT 2.0, count(DISTINCT root) FROM fine""",
+    "sweep": f"WITH RECURSIVE {WARD}, {_sweep('list_distance(a.v, b.v)')}",
+    "sweep_squared": f"WITH RECURSIVE {WARD}, {_sweep('power(list_distance(a.v, b.v), 2)')}",
     "single_linkage": f"""WITH RECURSIVE {_reach('fine', 1.0)}, {_reach('coarse', 1.15)}
 SELECT id, CAST(dense_rank() OVER (ORDER BY c.first) AS INT) AS topic_level_1_cluster_id,
   CAST(dense_rank() OVER (ORDER BY f.first) AS INT) AS topic_level_2_cluster_id FROM coarse c JOIN fine f USING (id)""",

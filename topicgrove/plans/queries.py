@@ -318,6 +318,10 @@ def silhouette_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(silhouette.silhouette(tables.vectors(spark, sf_dir), "label"), "silhouette")
 
 
+def silhouette_squared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(silhouette.silhouette(tables.vectors(spark, sf_dir), "label", squared=True), "silhouette")
+
+
 def _tree(spark: SparkSession, sf_dir: str) -> taxonomy.MergeTree:
     points = tables.vectors(spark, sf_dir).withColumnRenamed("id", "seq")
     return taxonomy.grow_tree(points)
@@ -349,6 +353,10 @@ def sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_tree(spark, sf_dir).sweep(), "distance")
 
 
+def sweep_squared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_tree(spark, sf_dir).sweep(squared=True), "distance")
+
+
 def single_linkage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return single.single_linkage(tables.vectors(spark, sf_dir), [1.15, 1.0], "text_embedding")
 
@@ -514,12 +522,14 @@ QUERIES = {
     "site_coverage": site_coverage,
     "nearest_neighbour": nearest_neighbour,
     "silhouette": silhouette_score,
+    "silhouette_squared": silhouette_squared,
     "ward_merges": ward_merges,
     "dendrogram": dendrogram,
     "leaf_order": leaf_order,
     "cut_levels": cut_levels,
     "cluster_counts": cluster_counts,
     "sweep": sweep,
+    "sweep_squared": sweep_squared,
     "single_linkage": single_linkage,
     "centroids": centroids,
     "nearest_centroid": nearest_centroid,
