@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,11 +28,15 @@ def best_titles(words: DataFrame, concepts: DataFrame) -> DataFrame:
     return wanted.groupBy("word").agg(F.min(F.struct("size", "title")).alias("best")).select("word", "best.title")
 
 
-def match_concepts(seeds: DataFrame, concepts: DataFrame) -> DataFrame:
-    """``cluster_id, tag`` from seed arrays: the four longest matched titles, joined."""
+#: From ``word`` rows and concept titles to one ``title`` per ``word``.
+TitleSearch = Callable[[DataFrame, DataFrame], DataFrame]
+
+
+def match_concepts(seeds: DataFrame, concepts: DataFrame, search: TitleSearch = best_titles) -> DataFrame:
+    """``cluster_id, tag`` from seed arrays: the four longest titles that ``search`` finds for them, joined."""
     each = seeds.select("cluster_id", F.posexplode_outer("seeds").alias("pos", "word"))
     title = candidate_title(F.col("title"), clean_html)
-    matched = each.join(best_titles(each.filter("word IS NOT NULL"), concepts), "word", "left")
+    matched = each.join(search(each.filter("word IS NOT NULL"), concepts).select("word", "title"), "word", "left")
     phrases = matched.select("cluster_id", "pos", F.when(F.col("title").isNotNull() & (title != ""), title).alias("phrase"))
     order = Window.partitionBy("cluster_id").orderBy(
         F.coalesce(num_words(F.col("phrase")), F.lit(0)).desc(), F.col("pos")
@@ -42,14 +48,17 @@ def match_concepts(seeds: DataFrame, concepts: DataFrame) -> DataFrame:
     return named.withColumn("tag", F.when(F.col("tag") == "", F.lit(NO_SEED_TAG)).otherwise(F.col("tag")))
 
 
-def gazetteer_namer(concepts: DataFrame) -> Namer:
-    """Names from ``concepts`` (``title``); parents are named from their titles, not from child tags."""
+def gazetteer_namer(concepts: DataFrame, search: TitleSearch = best_titles) -> Namer:
+    """Names from ``concepts`` (``title``); parents are named from their titles, not from child tags.
+
+    ``search`` picks a title for a seed word: the shortest one, or the best by rank (``search.ranked_titles``).
+    """
 
     def leaf(titles: DataFrame) -> DataFrame:
-        return match_concepts(seed_words(titles, "title", N_SEEDS), concepts)
+        return match_concepts(seed_words(titles, "title", N_SEEDS), concepts, search)
 
     def parent(titles: DataFrame, children: DataFrame, taken: DataFrame) -> DataFrame:
         unique = titles.select("cluster_id", "title").distinct()
-        return match_concepts(seed_words(unique, "title", N_SEEDS, joined_by_mark=False), concepts)
+        return match_concepts(seed_words(unique, "title", N_SEEDS, joined_by_mark=False), concepts, search)
 
     return Namer(leaf, parent)

@@ -9,7 +9,7 @@ from topicgrove.functions.tags import tag_words
 from topicgrove.schema import cluster_column, tag_column
 
 
-def _level_nodes(posts: DataFrame, num_levels: int, *columns: str) -> DataFrame:
+def level_nodes(posts: DataFrame, num_levels: int, *columns: str) -> DataFrame:
     """``level, cluster_id, tag`` and further columns of all posts, one row per post and level."""
     nodes = F.array(
         *[
@@ -32,7 +32,7 @@ def tag_overlap(posts: DataFrame, num_levels: int) -> DataFrame:
     ``overlapping_tags`` the clusters that hold a shared word. Counting words
     needs no pairs of tags, so a word that many tags share costs nothing extra.
     """
-    nodes = _level_nodes(posts, num_levels).distinct()
+    nodes = level_nodes(posts, num_levels).distinct()
     words = nodes.select("level", "cluster_id", F.explode_outer(F.array_distinct(tag_words(F.col("tag")))).alias("word"))
     users = words.filter("word IS NOT NULL").groupBy("level", "word").agg(F.count("*").alias("users"))
     each = words.join(users, ["level", "word"], "left").groupBy("level", "cluster_id").agg(F.max("users").alias("users"))
@@ -52,7 +52,7 @@ def tag_overlap(posts: DataFrame, num_levels: int) -> DataFrame:
 
 
 def _urls_per_cluster(posts: DataFrame, num_levels: int) -> DataFrame:
-    nodes = _level_nodes(posts, num_levels, "url")
+    nodes = level_nodes(posts, num_levels, "url")
     return nodes.groupBy("level", "cluster_id").agg(F.countDistinct("url").alias("urls"))
 
 
@@ -69,7 +69,7 @@ def size_distribution(posts: DataFrame, num_levels: int) -> DataFrame:
 
 def site_coverage(posts: DataFrame, num_levels: int, site: str = "site") -> DataFrame:
     """How many clusters of each level draw on two sites or more."""
-    nodes = _level_nodes(posts, num_levels, site)
+    nodes = level_nodes(posts, num_levels, site)
     sites = nodes.groupBy("level", "cluster_id").agg(F.countDistinct(site).alias("sites"))
     return sites.groupBy("level").agg(
         F.count("*").alias("clusters"),

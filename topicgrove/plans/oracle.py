@@ -251,15 +251,12 @@ def _names(seeds: str, name: str) -> str:
     SELECT cluster_id, {tag} AS tag FROM (SELECT cluster_id, {tokens} AS tokens FROM {seeds})))"""
 
 
-def _gazetteer(seeds: str) -> str:
+def _gazetteer(seeds: str, best: str) -> str:
     title = f"regexp_replace(replace({_clean_html('lower(b.title)')}, 'disambiguation', ''), '^{WS}|{WS}$', '', 'g')"
     return f"""each AS (
   SELECT cluster_id, unnest(CASE WHEN len(seeds) = 0 THEN [NULL] ELSE seeds END) AS word,
     unnest(range(greatest(len(seeds), 1))) AS pos FROM {seeds}),
-best AS (
-  SELECT word, title FROM (
-    SELECT word, title, row_number() OVER (PARTITION BY word ORDER BY {_num_words('title')}, title) AS place FROM (
-      SELECT title, unnest(list_distinct({_words('lower(title)')})) AS word FROM concepts)) WHERE place = 1),
+{best},
 phrases AS (
   SELECT e.cluster_id, e.pos, CASE WHEN b.title IS NOT NULL THEN nullif({title}, '') END AS phrase FROM each e LEFT JOIN best b ON b.word = e.word),
 top AS (
@@ -271,6 +268,20 @@ named AS (
 SELECT cluster_id, CASE WHEN tag = '' THEN 'unnamed' ELSE tag END AS tag FROM named"""
 
 
+SHORTEST = f"""best AS (
+  SELECT word, title FROM (
+    SELECT word, title, row_number() OVER (PARTITION BY word ORDER BY {_num_words('title')}, title) AS place FROM (
+      SELECT title, unnest(list_distinct({_words('lower(title)')})) AS word FROM concepts)) WHERE place = 1)"""
+RANKED = f"""known AS (SELECT title, {_words('lower(title)')} AS words FROM (SELECT DISTINCT title FROM concepts) WHERE len({_words('lower(title)')}) > 0),
+usual AS (SELECT CAST(count(*) AS DOUBLE) AS titles, avg(len(words)) AS words FROM known),
+postings AS (SELECT word, title, length, count(*) AS times
+  FROM (SELECT title, len(words) AS length, unnest(words) AS word FROM known) GROUP BY ALL),
+index AS (SELECT word, title, length,
+    round(ln(1 + (u.titles - holders + 0.5) / (holders + 0.5)) * times * 2.2 / (times + 1.2 * (0.25 + 0.75 * length / u.words)), 9) AS score
+  FROM (SELECT *, count(*) OVER (PARTITION BY word) AS holders FROM postings), usual u),
+best AS (SELECT word, title, score FROM index QUALIFY row_number() OVER (PARTITION BY word ORDER BY score DESC, length, title) = 1)"""
+
+
 def _prompt(request: str, heading: str, items: str) -> str:
     return f"{_text(request)} || chr(10) || chr(10) || '{heading}' || chr(10) || {items} || chr(10) || 'Topic:'"
 
@@ -435,9 +446,18 @@ SELECT cluster_id, place, term, round(score, 6) AS score FROM seeds_ranked WHERE
     "tfidf_tags_parent": f"""WITH {TFIDF_LEAF}, {_children('leaf_tags')},
 {_seeds('children', 'tag', 4, 'false', 'parent_seeds')}, {_names('parent_seeds', 'parent_tags')}
 SELECT cluster_id, tag FROM parent_tags""",
-    "gazetteer_tags": f"WITH {POSTS}, {LEVEL2}, {CONCEPTS}, {_seeds('titles', 'title', 5, 'texts > 1')}, {_gazetteer('seeds')}",
+    "gazetteer_tags": f"WITH {POSTS}, {LEVEL2}, {CONCEPTS}, {_seeds('titles', 'title', 5, 'texts > 1')}, {_gazetteer('seeds', SHORTEST)}",
     "gazetteer_tags_parent": f"""WITH {POSTS}, {LEVEL1}, {CONCEPTS},
-different AS (SELECT DISTINCT cluster_id, title FROM titles), {_seeds('different', 'title', 5, 'false')}, {_gazetteer('seeds')}""",
+different AS (SELECT DISTINCT cluster_id, title FROM titles), {_seeds('different', 'title', 5, 'false')}, {_gazetteer('seeds', SHORTEST)}""",
+    "gazetteer_tags_ranked": f"WITH {POSTS}, {LEVEL2}, {CONCEPTS}, {_seeds('titles', 'title', 5, 'texts > 1')}, {_gazetteer('seeds', RANKED)}",
+    "ranked_titles": f"""WITH {POSTS}, {CONCEPTS}, {RANKED}
+SELECT word, title, round(score, 6) AS score FROM best
+WHERE word IN (SELECT unnest({_words('lower(title)')}) FROM posts)""",
+    "title_search": f"""WITH {POSTS}, {CONCEPTS}, {RANKED},
+asked AS (SELECT DISTINCT seq AS query_id, unnest({_words('lower(title)')}) AS word FROM posts),
+sums AS (SELECT query_id, title, length, round(sum(score), 9) AS score FROM asked JOIN index USING (word) GROUP BY ALL)
+SELECT query_id, title, round(score, 6) AS score FROM sums
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY sums.score DESC, length, title) = 1""",
     "hypernym_tags": f"""WITH {POSTS}, {LEVEL2}, {LEXICON}, {_seeds('titles', 'title', 5, 'texts > 1')},
 broader AS (SELECT DISTINCT word, lemma FROM lexicon WHERE sense_rank = 1),
 cand AS (SELECT DISTINCT s.cluster_id, s.seeds, b.lemma FROM (SELECT cluster_id, seeds, unnest(seeds) AS word FROM seeds) s
@@ -479,6 +499,22 @@ SELECT n.level, count(*) AS tags, coalesce(any_value(l.n), 0) AS overlapping_tag
   (SELECT count(*) FROM users u WHERE u.level = n.level AND u.users > 1) AS shared_words,
   coalesce((SELECT max(users) FROM users u WHERE u.level = n.level), 0) AS most_shared
 FROM nodes n LEFT JOIN lapping l ON l.level = n.level GROUP BY n.level""",
+    "similar_tags": f"""WITH RECURSIVE {KEYWORD_TAGS},
+nodes AS (SELECT DISTINCT CAST(1 AS INT) AS level, topic_level_1_cluster_id AS cluster_id, topic_level_1 AS tag FROM tagged
+  UNION SELECT DISTINCT 2, topic_level_2_cluster_id, topic_level_2 FROM tagged),
+classes AS (SELECT level, words, min(cluster_id) AS id, count(*) AS members
+  FROM (SELECT level, cluster_id, list_sort(list_distinct({_tag_words('tag')})) AS words FROM nodes) WHERE len(words) > 0 GROUP BY ALL),
+pairs AS (SELECT a.level, a.id AS "first", b.id AS other, a.members AS first_clusters, b.members AS other_clusters,
+    len(list_intersect(a.words, b.words)) AS shared, len(a.words) + len(b.words) AS sizes
+  FROM classes a JOIN classes b ON a.level = b.level AND (a.id < b.id OR a.id = b.id AND a.members > 1))
+SELECT level, "first", other, first_clusters, other_clusters, round(shared / (sizes - shared), 6) AS similarity
+FROM pairs WHERE 100 * shared >= 20 * (sizes - shared)""",
+    "similar_titles": f"""WITH {POSTS},
+classes AS (SELECT site, words, min(seq) AS id
+  FROM (SELECT site, seq, list_sort(list_distinct({_words('lower(title)')})) AS words FROM posts) WHERE len(words) > 0 GROUP BY ALL),
+pairs AS (SELECT a.site, a.id AS "first", b.id AS other, CAST(len(list_intersect(a.words, b.words)) AS INT) AS shared,
+    len(a.words) + len(b.words) AS sizes FROM classes a JOIN classes b ON a.site = b.site AND a.id < b.id)
+SELECT site, "first", other, shared, CAST(sizes - shared AS INT) AS total FROM pairs WHERE 100 * shared >= 60 * (sizes - shared)""",
     "size_distribution": f"""WITH {LANGUAGE_TREE},
 sizes AS (SELECT level, cluster_id, count(DISTINCT url) AS n FROM levels GROUP BY ALL),
 moments AS (SELECT level, count(*) AS clusters, avg(n) AS mean_urls, stddev_samp(n) AS stddev_urls,

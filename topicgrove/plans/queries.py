@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from topicgrove.functions import tags as T
 from topicgrove.functions import text as X
 from topicgrove.functions import urls as U
-from topicgrove.operators import classify, cleaning, cut, embedding, nearest, quality, review, silhouette, single, ward
-from topicgrove.operators.naming import base, extractive, gazetteer, generative, hypernym, keyword, tfidf
+from topicgrove.operators import classify, cleaning, cut, embedding, nearest, quality, review, silhouette, similar, single, ward
+from topicgrove.operators.naming import base, extractive, gazetteer, generative, hypernym, keyword, search, tfidf
 from topicgrove.plans import tables, taxonomy
 from topicgrove.schema import cluster_column
 from topicgrove.session import written, written_dir
@@ -205,6 +205,25 @@ def gazetteer_tags_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gazetteer.gazetteer_namer(tables.concepts(spark, sf_dir)).parent(_documents(spark, sf_dir, 1), None, None)
 
 
+def gazetteer_tags_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    concepts = tables.concepts(spark, sf_dir)
+    return gazetteer.gazetteer_namer(concepts, search.ranked_titles).leaf(_documents(spark, sf_dir))
+
+
+def ranked_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best concept title for each different word of the documents' titles."""
+    titles = tables.document_posts(spark, sf_dir)
+    words = titles.select(F.explode(X.word_runs(F.lower("title"))).alias("word")).distinct()
+    return search.ranked_titles(words, tables.concepts(spark, sf_dir)).withColumn("score", F.round("score", 6))
+
+
+def title_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best concept title for each document's title, asked with all its words."""
+    titles = tables.document_posts(spark, sf_dir)
+    queries = titles.select(F.col("seq").alias("query_id"), X.word_runs(F.lower("title")).alias("words"))
+    return search.best_title_of_words(queries, tables.concepts(spark, sf_dir)).withColumn("score", F.round("score", 6))
+
+
 def hypernym_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     seeds = tfidf.seed_words(_documents(spark, sf_dir), "title", 5)
     return hypernym.rank_hypernyms(seeds, tables.lexicon(spark, sf_dir)).withColumn("score", F.round("score", 6))
@@ -276,6 +295,18 @@ def tag_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.tag_overlap(_tagged(spark, sf_dir), LEVELS)
 
 
+def similar_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(similar.similar_tags(_tagged(spark, sf_dir), LEVELS, 20), "similarity")
+
+
+def similar_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles of each source that share six tenths of their words."""
+    posts = tables.document_posts(spark, sf_dir)
+    sets = posts.select(F.col("seq").alias("id"), "site", X.word_runs(F.lower("title")).alias("words"))
+    classes = written(similar.word_set_classes(sets, "site"), "title-sets")
+    return similar.similar_classes(classes, "site", 60).select("site", "first", "other", "shared", "total")
+
+
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
@@ -506,6 +537,9 @@ QUERIES = {
     "tfidf_tags_parent": tfidf_tags_parent,
     "gazetteer_tags": gazetteer_tags,
     "gazetteer_tags_parent": gazetteer_tags_parent,
+    "gazetteer_tags_ranked": gazetteer_tags_ranked,
+    "ranked_titles": ranked_titles,
+    "title_search": title_search,
     "hypernym_tags": hypernym_tags,
     "central_title_tags": central_title_tags,
     "generated_tags": generated_tags,
@@ -518,6 +552,8 @@ QUERIES = {
     "topic_paths": topic_paths,
     "parents_of": parents_of,
     "tag_overlap": tag_overlap,
+    "similar_tags": similar_tags,
+    "similar_titles": similar_titles,
     "size_distribution": size_distribution,
     "site_coverage": site_coverage,
     "nearest_neighbour": nearest_neighbour,
