@@ -351,6 +351,32 @@ def _cut(name: str, at: float) -> str:
 {name} AS (SELECT id, arg_max(root, step) AS root FROM {name}_up GROUP BY id)"""
 
 
+def _central(rows: str, title: str, name: str) -> str:
+    """``name(cluster_id, tag)`` by ten rounds of PageRank over words side by side in the titles of ``rows``."""
+    n = name
+    rounds = "".join(
+        f""",
+{n}_r{i} AS (SELECT w.cluster_id, w.word, 0.15::DOUBLE + 0.85::DOUBLE * coalesce(p.got, 0) AS rank FROM {n}_words w LEFT JOIN (
+  SELECT s.cluster_id, s.other AS word, sum(s.share * r.rank) AS got FROM {n}_shares s
+  JOIN {n}_r{i - 1} r ON r.cluster_id = s.cluster_id AND r.word = s.word GROUP BY ALL) p
+  ON p.cluster_id = w.cluster_id AND p.word = w.word)"""
+        for i in range(1, 11)
+    )
+    return f"""{n}_worded AS (SELECT cluster_id, seq, {title} AS title, {_words(f"lower(replace({title}, '_', ' '))")} AS ws FROM {rows}),
+{n}_sides AS (SELECT cluster_id, unnest(ws[1:len(ws) - 1]) AS a, unnest(ws[2:len(ws)]) AS b FROM {n}_worded WHERE len(ws) > 1),
+{n}_edges AS (SELECT cluster_id, word, other, count(*) AS weight FROM (
+  SELECT cluster_id, a AS word, b AS other FROM {n}_sides WHERE a <> b
+  UNION ALL SELECT cluster_id, b, a FROM {n}_sides WHERE a <> b) GROUP BY ALL),
+{n}_shares AS MATERIALIZED (SELECT cluster_id, word, other, weight / sum(weight) OVER (PARTITION BY cluster_id, word) AS share FROM {n}_edges),
+{n}_words AS MATERIALIZED (SELECT DISTINCT cluster_id, unnest(ws) AS word FROM {n}_worded),
+{n}_r0 AS (SELECT cluster_id, word, 1.0::DOUBLE AS rank FROM {n}_words){rounds},
+{n}_scored AS (SELECT e.cluster_id, e.seq, e.title, round(avg(r.rank), 9) AS score
+  FROM (SELECT cluster_id, seq, title, unnest(ws) AS word FROM {n}_worded) e JOIN {n}_r10 r USING (cluster_id, word) GROUP BY ALL),
+{n}_best AS (SELECT * FROM {n}_scored QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY score DESC, seq, title) = 1),
+{n} AS (SELECT c.cluster_id, coalesce(nullif({CENTRAL_TAG}, ''), 'unnamed') AS tag
+  FROM (SELECT DISTINCT cluster_id FROM {n}_worded) c LEFT JOIN {n}_best b USING (cluster_id))"""
+
+
 def _sweep(distance: str) -> str:
     """25 cuts between the lowest and the highest merge, with the mean silhouette by a pair's distance."""
     return f"""ends AS (SELECT min(height) AS low, max(height) AS high FROM merges WHERE height > 0),
@@ -473,6 +499,9 @@ near AS (SELECT e.topic_level_2_cluster_id AS cluster_id, e.seq, e.title, round(
 best AS (SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY distance, seq) = 1)
 SELECT cluster_id, title, {CENTRAL_TAG} AS tag,
   round(distance, 6) AS distance FROM best""",
+    "centrality_tags_leaf": f"WITH {POSTS}, {LEVEL2}, {_central('titles', 'title', 'leaf_tags')} SELECT cluster_id, tag FROM leaf_tags",
+    "centrality_tags_parent": f"""WITH {POSTS}, {LEVEL2}, {_central('titles', 'title', 'leaf_tags')}, {_children('leaf_tags')},
+{_central('children', 'tag', 'parent_tags')} SELECT cluster_id, tag FROM parent_tags""",
     "review": f"WITH RECURSIVE {KEYWORD_TAGS} {REVIEW.format(where=WHOLE)}",
     "review_rollup": f"""WITH RECURSIVE {KEYWORD_TAGS} SELECT {IDS}, {TAGS}, count(DISTINCT url) AS url_count FROM tagged
 WHERE {WHOLE} GROUP BY GROUPING SETS (({IDS}, {TAGS}), (topic_level_1_cluster_id, topic_level_1))""",
@@ -579,6 +608,20 @@ pairs AS (SELECT e.vec_id AS id, e.label, m.label AS nearest, list_distance(CAST
   FROM embeddings e CROSS JOIN middles m)
 SELECT id, label, CAST(nearest AS BIGINT) AS nearest, round(distance, 6) AS distance FROM pairs
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, nearest) = 1""",
+    "projected_posts": f"""WITH {POSTS},
+words AS (SELECT seq, unnest({_words("lower(" + _squeeze(_clean_html("title || ' ' || text")) + ")")}) AS word FROM posts),
+times AS (SELECT seq, word, count(*) AS times FROM words GROUP BY ALL),
+idf AS (SELECT word, ln(((SELECT count(*) FROM posts) + 1) / (count(*) + 1)) AS idf FROM times GROUP BY word),
+spelt AS (SELECT word, idf, md5(word || ':0') || md5(word || ':1') || md5(word || ':2') || md5(word || ':3') AS digits FROM idf),
+directions AS (SELECT word, idf, list_transform(range(512), lambda i:
+    2 * ((CAST('0x' || digits[i // 4 + 1] AS INT) >> (3 - i % 4)) & 1) - 1) AS signs FROM spelt),
+each AS (SELECT seq, unnest(range(512)) AS dimension, unnest(signs) AS sign, times * idf AS weight FROM times JOIN directions USING (word)),
+sums AS (SELECT seq, dimension, sum(sign * weight) AS x FROM each GROUP BY ALL),
+lengths AS (SELECT seq, sqrt(sum(x * x)) AS length FROM sums GROUP BY seq)
+SELECT p.seq, CAST(d.dimension AS INT) AS dimension,
+  round(CAST(CAST(coalesce(CASE WHEN length > 0 THEN x / length END, 0) AS FLOAT) AS DOUBLE), 4) AS value
+FROM posts p CROSS JOIN (SELECT unnest(range(512)) AS dimension) d
+LEFT JOIN sums s ON s.seq = p.seq AND s.dimension = d.dimension LEFT JOIN lengths l ON l.seq = p.seq""",
     "split_stratified": f"""WITH {POSTS},
 ranked AS (SELECT seq, url, topic_level_2_cluster_id,
   row_number() OVER (PARTITION BY topic_level_2_cluster_id ORDER BY md5('0' || url), url) AS place,

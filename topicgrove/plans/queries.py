@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from topicgrove.functions import tags as T
 from topicgrove.functions import text as X
 from topicgrove.functions import urls as U
-from topicgrove.operators import classify, cleaning, cut, embedding, nearest, quality, review, silhouette, similar, single, ward
-from topicgrove.operators.naming import base, extractive, gazetteer, generative, hypernym, keyword, search, tfidf
+from topicgrove.operators import classify, cleaning, cut, embedding, nearest, projection, quality, review, silhouette, similar, single, ward
+from topicgrove.operators.naming import base, centrality, extractive, gazetteer, generative, hypernym, keyword, search, tfidf
 from topicgrove.plans import tables, taxonomy
 from topicgrove.schema import cluster_column
 from topicgrove.session import written, written_dir
@@ -235,6 +235,16 @@ def central_title_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.select("cluster_id", "title", "tag", F.round("distance", 6).alias("distance"))
 
 
+def _centrality_leaf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centrality.centrality_namer().leaf(_documents(spark, sf_dir))
+
+
+def centrality_tags_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = base.cluster_tree(tables.document_posts(spark, sf_dir), LEVELS)
+    children = base.child_tags(tree, written(_centrality_leaf(spark, sf_dir), "leaf-tags"), 1)
+    return centrality.centrality_namer().parent(None, children, None)
+
+
 def generated_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     def last_title(prompts, temperatures):
         return prompts.str.split("\n").str[-2]
@@ -410,6 +420,15 @@ def embed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.embed(tables.document_posts(spark, sf_dir)).select("seq", "text_embedding")
 
 
+def projected_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Projected tf-idf vectors of all documents, a row per dimension, to four decimals."""
+    texts = embedding.embedding_text(tables.document_posts(spark, sf_dir)).select("seq", "embedding_text")
+    vectors = projection.project(texts)
+    return vectors.select("seq", F.posexplode("text_embedding").alias("dimension", "value")).withColumn(
+        "value", F.round(F.col("value").cast("double"), 4)
+    )
+
+
 def split_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = tables.document_posts(spark, sf_dir).select("seq", "url", cluster_column(2))
     return classify.split_stratified(posts, cluster_column(2))
@@ -542,6 +561,8 @@ QUERIES = {
     "title_search": title_search,
     "hypernym_tags": hypernym_tags,
     "central_title_tags": central_title_tags,
+    "centrality_tags_leaf": _centrality_leaf,
+    "centrality_tags_parent": centrality_tags_parent,
     "generated_tags": generated_tags,
     "review": review_table,
     "review_rollup": review_rollup,
@@ -570,6 +591,7 @@ QUERIES = {
     "centroids": centroids,
     "nearest_centroid": nearest_centroid,
     "embed_posts": embed_posts,
+    "projected_posts": projected_posts,
     "split_stratified": split_stratified,
     "classifier_scores": classifier_scores,
     "taxonomy_review": taxonomy_review,
