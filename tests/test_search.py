@@ -4,8 +4,10 @@ from collections import Counter
 
 import pytest
 
+from topicgrove.operators.naming import search
 from topicgrove.operators.naming.search import best_title_of_words, ranked_titles
 from topicgrove.operators.similar import similar_classes, word_set_classes
+from topicgrove.session import written
 
 
 def _bm25(titles):
@@ -54,6 +56,17 @@ def test_ranked_search_equals_the_definition(spark):
         assert row.title == min(ties, key=lambda t: (len(texts[t]), t))
 
 
+def test_titles_that_cannot_win_are_not_looked_up(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(search, "written", lambda df, name: kept.setdefault(name, written(df, name)))
+    titles = ["rare gold find"] + [f"gold item number {i} of a longer list" for i in range(60)] + [f"plain line {i}" for i in range(200)]
+    concepts = spark.createDataFrame([(t,) for t in titles], "title string")
+    queries = spark.createDataFrame([(1, ["gold", "rare", "find", "item"])], "query_id long, words array<string>")
+    found = search.best_title_of_words(queries, concepts).collect()
+    assert [(r.query_id, r.title) for r in found] == [(1, "rare gold find")]
+    assert kept["candidates"].count() == 1
+
+
 def test_ranked_search_of_an_empty_table(spark):
     concepts = spark.createDataFrame([], "title string")
     assert ranked_titles(spark.createDataFrame([("a",)], "word string"), concepts).count() == 0

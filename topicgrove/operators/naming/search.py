@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 from topicgrove.functions.text import word_runs
 from topicgrove.session import written
+from topicgrove.sources.posts import with_seq
 
 #: How soon repeats of a word stop counting, and how much long titles are held back.
 SATURATION, LENGTH_WEIGHT = 1.2, 0.75
 #: Decimals of a score; equal scores go to the shorter title, then to the smaller one.
 SCORE_DECIMALS = 9
+#: Half a unit of the last decimal a word is far below this slack; it only lets more candidates in.
+SLACK = 1e-6
 
 
 def postings(words: DataFrame, concepts: DataFrame) -> DataFrame:
@@ -56,7 +59,8 @@ def best_title_of_words(queries: DataFrame, concepts: DataFrame) -> DataFrame:
 
     The best posting of one word is a score that some title reaches. Words in rising order of their best posting cannot
     reach it together up to some place: a title with those words alone is never the best one, so candidates are titles
-    of the words after that place only.
+    of the words after that place only. Of these, only titles that the other words can still lift to the best one's carried score
+    are looked up for the other words.
     """
     asked = written(queries.select("query_id", F.explode(F.array_distinct("words")).alias("word")).where("word IS NOT NULL"), "asked")
     index = written(postings(asked, concepts), "index")
@@ -66,10 +70,23 @@ def best_title_of_words(queries: DataFrame, concepts: DataFrame) -> DataFrame:
         "query_id", "word", "top", F.sum("top").over(rising).alias("reach"), F.max("top").over(Window.partitionBy("query_id")).alias("reached")
     )
     bounds = written(bounds, "bounds")
-    # Half a unit of the last decimal a word is far below this slack; it only lets more candidates in.
-    carrying = bounds.where(F.col("reach") >= F.col("reached") - 1e-6)
-    candidates = carrying.join(index, "word").select("query_id", "title", "length").distinct()
-    pairs = candidates.join(bounds.select("query_id", "word"), "query_id")
-    scored = pairs.join(index.select("word", "title", "score"), ["word", "title"])
-    total = F.round(F.sum("score"), SCORE_DECIMALS).alias("score")
-    return _best(scored.groupBy("query_id", "title", "length").agg(total), "query_id")
+    apart = F.col("reach") >= F.col("reached") - SLACK
+    carrying = bounds.where(apart)
+    others = bounds.where(~apart)
+    # What the words before that place can add to any title at the most.
+    rest = others.groupBy("query_id").agg(F.max("reach").alias("rest"))
+    numbered = written(with_seq(index.select("title", "length").distinct(), "length", "title").withColumnRenamed("seq", "number"), "numbered")
+    short = written(index.join(numbered.select("title", "number"), "title").select("word", "number", "score"), "short-index")
+    # Titles go by number, in the order that ties are settled in; each with the scores of the words that carry.
+    carried = carrying.select("query_id", "word").join(short, "word").groupBy("query_id", "number").agg(F.sum("score").alias("carried"))
+    carried = written(carried, "carried")
+    best = carried.groupBy("query_id").agg(F.max("carried").alias("most")).join(rest, "query_id", "left")
+    within = F.col("carried") + F.coalesce("rest", F.lit(0.0)) >= F.col("most") - SLACK
+    candidates = written(carried.join(best, "query_id").where(within).select("query_id", "number", "carried"), "candidates")
+    pairs = candidates.select("query_id", "number").join(others.select("query_id", "word"), "query_id")
+    looked_up = pairs.join(short, ["word", "number"]).select("query_id", "number", "score")
+    parts = candidates.select("query_id", "number", F.col("carried").alias("score")).unionByName(looked_up)
+    scored = parts.groupBy("query_id", "number").agg(F.round(F.sum("score"), SCORE_DECIMALS).alias("score"))
+    first = F.min(F.struct((-F.col("score")).alias("loss"), "number")).alias("best")
+    found = scored.groupBy("query_id").agg(first).select("query_id", F.col("best.number").alias("number"), (-F.col("best.loss")).alias("score"))
+    return found.join(numbered.select("number", "title"), "number").select("query_id", "title", "score")
