@@ -1,3 +1,4 @@
+from topicgrove.operators.naming import centrality
 from topicgrove.operators.naming.centrality import centrality_namer, most_central_titles
 
 ROWS = [
@@ -46,3 +47,23 @@ def test_parents_are_named_from_the_names_of_their_children(spark):
     children = spark.createDataFrame([(1, 0, "apple_pie"), (1, 3, "apple_tart"), (1, 5, "plum_pie"), (2, 1, "bread")], "cluster_id int, seq long, tag string")
     assert {r.cluster_id: r.tag for r in namer.parent(None, children, None).collect()} == {1: "apple_pie", 2: "bread"}
     assert namer.leaf(titles.limit(0)).count() == 0
+
+
+def test_rounds_do_not_shuffle_the_edges_again(spark):
+    shares = centrality._shares(
+        spark.createDataFrame([(1, "a", "b", 2), (1, "b", "c", 1)], "cluster_id int, low string, high string, weight long"),
+        spark.createDataFrame([(1, "a", 5), (1, "b", 6), (1, "c", 7)], "cluster_id int, word string, node long"),
+    ).persist()
+    ranks = spark.createDataFrame([(5, 1.0), (6, 1.0), (7, 1.0)], "node long, rank double")
+    asked = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        once = centrality._passed_on(shares, ranks)
+        plan = once._jdf.queryExecution().sparkPlan().toString(), once._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+        assert "InMemoryTableScan" in plan[0] and plan[1].count("Exchange hashpartitioning(") == 2  # the ranks, and what neighbours get
+        assert {r.node: round(r.rank, 6) for r in once.collect()} == {5: 0.716667, 6: 1.85, 7: 0.433333}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", asked)
+        shares.unpersist()
+    worded = centrality._with_words(spark.createDataFrame(ROWS, "cluster_id int, seq long, title string"))
+    assert {r["rank"] for r in centrality.word_ranks(worded, 0).collect()} == {1.0}
