@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
-from topicgrove.operators import classify
+from topicgrove.operators import classify, embedding
 from topicgrove.operators.embedding import embedding_text, fit_encoder, embed
 from topicgrove.operators.naming.base import name_clusters
 from topicgrove.operators.naming.keyword import KEYWORD_NAMER
@@ -89,3 +89,17 @@ def test_republished_urls_are_dropped(spark, tmp_path):
 def test_bytes_of_an_encoder_batch(spark, posts):
     found = embed(posts, encoder=lambda texts: [[float(len(t))] for t in texts])
     assert found.select(F.size("text_embedding")).distinct().collect()[0][0] == 1
+
+
+def test_a_fitted_encoder_and_its_vectors_from_one_cleaning(spark):
+    posts = spark.createDataFrame([(i, f"title {i}", f"text {i % 3} of words") for i in range(9)], "seq long, title string, text string")
+    cleaned = spark.sparkContext.accumulator(0)
+
+    def clean(text):
+        cleaned.add(1)
+        return text
+
+    encoder, embedded = embedding.fit_and_embed(posts, F.udf(clean, "string"))
+    found = {r.seq: list(r.text_embedding) for r in embedded.collect()}
+    assert cleaned.value == 9
+    assert found == {r.seq: list(r.text_embedding) for r in embedding.embed(posts, encoder).collect()}

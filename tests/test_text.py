@@ -148,3 +148,8 @@ def test_prompts_name_the_excluded_tag(column):
     with_note, without = column(["x", "y"], prompt)
     assert "x. \nb" in with_note and "old_tag" in with_note and with_note.endswith("Topic:")
     assert "old_tag" not in without
+
+
+def test_text_without_markup_is_cleaned_without_a_search_for_it(column):
+    assert "CASE WHEN" in str(X._hide(F.col("t")))
+    assert column(["a > b \x01 c\\d\n", "x &amp; y", "", None], X.clean_html) == ["a >  b cd", "x & y", "", "None"]
