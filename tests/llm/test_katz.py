@@ -3,11 +3,13 @@ import random
 import re
 from collections import Counter, defaultdict
 from itertools import accumulate
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from topicgrove.llm import katz as K
+from topicgrove.session import written_dir
 
 
 def tokens(text):
@@ -141,3 +143,37 @@ def test_no_training_and_no_rows(documents):
         rows = K.fit_and_score(documents([(1, "a b"), (2, None)]), F.lit(True), order).collect()
         assert [(r.train_tokens, r.n_known, r.score) for r in rows] == [(0, 0, 0.0)] * 2
         assert K.fit_and_score(documents([]), F.lit(False), order).count() == 0
+
+
+def test_slabs_stay_small(spark, documents, monkeypatch):
+    """An executor holds a slab's row several times, so a code takes 2 bytes where it can, and maps take batches of bounded size."""
+    monkeypatch.setattr(K, "SLAB_BYTES", 1 << 19)
+    rows = [(i, " ".join(f"w{(i * 31 + j * j) % 997}" for j in range(2000))) for i in range(150)]
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, inside = spark.conf.get(key), []
+    kept = K.written
+    monkeypatch.setattr(K, "written", lambda df, name: inside.append(int(spark.conf.get(key).rstrip("b"))) or kept(df, name))
+    cut = K._cut(documents(rows), F.lit(False))
+    numbered = K._numbered(cut, K._words(cut))
+    for r in numbered.select(F.length("codes").alias("bytes"), F.element_at("starts", -1).alias("tokens")).collect():
+        assert r.bytes == 2 * r.tokens
+    assert inside and max(inside) <= 8 << 20 and spark.conf.get(key) == before
+
+
+def test_codes_of_many_words_come_back():
+    for n in (1, 1 << 16, (1 << 16) + 1, 1 << 18, 10**9):
+        codes = K.np.array([0, n - 1, n // 2, n // 3] * 5 + [0], K.np.int32)
+        packed = K._packed(codes, n)[0]
+        assert K._codes(packed, 21).tolist() == codes.tolist()
+        assert len(packed.as_py()) == 42 + 3 * max(0, (n - 1).bit_length() - 16)
+
+
+def test_a_finished_model_leaves_no_tables(spark, documents):
+    """Its words and counts are deleted as soon as no step reads them, but those of a model that the caller has stay."""
+    files = lambda: {str(p) for name in ("counts_2", "backoff_2", "numbered_words") for p in Path(written_dir(spark).removeprefix("file:")).glob(f"*/{name}")}
+    before = files()
+    assert K.fit_and_score(documents(corpus(40)), is_held()).count() == 45
+    assert files() == before
+    model = K.fit(documents(corpus(40)), 2)
+    assert K.score(documents(corpus(3)), model).count() == K.score(documents(corpus(3)), model).count() == 8
+    assert len(files() - before) == 3

@@ -17,6 +17,7 @@ Documents are numbered by slab and place, not by id: repeated or null ids and eq
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import NamedTuple
@@ -25,10 +26,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicgrove.llm.common import delete_written, hash_strings, mixed, shuffle_partitions, shuffles_dropped, slabs, split_words, texts_of
+from topicgrove.llm.common import delete_written, hash_strings, mixed, setting, shuffle_partitions, shuffles_dropped, slabs, split_words, texts_of
 from topicgrove.session import written, written_and_measured
 from topicgrove.sources.posts import with_seq
 
@@ -37,12 +38,14 @@ CUTOFF, TAIL = 5, 0.1
 END = np.uint64(0x0E4D0E4D0E4D0E4D)
 #: Numbers of the class of unknown words and of the place before the first token; words follow.
 UNKNOWN, BEGIN, FIRST = 0, 1, 2
-SLAB_BYTES = 6 << 20
+SLAB_BYTES = 3 << 20
+#: Bytes of an Arrow batch of rows that a map takes: an executor holds it several times, in Spark and in Python.
+BATCH_BYTES = 8 << 20
 #: Training tokens for each part of a table; a context with a quarter of them is cut into slices.
 PART_TOKENS = 1_000_000
 HOT_SHARE = 4
 #: Buckets of a table, at least; a part has at least as many as the second.
-BUCKETS, PART_BUCKETS = 1024, 8
+BUCKETS, PART_BUCKETS = 512, 4
 _SALT = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -157,6 +160,13 @@ def _lists(values, starts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), values if isinstance(values, pa.Array) else pa.array(values))
 
 
+@contextlib.contextmanager
+def _lean(spark: SparkSession) -> Iterator[None]:
+    """Inside, jobs drop their shuffle files when they end, and maps take small batches: memory outside the heap goes by the largest one."""
+    with shuffles_dropped(spark), setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)):
+        yield
+
+
 def _pair(run):
     """``run`` of a pair of groups, with Arrow's free buffers given back after it: workers that wait keep nothing."""
 
@@ -184,30 +194,44 @@ def _lengths(table: pa.Table, column: str) -> np.ndarray:
     return pc.list_value_length(table.column(column)).to_numpy().astype(np.int64)
 
 
-def _array(column: pa.ChunkedArray) -> np.ndarray:
-    """The list of a slab's only row."""
-    return column.chunk(0).flatten().to_numpy(zero_copy_only=False)
+def _packed(codes: np.ndarray, n: int) -> pa.Array:
+    """Codes below ``n`` as the bytes of a single row, which Spark copies whole: 16 bits each, then a row of bits for each higher one that ``n`` asks for."""
+    higher = [np.packbits(codes >> bit & 1).tobytes() for bit in range(16, (n - 1).bit_length())]
+    return pa.array([b"".join([codes.astype(np.uint16).tobytes(), *higher])], pa.binary())
+
+
+def _codes(packed: pa.Scalar, tokens: int) -> np.ndarray:
+    raw, low = packed.as_buffer(), 2 * int(tokens)
+    codes = np.frombuffer(raw, np.uint16, tokens).astype(np.int32)
+    for k, bits in enumerate(np.frombuffer(raw, np.uint8, offset=low).reshape(-1, (tokens + 7) // 8)):
+        codes |= np.unpackbits(bits, count=tokens).astype(np.int32) << 16 + k
+    return codes
 
 
 def _cut(docs: DataFrame, held_out: Column) -> DataFrame:
-    """Slabs of documents: ``slab, words, trained, codes, starts, ids, held``; ``trained`` counts each word in training documents."""
+    """Slabs of documents: ``slab, words, trained, codes, starts, ids, held``; ``words`` rise as unsigned hashes, ``trained`` counts each in training documents."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 32
         for batch in slabs(batches, limit=SLAB_BYTES):
             names, codes, starts = tokens_of(texts_of(batch))
+            by = np.argsort(names)
+            place = np.empty(len(by), np.int32)
+            place[by] = np.arange(len(by), dtype=np.int32)
+            names, codes = names[by], place[codes]
             held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
             trains = np.repeat(~held, np.diff(starts))
             yield pa.RecordBatch.from_pydict({
                 "slab": pa.array([at]), "words": _one(names.view(np.int64)), "trained": _one(np.bincount(codes[trains], minlength=len(names)).astype(np.int32)),
-                "codes": _one(codes), "starts": _one(starts.astype(np.int32)), "ids": _one(batch.column("doc_id")), "held": _one(held),
+                "codes": _packed(codes, len(names)), "starts": _one(starts.astype(np.int32)), "ids": _one(batch.column("doc_id")), "held": _one(held),
             })
             at += 1
 
     rows = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held"))
-    schema = f"slab long, words array<long>, trained array<int>, codes array<int>, starts array<int>, ids array<{id_type}>, held array<boolean>"
-    return written(rows.mapInArrow(run, schema), "slabs")
+    schema = f"slab long, words array<long>, trained array<int>, codes binary, starts array<int>, ids array<{id_type}>, held array<boolean>"
+    with _lean(docs.sparkSession):
+        return written(rows.mapInArrow(run, schema), "slabs")
 
 
 def _words(cut: DataFrame) -> Model:
@@ -217,10 +241,11 @@ def _words(cut: DataFrame) -> Model:
     end = F.sum(F.when(F.col("word") == int(END.view(np.int64)), F.col("n")))
     each = cut.select(F.inline(F.arrays_zip("words", "trained"))).where("trained > 0")
     counted = each.groupBy(F.col("words").alias("word")).agg(F.sum("trained").alias("n"))
-    with shuffles_dropped(spark):
+    with _lean(spark):
         counts, seen = written_and_measured(counted, "words", tokens=F.sum("n"), types=F.count("*"), documents=end, **measures)
         numbered = with_seq(counts.withColumn("less", -F.col("n")), "less", "word")
         words = written(numbered.select("word", (F.col("seq") + FIRST).alias("id"), "n"), "numbered_words")
+        delete_written(numbered)
     delete_written(counts)
     tokens, types, documents = (int(seen[k] or 0) for k in ("tokens", "types", "documents"))
     n = np.array([seen[f"n{r}"] or 0 for r in range(1, CUTOFF + 2)])
@@ -248,10 +273,10 @@ def _numbered(cut: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 words = batch.column("words")[i].values.to_numpy()
-                by, buckets, starts = _bucketed(known.bucket(words))
+                _, buckets, starts = _bucketed(known.bucket(words))  # the words are in this order
                 yield pa.RecordBatch.from_pydict({
                     "slab": pa.array(np.full(len(buckets), batch.column("slab")[i].as_py())), "part": pa.array(known.part(buckets)),
-                    "bucket": pa.array(buckets), "words": _lists(words[by], starts),
+                    "bucket": pa.array(buckets), "words": _lists(words, starts),
                 })
 
     def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
@@ -268,15 +293,13 @@ def _numbered(cut: DataFrame, model: Model) -> DataFrame:
 
     def put(slab: pa.Table, found: pa.Table) -> pa.Table:
         found = found.take(pa.array(np.argsort(found.column("bucket").to_numpy())))
-        by = _bucketed(known.bucket(_array(slab.column("words"))))[0]
-        ids, counts = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
-        ids[by], counts[by] = _flat(found, "ids"), _flat(found, "counts")
+        ids, counts = _flat(found, "ids").astype(np.int64), _flat(found, "counts")
         words, place = np.unique(np.concatenate([[UNKNOWN, BEGIN], ids]), return_inverse=True)
         n = np.zeros(len(words), np.int64)
         n[place[2:]], n[UNKNOWN], n[BEGIN] = counts, 0, known.documents
-        codes = place[2:][_array(slab.column("codes"))].astype(np.int32)
+        codes = place[2:][_codes(slab.column("codes")[0], _flat(slab, "starts")[-1])]
         return pa.table({
-            "slab": slab.column("slab"), "words": _one(pa.array(words, numbers)), "counts": _one(known.counts(n)), "codes": _one(codes),
+            "slab": slab.column("slab"), "words": _one(pa.array(words, numbers)), "counts": _one(known.counts(n)), "codes": _packed(codes, len(words)),
             "starts": slab.column("starts"), "ids": slab.column("ids"), "held": slab.column("held"),
         })
 
@@ -284,9 +307,9 @@ def _numbered(cut: DataFrame, model: Model) -> DataFrame:
     table = model.words.withColumn("part", known.part(F.shiftrightunsigned("word", 64 - known.bits)))
     answers = f"slab long, bucket long, ids array<{known.id_type}>, counts array<{known.count_type}>"
     schema = f"slab long, words array<{known.id_type}>, counts array<{known.count_type}>, " + ", ".join(f"{c} {fields[c]}" for c in ("codes", "starts", "ids", "held"))
-    with shuffles_dropped(cut.sparkSession):
+    with _lean(cut.sparkSession):
         found = written(asked.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(_pair(answer), answers), "numbers")
-        numbered = written(cut.drop("trained").groupBy("slab").cogroup(found.groupBy("slab")).applyInArrow(_pair(put), schema), "numbered_slabs")
+        numbered = written(cut.drop("trained", "words").groupBy("slab").cogroup(found.groupBy("slab")).applyInArrow(_pair(put), schema), "numbered_slabs")
     delete_written(found)
     delete_written(cut)
     return numbered
@@ -346,10 +369,10 @@ def grams(words: np.ndarray, counts: np.ndarray, codes: np.ndarray, starts: np.n
 
 def _slab(row: pa.RecordBatch | pa.Table, i: int = 0) -> dict[str, np.ndarray]:
     """The arrays of one slab; ``lower`` has log10 of each token's probability by the order reached so far."""
-    names = [c for c in row.schema.names if c not in ("slab", "ids")]
-    columns = {c: row.column(c) for c in names}
-    value = lambda c: (c.chunk(0) if isinstance(c, pa.ChunkedArray) else c)[i].values.to_numpy(zero_copy_only=False)
-    return {c: value(columns[c]).astype(np.int64) if c == "counts" else value(columns[c]) for c in names}
+    names = [c for c in row.schema.names if c not in ("slab", "ids", "codes")]
+    value = lambda c: row.column(c)[i].values.to_numpy(zero_copy_only=False)
+    found = {c: value(c).astype(np.int64) if c == "counts" else value(c) for c in names}
+    return found | {"codes": _codes(row.column("codes")[i], found["starts"][-1])}
 
 
 def _lower(slab: dict[str, np.ndarray], known: Unigrams) -> np.ndarray:
@@ -418,6 +441,7 @@ def _merged(known: Unigrams):
         order, buckets, bounds = _bucketed(known.bucket_of(context, piece))
         entries = _ragged(starts[order], sizes[order])
         inner = np.concatenate([[0], np.cumsum(sizes[order])])[bounds]
+        pa.default_memory_pool().release_unused()
         return pa.table({
             "part": pa.array(known.part(buckets)), "bucket": buckets, "contexts": _lists(context[order], bounds), "slices": _lists(piece[order].astype(np.int32), bounds),
             "ways": _lists(ways[name // most][order], bounds), "sizes": _lists(sizes[order].astype(np.int32), bounds),
@@ -440,7 +464,7 @@ def _fit_order(state: DataFrame, known: Unigrams, order: int) -> Order:
     facts = ", ".join(f"{c} array<long>" for c in [*SEEN, "mass"])
     schema = f"part int, bucket long, contexts array<long>, slices array<int>, ways array<int>, sizes array<int>, words array<{known.id_type}>, counts array<{known.count_type}>, {facts}, covered array<double>"
     total = lambda c: F.sum(F.aggregate(c, F.lit(0).cast("long"), lambda a, b: a + b))
-    with shuffles_dropped(spark):
+    with _lean(spark):
         counts, seen = written_and_measured(rows.groupBy("part").applyInArrow(_merged(known), schema), f"counts_{order}", **{c: total(c) for c in SEEN})
     discounts = good_turing(np.array([seen[c] or 0 for c in SEEN]))
     # what is left to a bigram's unseen words holds at least the unknown ones
@@ -476,7 +500,7 @@ def _fit_order(state: DataFrame, known: Unigrams, order: int) -> Order:
     inside = counts.select("part", "bucket", "contexts", "ways", *parts).mapInArrow(whole, weights)
     several = counts.select(F.inline(F.arrays_zip("contexts", "ways", *parts))).where("ways > 1")
     added = several.groupBy("contexts").agg(F.first("ways").alias("ways"), *[F.sum(c).alias(c) for c in parts])
-    with shuffles_dropped(spark):
+    with _lean(spark):
         return Order(counts, written(inside.unionByName(added.mapInArrow(sliced, weights)), f"backoff_{order}"), discounts)
 
 
@@ -523,7 +547,7 @@ def _answers(state: DataFrame, model: Model, order: int) -> DataFrame:
     )
     asked = _requests(state, known, order, training=False)
     schema = f"slab long, bucket long, counts array<{known.count_type}>, mass array<{known.count_type}>, log_weight array<double>"
-    with shuffles_dropped(state.sparkSession):
+    with _lean(state.sparkSession):
         return written(asked.groupBy("part").cogroup(stored.groupBy("part")).applyInArrow(_pair(lambda a, t: _look_up(a, t, known)), schema), f"answers_{order}")
 
 
@@ -562,9 +586,13 @@ def _result_schema(state: DataFrame) -> str:
     return f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _advance(state: DataFrame, model: Model, order: int, last: bool) -> DataFrame:
-    """The slabs with each token's probability by this order, or, after the last one, the rows of the documents."""
+def _advance(state: DataFrame, model: Model, order: int, last: bool, keep: bool = True) -> DataFrame:
+    """The slabs with each token's probability by this order, or, after the last one, the rows of the documents; without ``keep`` the order's tables are deleted."""
     known, discounts = model.unigrams, model.orders[order - 2].discounts
+    answers = _answers(state, model, order)
+    if not keep:
+        delete_written(model.orders[order - 2].counts)
+        delete_written(model.orders[order - 2].backoff)
 
     def run(row: pa.Table, found: pa.Table) -> pa.Table:
         slab = _slab(row)
@@ -576,10 +604,10 @@ def _advance(state: DataFrame, model: Model, order: int, last: bool) -> DataFram
 
     fields = {f.name: f.dataType.simpleString() for f in state.schema} | {"lower": "array<double>"}
     schema = _result_schema(state) if last else ", ".join(f"{k} {v}" for k, v in fields.items())
-    joined = state.groupBy("slab").cogroup(_answers(state, model, order).groupBy("slab")).applyInArrow(_pair(run), schema)
+    joined = state.groupBy("slab").cogroup(answers.groupBy("slab")).applyInArrow(_pair(run), schema)
     if last:
         return joined
-    with shuffles_dropped(state.sparkSession):
+    with _lean(state.sparkSession):
         return written(joined, f"probabilities_{order}")
 
 
@@ -607,11 +635,11 @@ def _fitted(cut: DataFrame, order: int) -> tuple[Model, DataFrame]:
     return Model(words.words, words.unigrams, orders), numbered
 
 
-def _scored(state: DataFrame, model: Model) -> DataFrame:
+def _scored(state: DataFrame, model: Model, keep: bool = True) -> DataFrame:
     if not model.orders:
         return _unigram_rows(state, model.unigrams)
     for k in range(2, len(model.orders) + 2):
-        state = _advance(state, model, k, last=k == len(model.orders) + 1)
+        state = _advance(state, model, k, last=k == len(model.orders) + 1, keep=keep)
     return state
 
 
@@ -635,4 +663,5 @@ def fit_and_score(docs: DataFrame, held_out: Column, order: int = 2) -> DataFram
     Extra columns are ignored. Texts are cut into words once for both.
     """
     model, numbered = _fitted(_cut(docs, held_out), order)
-    return _scored(numbered, model)
+    delete_written(model.words)
+    return _scored(numbered, model, keep=False)  # nobody else has this model
